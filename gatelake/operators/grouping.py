@@ -8,18 +8,17 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
-def attach_group_count(df: DataFrame, key: str, out: str, salts: int = SALTS) -> DataFrame:
+def attach_group_count(df: DataFrame, key: str, out: str, spread: list[str], salts: int = SALTS) -> DataFrame:
     """Add the size of each row's ``key`` group without putting a group into one task.
 
-    Rows get a salt from their own contents, counts are built per (key, salt),
-    summed per key, and handed back to each (key, salt) bucket; so a key that
-    holds a third of all rows is spread over ``salts`` join buckets. A key has
-    at most ``salts`` entries on the count side.
+    Rows get a salt from ``spread`` (columns that tell rows of a group apart),
+    counts are built per (key, salt) with map-side combine, summed per key, and
+    handed back to each (key, salt) bucket. A key that holds a third of all
+    rows is spread over ``salts`` join buckets, and has at most ``salts`` rows
+    on the count side. The salt depends on row contents only, so both
+    evaluations of ``df`` agree.
     """
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
-    # identical rows share a salt, so a random tie-free spread needs the row contents to differ;
-    # the id of the input partition adds that when they do not
-    salted = df.withColumn("_salt", F.pmod(row_salt + F.spark_partition_id(), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     per_salt = salted.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     totals = (
         per_salt.groupBy(key)

@@ -12,11 +12,15 @@ from gatelake.session import materialize
 def hash_report(hashes: DataFrame, *, write_once: bool = True) -> DataFrame:
     """Every module occurrence with the size of its duplicate group (``unique_count``).
 
+    ``hashes`` is ``module_hashes(files, position=True)``.
+
     The hash table is written once and read for both the counts and the
     join-back, so the source text is parsed a single time.
     """
     table = materialize(hashes, "module_hashes") if write_once else hashes
-    return attach_group_count(table, "module_hash", "unique_count").select(
+    return attach_group_count(
+        table, "module_hash", "unique_count", spread=["design_name", "file_name", "pos"]
+    ).select(
         "module_hash", "module_name", "design_name", "dataset_name", "unique_count"
     )
 

@@ -33,11 +33,15 @@ def extract_modules(
     return out.select(*keep, "pos", X.module_name(F.col("body")).alias("module_name"), "body")
 
 
-def module_hashes(files: DataFrame, *, compat: str | None = None) -> DataFrame:
-    """``(module_hash, module_name, design_name, dataset_name)``; text never leaves the map side."""
-    mods = extract_modules(files, compat=compat, keep=["dataset_name", "design_name"])
+def module_hashes(files: DataFrame, *, compat: str | None = None, position: bool = False) -> DataFrame:
+    """``(module_hash, module_name, design_name, dataset_name)``; text never leaves the map side.
+
+    ``position=True`` also keeps ``file_name, pos``, which identify a row.
+    """
+    where = ["file_name", "pos"] if position else []
+    mods = extract_modules(files, compat=compat)
     return mods.select(
-        X.module_hash(F.col("body")).alias("module_hash"), "module_name", "design_name", "dataset_name"
+        X.module_hash(F.col("body")).alias("module_hash"), "module_name", "design_name", "dataset_name", *where
     )
 
 
