@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from gatelake.plans import q_text  # noqa: F401
+from gatelake.plans import q_catalog, q_graph, q_text  # noqa: F401
 from gatelake.plans.registry import ORACLES, QUERIES  # noqa: F401
