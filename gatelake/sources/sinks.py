@@ -22,9 +22,14 @@ def _writer(df: DataFrame, partition_by: str | None):
 
 
 def write_csv(df: DataFrame, name: str, *, partition_by: str | None = None, header: bool = True) -> str:
-    """CSV with quotes doubled inside fields, as common readers expect."""
+    """CSV with quotes doubled inside fields and blanks kept, as common readers expect."""
     path = _target(df, name)
-    _writer(df, partition_by).option("header", header).option("escape", '"').option("quoteAll", True).csv(path)
+    (
+        _writer(df, partition_by)
+        .options(header=header, escape='"', quoteAll=True)
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
     return path
 
 
