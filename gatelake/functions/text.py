@@ -13,21 +13,23 @@ def normalize_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    A column used inside a higher-order function is evaluated again for every
+    element; binding it as a lambda variable avoids that.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def interleave(gaps: Column, tokens: Column, rewrite) -> Column:
-    """Rebuild ``gap0 tok0 gap1 tok1 …`` with ``rewrite(token, index)`` applied to each token.
+    """Rebuild ``gap0 tok0 gap1 tok1 …`` with ``rewrite(token)`` in place of each token.
 
     Linear in the text length: the gaps come from one ``split`` and the tokens
-    from one ``regexp_extract_all`` with the same pattern.
+    from one ``regexp_extract_all`` with the same pattern; the last gap has no token.
     """
     return F.array_join(
-        F.transform(
-            gaps,
-            lambda g, i: F.concat(
-                g, F.when(i < F.size(tokens), rewrite(F.get(tokens, i), i)).otherwise(F.lit(""))
-            ),
-        ),
-        "",
-    )
+        F.zip_with(gaps, tokens, lambda g, t: F.concat(g, F.when(t.isNull(), F.lit("")).otherwise(rewrite(t)))), "")
 
 
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -69,7 +71,7 @@ def strip_comments(text: Column) -> Column:
     return interleave(
         F.split(text, P.COMMENT_OR_LITERAL),
         find_all(text, P.COMMENT_OR_LITERAL, 0),
-        lambda tok, _: F.when(F.startswith(tok, F.lit("/")), F.lit(" ")).otherwise(tok),
+        lambda tok: F.when(F.startswith(tok, F.lit("/")), F.lit(" ")).otherwise(tok),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
@@ -14,30 +14,28 @@ D = "design_name"
 
 
 def segmented(files: DataFrame) -> DataFrame:
-    """Files as alternating gaps and tokens, plus the module names they define. Narrow.
+    """Files as alternating gaps and tokens. Narrow.
 
-    Tokens are modules or comments as written; ``names`` holds the module name
-    per token, empty for comments.
+    Tokens are modules or comments as written, each with the name of the
+    module it defines (empty for comments).
     """
     t = F.col("text")
-    toks = X.find_all(t, P.MODULE_OR_COMMENT)
     return files.select(
         D, "file_name",
         F.split(t, P.MODULE_OR_COMMENT).alias("gaps"),
-        toks.alias("toks"),
-        F.transform(toks, X.module_name).alias("names"),
+        F.transform(
+            X.find_all(t, P.MODULE_OR_COMMENT), lambda k: F.struct(k.alias("text"), X.module_name(k).alias("name"))
+        ).alias("toks"),
     )
 
 
-def kept_text(gaps, toks, names, kept):
+def kept_text(gaps: Column, toks: Column, kept: Column) -> Column:
     """The file with every module outside ``kept`` replaced by one newline, outer newlines trimmed."""
     body = X.interleave(
         gaps, toks,
-        lambda tok, i: F.when(
-            (F.get(names, i) == "") | F.array_contains(kept, F.get(names, i)), tok
-        ).otherwise(F.lit("\n")),
+        lambda t: F.when((t["name"] == "") | F.array_contains(kept, t["name"]), t["text"]).otherwise(F.lit("\n")),
     )
-    return F.concat(F.regexp_replace(body, r"^\n+|\n+$", ""), F.lit("\n"))
+    return F.concat(F.trim(body, F.lit("\n")), F.lit("\n"))
 
 
 def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None = None) -> DataFrame:
@@ -49,7 +47,7 @@ def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None
     over its files.
     """
     parts = segmented(files)
-    defined = parts.select(D, "file_name", F.explode(F.filter("names", lambda n: n != "")).alias("node")).distinct()
+    defined = parts.select(D, "file_name", F.explode("toks.name").alias("node")).filter("node <> ''").distinct()
     sub = closed if roots is None else closed.join(
         roots.select(D, F.col("module_name").alias("root")), [D, "root"], "left_semi")
     kept = sub.select(D, "root", "node").join(defined, [D, "node"]).groupBy(D, "root", "file_name").agg(
@@ -59,7 +57,7 @@ def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None
     wanted = pairs.join(kept, [D, "root", "file_name"], "left").withColumn(
         "kept", F.coalesce("kept", F.array().cast("array<string>")))
     out = wanted.join(parts, [D, "file_name"]).select(
-        D, "root", "file_name", kept_text(F.col("gaps"), F.col("toks"), F.col("names"), F.col("kept")).alias("text"))
+        D, "root", "file_name", kept_text(F.col("gaps"), F.col("toks"), F.col("kept")).alias("text"))
     return out.filter(F.col("text").rlike(P.NON_WHITESPACE))
 
 

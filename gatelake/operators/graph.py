@@ -57,31 +57,22 @@ def peel(nodes: DataFrame, edges: DataFrame, *, from_leaves: bool = False) -> Da
     NULL. Linear in the edges, unlike a closure.
     """
     a, b = ("child", "parent") if from_leaves else ("parent", "child")
-    todo_edges = checkpoint(
-        edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct().repartition(D, "src")
-    )
-    todo = checkpoint(nodes.select(D, "module_name").distinct().repartition(D, "module_name"))
-    levels, level = None, 0
+    left = checkpoint(edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct())
+    blocked = left.select(D, F.col("dst").alias("module_name"))
+    free = nodes.select(D, "module_name").distinct().join(blocked, [D, "module_name"], "left_anti")
+    levels, level = free.withColumn("level", F.lit(0)), 0
     while True:
-        blocked = todo_edges.select(D, F.col("dst").alias("module_name")).distinct()
-        # a node stays while some edge into it is left
-        state = checkpoint(
-            todo.join(blocked.withColumn("_b", F.lit(True)), [D, "module_name"], "left")
-        )
-        free = state.filter("_b IS NULL").select(D, "module_name")
-        todo = state.filter("_b").select(D, "module_name")
+        level += 1
+        # edges out of a free node go; a node is free once its last incoming edge is gone
+        gone = checkpoint(left.join(free.select(D, F.col("module_name").alias("src"), F.lit(True).alias("_gone")), [D, "src"], "left"))
+        left = gone.filter("_gone IS NULL").select(D, "src", "dst")
+        free = gone.groupBy(D, F.col("dst").alias("module_name")).agg(
+            F.count_if(F.col("_gone").isNull()).alias("_n")).filter("_n = 0").select(D, "module_name")
         if free.isEmpty():
             break
-        found = free.withColumn("level", F.lit(level))
-        levels = found if levels is None else levels.unionByName(found)
-        if todo.isEmpty():
-            break
-        todo_edges = checkpoint(
-            todo_edges.join(free.select(D, F.col("module_name").alias("src")), [D, "src"], "left_anti")
-        )
-        level += 1
-    rest = todo.withColumn("level", F.lit(None).cast("int"))
-    return rest if levels is None else levels.unionByName(rest)
+        levels = levels.unionByName(free.withColumn("level", F.lit(level)))
+    stuck = left.select(D, F.col("dst").alias("module_name")).distinct()
+    return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
 
 
 def is_dag(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -143,6 +134,7 @@ def top_scores(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Only top modules are closed over, not all modules.
     """
+    nodes, edges = checkpoint(nodes), checkpoint(edges)  # each is read several times
     tops = checkpoint(top_modules(nodes, edges))
     sizes = subgraph_sizes(closure(nodes, edges, tops), edges).withColumnRenamed(ROOT, "module_name")
     scored = sizes.join(depths(nodes, edges), [D, "module_name"]).withColumn(
@@ -163,6 +155,7 @@ def auto_top(scores: DataFrame) -> DataFrame:
 
 def resolve_top(nodes: DataFrame, edges: DataFrame, *, allow_auto: bool = True) -> DataFrame:
     """The only top module of a design, else the scored choice, else an error status."""
+    nodes, edges = checkpoint(nodes), checkpoint(edges)  # each is read several times
     tops = top_modules(nodes, edges).groupBy(D).agg(
         F.count(F.lit(1)).alias("n_tops"), F.min("module_name").alias("_only"))
     single = tops.filter("n_tops = 1").select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatelake import schemas
+from gatelake.session import materialize
 
 D = "design_name"
 
@@ -38,24 +39,18 @@ def module_cells(cells: DataFrame, modules: DataFrame) -> DataFrame:
 def netlist_instances(netlists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``modules(design_name, module_name)`` and distinct ``inst(design_name, parent, child)``.
 
-    Cell types are looked up in the map of their own netlist row, so keeping
-    module cells and mapping parametrised names needs no join; only the
-    distinct name pairs are shuffled.
+    The JSON is parsed once into a thin written table (module, source name,
+    distinct cell types). Keeping only cells that are modules and mapping
+    parametrised types to their source name is one join on (design, module).
     """
-    parsed = netlists.select(D, F.from_json("json", schemas.NETLIST_JSON).alias("j")).select(
-        D, F.col("j.modules").alias("ms"))
-
-    def base(name):
-        return F.coalesce(F.col("ms")[name]["attributes"]["hdlname"], name)
-
-    names = parsed.select(D, "ms", F.explode(F.map_keys("ms")).alias("module"))
-    modules = names.select(D, base(F.col("module")).alias("module_name")).distinct()
-    types = F.array_distinct(F.transform(F.map_values(F.col("ms")[F.col("module")]["cells"]), lambda c: c["type"]))
+    types = F.array_distinct(F.transform(F.map_values("cells"), lambda c: c["type"]))
+    table = materialize(
+        hdl_names(netlist_modules(netlists)).select(D, "module", "base", types.alias("types")), "netlist_modules")
+    modules = table.select(D, F.col("base").alias("module_name")).distinct()
+    defined = table.select(D, F.col("module").alias("type"), F.col("base").alias("child"))
     inst = (
-        names.select(D, "ms", base(F.col("module")).alias("parent"), F.explode(types).alias("type"))
-        .filter(F.map_contains_key("ms", F.col("type")))
-        .select(D, "parent", base(F.col("type")).alias("child"))
-        .distinct()
+        table.select(D, F.col("base").alias("parent"), F.explode("types").alias("type"))
+        .join(defined, [D, "type"]).select(D, "parent", "child").distinct()
     )
     return modules, inst
 

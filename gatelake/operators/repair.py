@@ -19,20 +19,22 @@ def fix_constants(text: Column) -> Column:
 
     ``-`` entries become one blank. NULL when a file has no ``.end`` line.
     """
-    names, values = X.find_all(text, P.BLIF_CONSTANT, 1), X.find_all(text, P.BLIF_CONSTANT, 2)
     moved = F.reverse(
         F.zip_with(
-            names, values,
+            X.find_all(text, P.BLIF_CONSTANT, 1), X.find_all(text, P.BLIF_CONSTANT, 2),
             lambda n, v: F.when(v == "-", F.lit(" ")).otherwise(F.concat(F.replace(n, F.lit("  "), F.lit(" ")), v)),
         )
     )
-    rest = lines_of(F.regexp_replace(text, P.BLIF_CONSTANT, ""))
-    end = F.array_position(rest, ".end").cast("int")
-    rebuilt = F.concat(
-        F.slice(rest, F.lit(1), F.greatest(end - 1, F.lit(0))), moved,
-        F.slice(rest, F.greatest(end, F.lit(1)), F.size(rest)),
-    )
-    return F.when(end > 0, F.array_join(rebuilt, "\n"))
+
+    def rebuilt(rest: Column) -> Column:
+        end = F.array_position(rest, ".end").cast("int")
+        parts = F.concat(
+            F.slice(rest, F.lit(1), F.greatest(end - 1, F.lit(0))), moved,
+            F.slice(rest, F.greatest(end, F.lit(1)), F.size(rest)),
+        )
+        return F.when(end > 0, F.array_join(parts, "\n"))
+
+    return X.let(lines_of(F.regexp_replace(text, P.BLIF_CONSTANT, "")), rebuilt)
 
 
 def drop_duplicate_models(text: Column) -> Column:
@@ -42,17 +44,33 @@ def drop_duplicate_models(text: Column) -> Column:
     the last occurrence stays, because replacing a block's text hits its
     first occurrence.
     """
-    blocks, names = X.find_all(text, P.BLIF_MODEL, 0), X.find_all(text, P.BLIF_MODEL, 1)
+    blocks = F.transform(
+        F.arrays_zip(X.find_all(text, P.BLIF_MODEL, 1).alias("name"), X.find_all(text, P.BLIF_MODEL, 0).alias("text")),
+        lambda b, i: F.struct(b["name"].alias("name"), b["text"].alias("text"), i.alias("i")),
+    )
 
-    def stays(block: Column, i: Column) -> Column:
-        first = F.get(blocks, (F.array_position(names, F.get(names, i)) - 1).cast("int"))
-        repeats_later = F.array_contains(F.slice(blocks, i + 2, F.size(blocks)), block)
-        return (block == first) & ~repeats_later
+    def decided(bs: Column) -> Column:
+        # names and texts → first text and last position, as maps built by later entries winning
+        def last_wins(entries: Column) -> Column:
+            return F.aggregate(
+                entries, F.create_map().cast("map<string,string>"),
+                lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
+
+        first = last_wins(F.reverse(F.transform(bs, lambda b: F.struct(b["name"].alias("k"), b["text"].alias("v")))))
+        last = last_wins(F.transform(bs, lambda b: F.struct(b["text"].alias("k"), b["i"].cast("string").alias("v"))))
+        return X.let(
+            F.struct(first.alias("first"), last.alias("last")),
+            lambda w: F.transform(
+                bs,
+                lambda b: F.when(
+                    (F.try_element_at(w["first"], b["name"]) == b["text"])
+                    & (F.try_element_at(w["last"], b["text"]) == b["i"].cast("string")),
+                    b["text"],
+                ).otherwise(F.lit("\n\n")),
+            ),
+        )
 
-    return X.interleave(
-        F.split(text, P.BLIF_MODEL), blocks,
-        lambda b, i: F.when(stays(b, i), b).otherwise(F.lit("\n\n")),
-    )
+    return X.interleave(F.split(text, P.BLIF_MODEL), X.let(blocks, decided), lambda t: t)
 
 
 def remove_exdc(text: Column) -> Column:
@@ -73,20 +91,23 @@ def add_global_clock(text: Column) -> Column:
     """
     chunks = F.split(F.regexp_replace(F.array_join(lines_of(text), "\n"), r"(?m)^\.model", "\u0001.model"), "\u0001")
 
-    def clocked(chunk: Column, i: Column) -> Column:
-        lines = F.split(chunk, "\n")
-        tail = F.slice(lines, F.lit(2), F.size(lines))
+    def insert(lines: Column) -> Column:
         at = F.array_position(
-            F.transform(tail, lambda s: F.ltrim(s).startswith(".") & ~F.ltrim(s).startswith(".inputs")), True
+            F.transform(lines, lambda s, i: (i > 0) & F.ltrim(s).startswith(".") & ~F.ltrim(s).startswith(".inputs")), True
         ).cast("int")
-        built = F.array_join(
-            F.concat(F.slice(lines, F.lit(1), at), F.array(F.lit(".inputs clk")), F.slice(lines, at + 1, F.size(lines))), "\n")
-        return F.when(~chunk.rlike(P.BLIF_LATCH), chunk).when((i > 0) & (at > 0), built)
+        head = F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0)))
+        tail = F.slice(lines, F.greatest(at, F.lit(1)), F.size(lines))
+        return F.when(at > 1, F.array_join(F.concat(head, F.array(F.lit(".inputs clk")), tail), "\n"))
+
+    def clocked(chunk: Column, i: Column) -> Column:
+        return F.when(~chunk.rlike(P.BLIF_LATCH), chunk).when(i > 0, X.let(F.split(chunk, "\n"), insert))
+
+    def joined(parts: Column) -> Column:
+        return F.when(
+            ~F.exists(parts, lambda c: c.isNull()),
+            F.regexp_replace(F.array_join(parts, ""), P.BLIF_LATCH, ".latch $1 $2 re clk $3"))
 
-    rebuilt = F.transform(chunks, clocked)
-    ok = ~F.exists(rebuilt, lambda c: c.isNull())
-    joined = F.when(ok, F.regexp_replace(F.array_join(rebuilt, ""), P.BLIF_LATCH, ".latch $1 $2 re clk $3"))
-    return F.when(text.rlike(P.BLIF_LATCH), joined).otherwise(text)
+    return F.when(text.rlike(P.BLIF_LATCH), X.let(F.transform(chunks, clocked), joined)).otherwise(text)
 
 
 # ------------------------------------------------------------------ cell arrays
@@ -114,16 +135,23 @@ def _array_line(line: Column) -> Column:
     def g(i: int) -> Column:
         return F.regexp_extract(safe, P.CELL_ARRAY_LINE, i)
 
-    index = F.sequence(g(4).cast("int"), g(5).cast("int"))
-    ports = _ports(g(6))
-    valid = F.forall(ports, lambda p: F.coalesce(F.size(p["bits"]), F.lit(-1)) == F.size(index))
+    head = F.struct(
+        F.concat(g(1), F.lit(" "), g(2), g(3), F.lit("__")).alias("name"),
+        F.sequence(g(4).cast("int"), g(5).cast("int")).alias("index"),
+        _ports(g(6)).alias("ports"),
+    )
+
+    def unrolled(h: Column) -> Column:
+        valid = F.forall(h["ports"], lambda p: F.coalesce(F.size(p["bits"]), F.lit(-1)) == F.size(h["index"]))
+
+        def instance(n: Column, i: Column) -> Column:
+            wired = F.array_join(
+                F.transform(h["ports"], lambda p: F.concat(p["name"], F.lit("["), F.get(p["bits"], i).cast("string"), F.lit("]"))), ", ")
+            return F.concat(h["name"], n.cast("string"), F.lit(" ("), wired, F.lit(");"))
 
-    def instance(n: Column, i: Column) -> Column:
-        wired = F.array_join(
-            F.transform(ports, lambda p: F.concat(p["name"], F.lit("["), F.get(p["bits"], i).cast("string"), F.lit("]"))), ", ")
-        return F.concat(g(1), F.lit(" "), g(2), g(3), F.lit("__"), n.cast("string"), F.lit(" ("), wired, F.lit(");"))
+        return F.when(valid, F.array_join(F.transform(h["index"], instance), "\n"))
 
-    return F.when(valid, F.array_join(F.transform(index, instance), "\n"))
+    return X.let(head, unrolled)
 
 
 def unroll_cell_arrays(text: Column) -> Column:
@@ -133,7 +161,7 @@ def unroll_cell_arrays(text: Column) -> Column:
     """
     out = F.transform(
         lines_of(text), lambda s: F.when(s.rlike(P.CELL_ARRAY_LINE), _array_line(s)).otherwise(s))
-    return F.when(~F.exists(out, lambda s: s.isNull()), F.array_join(out, "\n"))
+    return X.let(out, lambda ls: F.when(~F.exists(ls, lambda s: s.isNull()), F.array_join(ls, "\n")))
 
 
 def cell_array_errors(files: DataFrame) -> DataFrame:

@@ -17,9 +17,22 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# whole texts per row: work per byte is high
+TEXT_TABLES = ["documents", "pages", "conversations"]
+
 _NL = "chr(10)"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute an input that has fewer splits than the cluster has cores.
+
+    A folder of many files is left alone; one file with one row group would
+    otherwise keep a single core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lines(*parts: str) -> str:
     return " || ".join(f"{p} || {_NL}" for p in parts)
 
@@ -217,7 +230,8 @@ CORPORA: dict[str, tuple[list[str], str]] = {
 
 def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(df) if name in TEXT_TABLES else df
     deps, sql = CORPORA[name]
     return spark.sql(sql, **{d: corpus(spark, sf_dir, d) for d in deps})
 
