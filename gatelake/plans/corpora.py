@@ -1,7 +1,7 @@
 """Corpora derived from the given tables in portable SQL.
 
-Each entry is one SELECT that both Spark and the checking engine accept, with
-``{name}`` for the tables it reads. ``corpus(spark, sf_dir, name)`` builds the
+Each entry is one SELECT that both Spark and the checking engine accept (ordered
+concatenation is rendered per engine), with ``{name}`` for the tables it reads. ``corpus(spark, sf_dir, name)`` builds the
 DataFrame; ``corpus_ctes(names)`` renders the same SELECTs as a WITH clause.
 
 A design is an order, its modules are the order's distinct line numbers (1–7).
@@ -33,19 +33,28 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _lines(*parts: str) -> str:
-    return " || ".join(f"{p} || {_NL}" for p in parts)
+def _per_line(expr: str, sep: str = "''") -> str:
+    """Concatenation over the lines of a design in order of n; rendered per engine."""
+    return f"@ordered[{expr}@sep{sep}@]"
 
 
-def _per_line(expr: str, order: range = range(1, 8)) -> str:
-    """Ordered concatenation over n = 1..7; NULL parts vanish."""
-    parts = ", ".join(f"max(CASE WHEN n = {i} THEN {expr} END)" for i in order)
-    return f"concat_ws('', {parts})"
+def _render(sql: str, engine: str) -> str:
+    """``@ordered[expr@sepX@]``: the one place where the two engines' functions differ."""
+    while "@ordered[" in sql:
+        head, rest = sql.split("@ordered[", 1)
+        expr, rest = rest.split("@sep", 1)
+        sep, tail = rest.split("@]", 1)
+        if engine == "spark":
+            call = f"array_join(transform(array_sort(collect_list(struct(n, {expr} AS t))), x -> x.t), {sep})"
+        else:
+            call = f"string_agg({expr}, {sep} ORDER BY n)"
+        sql = head + call + tail
+    return sql
 
 
-def _per_line_sep(expr: str, sep: str) -> str:
-    parts = ", ".join(f"max(CASE WHEN n = {i} THEN {expr} END)" for i in range(1, 8))
-    return f"concat_ws({sep}, {parts})"
+def _has(b: str) -> str:
+    """Whether the design also has module number ``b``."""
+    return f"(mask & CAST(pow(2, {b}) AS BIGINT)) <> 0"
 
 
 _SN = "CAST(n AS STRING)"
@@ -57,7 +66,9 @@ _MODULE_TEXT = (
     "CASE WHEN flag = 'R' THEN '' ELSE '    input wire clk, input wire d, output wire q);' || " + _NL + " END || "
     "'  /* flag ' || flag || ' in ' || design_name || ' */' || " + _NL + " || "
     "'  initial $display(\"lit // ' || flag || ' /* x */\");' || " + _NL + " || "
-    "coalesce(inst_text, '') || "
+    "CASE WHEN " + _has("2 * n") + " THEN '  m' || CAST(2 * n AS STRING) || ' u_a (.clk(clk));' || chr(10) ELSE '' END || "
+    "CASE WHEN " + _has("2 * n + 1") + " THEN '  m' || CAST(2 * n + 1 AS STRING) || ' #(.W(8)) u_b (.clk(clk));' || chr(10) ELSE '' END || "
+    "CASE WHEN n NOT IN (2, 3) AND " + _has("n + 3") + " THEN '  m' || CAST(n + 3 AS STRING) || ' u_c (.clk(clk));' || chr(10) ELSE '' END || "
     "'  assign q = d; // tail' || " + _NL + " || 'endmodule' || " + _NL
 )
 
@@ -75,7 +86,9 @@ CORPORA: dict[str, tuple[list[str], str]] = {
     # --- HDL corpus ------------------------------------------------------------
     "mods": (
         ["lineitem"],
-        "SELECT *, dataset_name || '__d' || CAST(okey AS STRING) AS design_name FROM ("
+        "SELECT *, dataset_name || '__d' || CAST(okey AS STRING) AS design_name, "
+        # numbers of all modules of the design as bits (at most seven rows per order)
+        "CAST(sum(CAST(pow(2, n) AS BIGINT)) OVER (PARTITION BY okey) AS BIGINT) AS mask FROM ("
         "SELECT l_orderkey AS okey, CAST(l_linenumber AS INT) AS n, min(l_returnflag) AS flag, "
         "CASE WHEN l_orderkey % 3 = 0 THEN 'opencores' WHEN l_orderkey % 7 = 0 THEN 'vtr' "
         "WHEN l_orderkey % 7 IN (1, 2) THEN 'koios' ELSE 'epfl' END AS dataset_name "
@@ -91,59 +104,41 @@ CORPORA: dict[str, tuple[list[str], str]] = {
     ),
     "pairs": (
         ["mods"],
-        "SELECT DISTINCT p.design_name, p.okey, p.n AS n, p.b AS b FROM ("
-        "SELECT design_name, okey, n, 2 * n AS b FROM {mods} UNION ALL "
-        "SELECT design_name, okey, n, 2 * n + 1 AS b FROM {mods} UNION ALL "
-        "SELECT design_name, okey, n, n + 3 AS b FROM {mods}) p "
-        "JOIN {mods} m ON m.okey = p.okey AND m.n = p.b",
+        "SELECT design_name, okey, n, 2 * n AS b FROM {mods} WHERE " + _has("2 * n") + " UNION ALL "
+        "SELECT design_name, okey, n, 2 * n + 1 AS b FROM {mods} WHERE " + _has("2 * n + 1") + " UNION ALL "
+        "SELECT design_name, okey, n, n + 3 AS b FROM {mods} WHERE n NOT IN (2, 3) AND " + _has("n + 3"),
     ),
     "inst": (
         ["pairs"],
         "SELECT design_name, 'm' || CAST(n AS STRING) AS parent, 'm' || CAST(b AS STRING) AS child FROM {pairs}",
     ),
-    "module_children": (
-        ["pairs"],
-        "SELECT design_name AS dn, n AS pn, "
-        "concat_ws('', max(CASE WHEN b = 2 * n THEN '  m' || CAST(b AS STRING) || ' u_a (.clk(clk));' || chr(10) END), "
-        "max(CASE WHEN b = 2 * n + 1 THEN '  m' || CAST(b AS STRING) || ' #(.W(8)) u_b (.clk(clk));' || chr(10) END), "
-        "max(CASE WHEN b = n + 3 AND b <> 2 * n AND b <> 2 * n + 1 "
-        "THEN '  m' || CAST(b AS STRING) || ' u_c (.clk(clk));' || chr(10) END)) AS inst_text "
-        "FROM {pairs} GROUP BY design_name, n",
-    ),
     "module_texts": (
-        ["mods", "module_children"],
-        "SELECT dataset_name, design_name, n, flag, " + _MODULE_TEXT + " AS module_text "
-        "FROM {mods} LEFT JOIN {module_children} ON dn = design_name AND pn = n",
+        ["mods"],
+        "SELECT dataset_name, design_name, n, flag, " + _MODULE_TEXT + " AS module_text FROM {mods}",
     ),
     "hdl_files": (
         ["module_texts"],
-        "SELECT dataset_name, design_name, CASE WHEN n <= 3 THEN 'core.v' ELSE 'leaf.v' END AS file_name, "
-        "'verilog' AS role, '`timescale 1ns/1ps' || chr(10) || "
+        "SELECT dataset_name, design_name, file_name, 'verilog' AS role, '`timescale 1ns/1ps' || chr(10) || "
         + _per_line("module_text || chr(10)")
-        + " AS text FROM {module_texts} GROUP BY dataset_name, design_name, CASE WHEN n <= 3 THEN 'core.v' ELSE 'leaf.v' END",
+        + " AS text FROM (SELECT *, CASE WHEN n <= 3 THEN 'core.v' ELSE 'leaf.v' END AS file_name FROM {module_texts}) t "
+        "GROUP BY dataset_name, design_name, file_name",
     ),
     # --- tool outputs as text ---------------------------------------------------
-    "cells": (
-        ["pairs", "mods"],
-        "SELECT design_name, n, concat_ws(',', "
-        "max(CASE WHEN b = 2 * n THEN '\"u_a\":{{\"type\":\"m' || CAST(b AS STRING) || '\"}}' END), "
-        "max(CASE WHEN b = 2 * n + 1 THEN '\"u_b\":{{\"type\":\"m' || CAST(b AS STRING) || '\"}}' END), "
-        "max(CASE WHEN b = n + 3 THEN '\"u_c\":{{\"type\":\"' || "
-        "CASE WHEN b = 5 OR b = 6 THEN '$paramod' || chr(92) || chr(92) || 'm' || CAST(b AS STRING) || '-W8' "
-        "ELSE 'm' || CAST(b AS STRING) END || '\"}}' END)) AS cell_text FROM {pairs} GROUP BY design_name, n",
-    ),
     "netlist_json": (
-        ["mods", "cells"],
+        ["mods"],
         "SELECT design_name, '{{\"creator\":\"gen\",\"modules\":{{' || "
-        + _per_line_sep(
+        + _per_line(
             "'\"m' || CAST(n AS STRING) || '\":{{\"attributes\":{{}},\"cells\":{{\"g\":{{\"type\":\"$add\"}}' || "
-            "CASE WHEN cell_text IS NULL THEN '' ELSE ',' || cell_text END || '}}}}' || "
+            "CASE WHEN " + _has("2 * n") + " THEN ',\"u_a\":{{\"type\":\"m' || CAST(2 * n AS STRING) || '\"}}' ELSE '' END || "
+            "CASE WHEN " + _has("2 * n + 1") + " THEN ',\"u_b\":{{\"type\":\"m' || CAST(2 * n + 1 AS STRING) || '\"}}' ELSE '' END || "
+            "CASE WHEN " + _has("n + 3") + " THEN ',\"u_c\":{{\"type\":\"' || "
+            "CASE WHEN n IN (2, 3) THEN '$paramod' || chr(92) || chr(92) || 'm' || CAST(n + 3 AS STRING) || '-W8' "
+            "ELSE 'm' || CAST(n + 3 AS STRING) END || '\"}}' ELSE '' END || '}}}}' || "
             "CASE WHEN n = 5 OR n = 6 THEN ',\"$paramod' || chr(92) || chr(92) || 'm' || CAST(n AS STRING) || "
             "'-W8\":{{\"attributes\":{{\"hdlname\":\"m' || CAST(n AS STRING) || '\"}},\"cells\":{{}}}}' ELSE '' END",
             "','",
         )
-        + " || '}}}}' AS json FROM (SELECT m.design_name, m.n, c.cell_text FROM {mods} m "
-        "LEFT JOIN {cells} c ON c.design_name = m.design_name AND c.n = m.n) t GROUP BY design_name",
+        + " || '}}}}' AS json FROM {mods} GROUP BY design_name",
     ),
     "rtlil": (
         ["mods"],
@@ -162,7 +157,7 @@ CORPORA: dict[str, tuple[list[str], str]] = {
         + " AS rtlil, 'input [0:0] CLK' || chr(10) || 'input [0:0] clk_b' || chr(10) || '  input [0:0] rst_n ' || chr(10) || "
         "'input [7:0] data' || chr(10) || 'inout [0:0] pad' || chr(10) || "
         + _per_line("'output [' || CAST(n AS STRING) || ':0] q' || CAST(n AS STRING) || chr(10)")
-        + " AS portlist FROM (SELECT design_name, n, flag FROM {mods}) t GROUP BY design_name",
+        + " AS portlist FROM {mods} GROUP BY design_name",
     ),
     "connectivity": (
         ["pairs"],
@@ -173,7 +168,7 @@ CORPORA: dict[str, tuple[list[str], str]] = {
         "CASE WHEN n = 3 THEN 'u' || CAST(n AS STRING) ELSE 's' || CAST(n AS STRING) END AS line FROM {pairs}",
     ),
     "ast_json": (
-        ["module_texts", "mods"],
+        ["mods"],
         "SELECT t.design_name, 'm' || CAST(t.n AS STRING) || '.v' AS file_name, "
         "'{{\"f.v\":{{\"tree\":{{\"tag\":\"kModule\",\"children\":[{{\"tag\":\"id\",\"text\":\"m' || CAST(t.n AS STRING) || "
         "'\"}},null,{{\"tag\":\"kBody\",\"children\":[' || "
@@ -192,7 +187,7 @@ CORPORA: dict[str, tuple[list[str], str]] = {
             "CASE WHEN n = 2 THEN '.exdc' || chr(10) || '.names z' || chr(10) || '1' || chr(10) ELSE '' END || "
             "'.end' || chr(10)"
         )
-        + " AS text FROM (SELECT design_name, n, flag FROM {mods}) t GROUP BY design_name",
+        + " AS text FROM {mods} GROUP BY design_name",
     ),
     "cell_array_files": (
         ["mods"],
@@ -202,7 +197,7 @@ CORPORA: dict[str, tuple[list[str], str]] = {
             "'],s[' || CAST(n AS STRING) || ':0]);' WHEN 'N' THEN 'ha x' || CAST(n AS STRING) || '[3:1] (p[5:7],q[2:0]);' "
             "ELSE CASE WHEN n = 7 THEN 'ha bad[0:3](a[0:2]);' ELSE '  wire w' || CAST(n AS STRING) || ';' END END || chr(10)"
         )
-        + " || 'endmodule' || chr(10) AS text FROM (SELECT design_name, n, flag FROM {mods}) t GROUP BY design_name",
+        + " || 'endmodule' || chr(10) AS text FROM {mods} GROUP BY design_name",
     ),
     # --- paths and catalogue rows -------------------------------------------------
     "member_paths": (
@@ -233,7 +228,7 @@ def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return spread(df) if name in TEXT_TABLES else df
     deps, sql = CORPORA[name]
-    return spark.sql(sql, **{d: corpus(spark, sf_dir, d) for d in deps})
+    return spark.sql(_render(sql, "spark"), **{d: corpus(spark, sf_dir, d) for d in deps})
 
 
 def corpus_ctes(*names: str) -> str:
@@ -250,4 +245,4 @@ def corpus_ctes(*names: str) -> str:
     for n in names:
         visit(n)
     render = {n: n for n in TABLES + list(CORPORA)}
-    return ", ".join(f"{n} AS ({CORPORA[n][1].format(**render)})" for n in seen)
+    return ", ".join(f"{n} AS ({_render(CORPORA[n][1].format(**render), 'duckdb')})" for n in seen)
