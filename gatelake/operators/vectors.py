@@ -26,21 +26,54 @@ def char_terms(docs: DataFrame, key: str) -> DataFrame:
         key, F.col("ch").alias("term"), F.col("n").alias("tf"))
 
 
-def word_terms(docs: DataFrame, key: str, max_n: int = 3) -> DataFrame:
-    """``(key, term, tf)`` over lower-case word 1..n-grams (words of two or more characters)."""
-    words = docs.select(key, X.find_all(F.lower("text"), WORD).alias("w"))
+def _words(docs: DataFrame, key: str) -> DataFrame:
+    return docs.select(key, X.find_all(F.lower("text"), WORD).alias("w"))
+
+
+def _ngrams(words: DataFrame, key: str, sizes: range, usable: list[str] | None = None) -> DataFrame:
+    """``(key, term)``, one row per n-gram; with ``usable``, only n-grams made of those words. Narrow."""
+    if usable is not None:
+        # other words become NULL, and an n-gram with a NULL part is not built
+        words = words.select(key, F.transform("w", lambda x: F.when(x.isin(usable), x)).alias("w"))
 
     def grams(n: int):
         if n == 1:
             return F.col("w")
-        last = F.size("w") - (n - 1)
-        return F.when(
-            last > 0,
-            F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
+        shifted = [F.slice("w", F.lit(i + 1), F.greatest(F.size("w") - (n - 1), F.lit(0))) for i in range(n)]
+        return F.transform(
+            F.arrays_zip(*[s.alias(f"g{i}") for i, s in enumerate(shifted)]),
+            lambda z: F.when(~F.greatest(*[z[f"g{i}"].isNull() for i in range(n)]), F.concat_ws(" ", *[z[f"g{i}"] for i in range(n)])),
+        )
+
+    return words.select(key, F.explode(F.concat(*[grams(n) for n in sizes])).alias("term")).filter("term IS NOT NULL")
 
+
+def word_vocabulary(docs: DataFrame, key: str, max_n: int = 3, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The ``max_features`` most frequent lower-case word 1..n-grams (words of two or more characters).
+
+    Exact, but without counting every n-gram: an n-gram is at most as frequent
+    as its rarest word, and ``max_features`` words alone reach the count of
+    the last of them, so n-grams with a rarer word cannot make the list. Only
+    n-grams of the remaining words are built and shuffled.
+    """
+    words = _words(docs, key)
+    single = materialize(
+        _ngrams(words, key, range(1, 2)).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "word_counts")
+    top = single.orderBy(F.col("n").desc()).limit(max_features).agg(F.count(F.lit(1)), F.min("n")).collect()[0]
+    usable = None
+    if top[0] == max_features:
+        # at most max_features words plus ties; with more ties than that, all n-grams are counted
+        rows = single.filter(F.col("n") >= top[1]).select("term").take(4 * max_features + 1)
+        usable = [r[0] for r in rows] if len(rows) <= 4 * max_features else None
+    longer = _ngrams(words, key, range(2, max_n + 1), usable).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return single.unionByName(longer).orderBy(F.col("n").desc(), "term").limit(max_features).select("term")
+
+
+def word_terms(docs: DataFrame, key: str, vocab: DataFrame, max_n: int = 3) -> DataFrame:
+    """``(key, term, tf)`` of the vocabulary's terms; others are dropped before the shuffle."""
+    # bounded: max_features rows
     return (
-        words.select(key, F.explode(F.concat(*[grams(n) for n in range(1, max_n + 1)])).alias("term"))
+        _ngrams(_words(docs, key), key, range(1, max_n + 1)).join(F.broadcast(vocab.select("term")), "term")
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     )
 
@@ -83,7 +116,7 @@ def tfidf_char(docs: DataFrame, key: str) -> DataFrame:
 
 def tfidf_word_ngrams(docs: DataFrame, key: str) -> DataFrame:
     """Word 1–3-gram TF-IDF."""
-    terms = materialize(word_terms(docs, key), "word_terms")
+    terms = materialize(word_terms(docs, key, word_vocabulary(docs, key)), "word_terms")
     return tfidf(terms, docs.agg(F.count(F.lit(1))), key, vocabulary(terms))
 
 
@@ -145,6 +178,7 @@ def svd_2d(weights: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Uncentred truncated-SVD projection ``(key, x, y)``."""
     size = _size(weights)
     vectors = _dense_vectors(weights, key, size).select("features")
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features"))
-    loadings = _fix_signs(matrix.computeSVD(2, computeU=False).V.toArray())
+    # one distributed pass for AᵀA (at most 1024²); its leading eigenvectors are the right singular vectors
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features")).computeGramianMatrix().toArray()
+    loadings = _fix_signs(np.linalg.eigh(gram)[1][:, :-3:-1])
     return _project(weights, keys, key, loadings, np.zeros(2))

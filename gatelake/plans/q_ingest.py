@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from gatelake.operators import quality
 from gatelake.plans import flows
 from gatelake.plans.registry import query
+from gatelake.session import materialize
 from gatelake.sources import archives, index_pages, rules, sinks
 
 
@@ -111,7 +112,7 @@ def attach_shared_files(src):
        SELECT 'opencores' AS dataset_name, 'opencores__' || source AS design_name, CAST(doc_id AS STRING) || '.v' AS file_name, 'verilog' AS role, text FROM documents
        UNION ALL SELECT DISTINCT 'opencores', 'opencores__' || source, 'README.md', 'aux', source FROM documents) t""")
 def source_plugin_load(src):
-    members = archives.expand_archives(_archives(src))
+    members = materialize(archives.expand_archives(_archives(src)), "members")
     files = rules.SOURCES["opencores"]().load(members)[1]
     # every document writes top.txt, so which language wins depends on member order; checked elsewhere
     return files.filter("file_name <> 'top.txt'").select("dataset_name", "design_name", "file_name", "role", F.md5("text").alias("h"))

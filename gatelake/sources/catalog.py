@@ -102,16 +102,19 @@ def drop_testbenches(files: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ changes
-def last_written(files: DataFrame, seq: str = "load_seq") -> DataFrame:
-    """One row per (design, file name): the last write wins.
+def last_written(files: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """One row per (design, file name): the last write by ``order`` (default ``load_seq``) wins.
 
-    A max-by over the thin keys picks the winner with map-side combine, so
-    copies of one file collapse before the shuffle.
+    ``files`` is a written table whose ``order`` values are unique per key.
+    The losers are found from the key columns alone and taken out by an anti
+    join, so the text is shuffled only when the losers are too many for the
+    planner to broadcast.
     """
-    keys = ["design_name", "file_name"]
-    rest = [c for c in files.columns if c not in keys]
-    best = files.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_w"))
-    return best.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(files.columns)
+    keys, order = ["design_name", "file_name"], order or ["load_seq"]
+    at = files.select(*keys, *order, F.struct(*order).alias("_at"))
+    rewritten = at.groupBy(*keys).agg(F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    losers = at.join(rewritten, keys).filter(F.col("_at") < F.col("_last")).select(*keys, *order)
+    return files.join(losers, [*keys, *order], "left_anti")
 
 
 def upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -323,7 +323,8 @@ class SourcePlugin:
     """A source: its rules, an optional expander for its archives, and optional list file.
 
     ``load(members)`` gives ``(designs, files)`` ready for the catalogue's
-    upsert. Subclass or instantiate with other rules for a new source.
+    upsert; ``members`` should be a written table (``materialize``), since
+    archives are not worth expanding twice. Subclass or instantiate with other rules for a new source.
     """
 
     def __init__(self, dataset: str, rules: list[Rule] | None = None, *, list_path: str | None = None,
@@ -341,12 +342,13 @@ class SourcePlugin:
             members = members.unionByName(self.expander(members))
         chosen = select_listed(members, self.list_path) if self.list_path else members
         placed = apply_rules(chosen, self.rules)
-        files = placed.select(
-            "dataset_name", "design_name", "file_name", "role",
-            X.normalize_newlines(F.decode("content", "UTF-8")).alias("text"), "load_seq")
-        # the same file name twice in one design: the later member wins, per role
-        files = last_written(files.withColumn("file_name", F.concat_ws("\u0000", "role", "file_name"))).withColumn(
-            "file_name", F.substring_index("file_name", "\u0000", -1)).drop("load_seq")
+        text = X.normalize_newlines(F.decode("content", "UTF-8"))
+        stored = placed.select(
+            "dataset_name", "design_name", F.concat_ws("/", "role", "file_name").alias("file_name"), "role",
+            text.alias("text"), "archive", "load_seq")
+        # the same name twice in one design and role: the later member wins
+        files = last_written(stored, ["archive", "load_seq"]).select(
+            "dataset_name", "design_name", X.base_name(F.col("file_name")).alias("file_name"), "role", "text")
         designs = placed.select("design_name", "dataset_name").distinct().withColumn(
             "dataset_tags", F.array(*[F.lit(t) for t in self.tags]))
         files = repaired(files)
