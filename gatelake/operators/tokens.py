@@ -68,9 +68,11 @@ def _char_rows(keys: list[str], only: np.ndarray | None):
                 rows.append(np.full(len(c), i))
                 codes.append(c)
                 counts.append(n)
-            out = pdf[keys].iloc[np.concatenate(rows)].reset_index(drop=True) if rows else pdf[keys].iloc[:0]
-            out["ch"] = [chr(x) for x in np.concatenate(codes)] if codes else []
-            out["n"] = np.concatenate(counts).astype("int64") if counts else []
+            if not rows or not sum(map(len, rows)):
+                continue  # only empty texts in this batch
+            out = pdf[keys].iloc[np.concatenate(rows)].reset_index(drop=True)
+            out["ch"] = [chr(x) for x in np.concatenate(codes)]
+            out["n"] = np.concatenate(counts).astype("int64")
             yield out
 
     return run
