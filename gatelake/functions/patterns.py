@@ -18,6 +18,7 @@ WS_CLASS = (
 )
 WHITESPACE = f"[{WS_CLASS}]+"
 NON_WHITESPACE = f"[^{WS_CLASS}]"
+ASCII_WHITESPACE = r"[\t-\r\x1C-\x20]+"
 
 # --- fixed values: comment, literal and module patterns ---
 COMMENT_OR_LITERAL = (
@@ -74,5 +75,6 @@ PRINTABLE = (
 # --- fixed values: built-in token rules ---
 TOKEN_RULES = {
     "word_punct": r"\w+|[^\w\s]",
-    "hdl": r"[A-Za-z_][A-Za-z0-9_$]*|[0-9]+(?:'[sS]?[bodhBODH][0-9a-fA-FxXzZ_?]+)?|[^A-Za-z0-9_$\s]",
+    # numbers come first, so a word match never starts with a digit
+    "hdl": r"\d+(?:'[sS]?[bodhBODH][0-9a-fA-FxXzZ_?]+)?|\w[\w$]*|[^\w$\s]",
 }

@@ -25,27 +25,28 @@ def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None)
     distance. ``roots`` limits the start nodes (all nodes by default).
     """
     seeds = (roots if roots is not None else nodes).select(D, "module_name").distinct()
+    # one shuffle: the repartitioning also serves the distinct, and the checkpoint keeps it for every round
     out_edges = checkpoint(
-        edges.select(D, F.col("parent").alias(NODE), "child").distinct().repartition(D, NODE)
+        edges.select(D, F.col("parent").alias(NODE), "child").repartition(D, NODE).distinct()
     )
-    frontier = checkpoint(
-        seeds.select(D, F.col("module_name").alias(ROOT), F.col("module_name").alias(NODE), F.lit(0).alias("level"))
-        .repartition(D, ROOT, NODE)
-    )
-    known, level = frontier, 0
-    while not frontier.isEmpty():
+    start = seeds.select(D, F.col("module_name").alias(ROOT), F.col("module_name").alias(NODE), F.lit(0).alias("level"))
+    frontier, known, level = start, None, 0
+    while True:
         level += 1
         reached = (
             frontier.select(D, ROOT, NODE).join(out_edges, [D, NODE])
+            .filter(F.col("child") != F.col(ROOT))  # a root is known from the start
             .select(D, ROOT, F.col("child").alias(NODE)).distinct()
         )
-        frontier = checkpoint(
-            reached.join(known.select(D, ROOT, NODE), [D, ROOT, NODE], "left_anti").withColumn("level", F.lit(level))
-        )
-        known = known.unionByName(frontier)
+        if known is not None:
+            reached = reached.join(known.select(D, ROOT, NODE), [D, ROOT, NODE], "left_anti")
+        frontier = checkpoint(reached.withColumn("level", F.lit(level)))
+        if frontier.isEmpty():
+            break
+        known = frontier if known is None else known.unionByName(frontier)
         if level % 8 == 0:  # keep the union short on deep graphs
             known = checkpoint(known.repartition(D, ROOT, NODE))
-    return known
+    return start if known is None else start.unionByName(known)
 
 
 def peel(nodes: DataFrame, edges: DataFrame, *, from_leaves: bool = False) -> DataFrame:
@@ -57,7 +58,7 @@ def peel(nodes: DataFrame, edges: DataFrame, *, from_leaves: bool = False) -> Da
     NULL. Linear in the edges, unlike a closure.
     """
     a, b = ("child", "parent") if from_leaves else ("parent", "child")
-    left = checkpoint(edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct())
+    left = edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct()
     blocked = left.select(D, F.col("dst").alias("module_name"))
     free = nodes.select(D, "module_name").distinct().join(blocked, [D, "module_name"], "left_anti")
     levels, level = free.withColumn("level", F.lit(0)), 0
@@ -137,15 +138,17 @@ def top_scores(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     nodes, edges = checkpoint(nodes), checkpoint(edges)  # each is read several times
     tops = checkpoint(top_modules(nodes, edges))
     sizes = subgraph_sizes(closure(nodes, edges, tops), edges).withColumnRenamed(ROOT, "module_name")
-    scored = sizes.join(depths(nodes, edges), [D, "module_name"]).withColumn(
-        "raw_score", (F.col("depth") + 1) * (F.col("n_nodes") + 1) * (F.col("n_edges") + 1)
+    # read twice below: for the rows and for their sum
+    scored = checkpoint(
+        sizes.join(depths(nodes, edges), [D, "module_name"])
+        .select(
+            D, "module_name", F.col("depth").cast("long").alias("depth"), "n_nodes", "n_edges",
+            ((F.col("depth") + 1) * (F.col("n_nodes") + 1) * (F.col("n_edges") + 1)).cast("long").alias("raw_score"),
+        )
     )
     # tops of one design are summed by key and joined back: no per-design window
     total = scored.groupBy(D).agg(F.sum("raw_score").alias("_total"))
-    return scored.join(total, D).select(
-        D, "module_name", F.col("depth").cast("long").alias("depth"), "n_nodes", "n_edges",
-        F.col("raw_score").cast("long").alias("raw_score"), (F.col("raw_score") / F.col("_total")).alias("score"),
-    )
+    return scored.join(total, D).withColumn("score", F.col("raw_score") / F.col("_total")).drop("_total")
 
 
 def auto_top(scores: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
+from gatelake.functions import text as X
 
 FILE_KEYS = ["dataset_name", "design_name", "file_name"]
 
@@ -30,7 +31,7 @@ def token_counts(
     t = F.col("text")
     counts = []
     for r in rules:
-        n = F.ceil(F.length(t) / 4) if r == "chars4" else F.regexp_count(t, F.lit(P.TOKEN_RULES[r]))
+        n = F.ceil(F.length(t) / 4) if r == "chars4" else X.count_matches(t, P.TOKEN_RULES[r])
         counts.append(F.struct(F.lit(r).alias("tokenizer"), n.cast("long").alias("num_tokens")))
     for name, factory in (encoders or {}).items():
         counts.append(F.struct(F.lit(name).alias("tokenizer"), _encoder_udf(factory)(t).alias("num_tokens")))

@@ -16,7 +16,7 @@ from gatelake.operators.tokens import char_frequencies
 from gatelake.session import materialize
 
 MAX_FEATURES = 1024
-WORD = r"(?U)\b\w\w+\b"
+WORD = r"(?U)\w\w+"
 
 
 def char_terms(docs: DataFrame, key: str) -> DataFrame:

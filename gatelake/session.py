@@ -15,6 +15,8 @@ def local_session(cores: str | int = 8, app: str = "gatelake", **conf: str) -> S
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else 8))
         .config("spark.sql.adaptive.enabled", "true")
+        # small test tables: do not merge shuffles down to one or two busy cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
