@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatelake.llm import classifier, decontaminate, jaccard, pieces, pseudonyms
+from gatelake.llm import classifier, decontaminate, jaccard, licenses, ngram, pieces, pseudonyms, rules, secrets, urls
 from gatelake.llm.common import table
 from gatelake.llm.oracles import ORACLES  # noqa: F401
 
@@ -22,16 +22,40 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("posterior", 4).alias("posterior")
+    )
+
+
+@query
+def op2_ngram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score")
+    )
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = pieces.read_model(MODEL_PATH)
@@ -49,6 +73,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
 
 
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
