@@ -157,3 +157,13 @@ def clean_name(
     for old, new in (replacements or {}).items():
         base = F.replace(base, F.lit(old), F.lit(new))
     return F.upper(base) if upper else base
+
+
+def decode_text(content: Column) -> Column:
+    """Text of file bytes: UTF-8 where valid, else Latin-1, which reads any bytes; nothing is lost."""
+    return F.coalesce(F.try_validate_utf8(content.cast("string")), F.decode(content, "ISO-8859-1"))
+
+
+def decode_status(content: Column) -> Column:
+    """``ok``, or ``not_utf8`` for bytes that were read as Latin-1."""
+    return F.when(F.is_valid_utf8(content.cast("string")), "ok").otherwise("not_utf8")

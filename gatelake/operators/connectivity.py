@@ -16,11 +16,18 @@ BOTH_WAYS = ["inout", "pio"]
 KNOWN = INTO_CELL + OUT_OF_CELL + BOTH_WAYS
 
 
-def scan_connectivity(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless six-column TSV. Row order is the file offset order of the scan."""
+def scan_connectivity(spark: SparkSession, path: str, design: str = r"([^/=]+)/[^/]*$") -> DataFrame:
+    """Headerless six-column TSV files as rows of their designs, ready for the graph.
+
+    ``design`` is a pattern whose first group takes the design from the file's
+    path (by default its folder, without a ``name=``). ``row_idx`` rises with the
+    row's place in its file: the start of the split it was read from plus its
+    number within the task, which is below the length of a split.
+    """
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return (
         spark.read.schema(schemas.CONNECTIVITY).option("sep", "\t").option("quote", "").csv(path)
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
+        .select(F.regexp_extract(F.col("_metadata.file_path"), design, 1).alias(D), place.alias("row_idx"), *[f.name for f in schemas.CONNECTIVITY])
     )
 
 

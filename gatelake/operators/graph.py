@@ -2,17 +2,22 @@
 
 Nodes are ``(design_name, module_name)``, edges ``(design_name, parent, child)``.
 Work is keyed by (design, node), so one very large design is spread over all
-tasks. Loops checkpoint every round's frontier: lineage stays short, a lost
-executor costs one round, and the checkpoint keeps its hash partitioning.
+tasks, and adaptive skew splitting acts on hub nodes. Loops checkpoint every
+round's frontier: lineage stays short and a lost executor costs one round. A
+checkpoint does not remember how it was partitioned: each round's joins shuffle
+both sides again, unless the frontier is small enough for the planner to
+broadcast, which leaves the edges where they are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.operators.summary import top_one
-from gatelake.session import checkpoint
+from gatelake.session import checkpoint, materialize
 
 D, ROOT, NODE = "design_name", "root", "node"
 
@@ -25,10 +30,7 @@ def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None)
     distance. ``roots`` limits the start nodes (all nodes by default).
     """
     seeds = (roots if roots is not None else nodes).select(D, "module_name").distinct()
-    # one shuffle: the repartitioning also serves the distinct, and the checkpoint keeps it for every round
-    out_edges = checkpoint(
-        edges.select(D, F.col("parent").alias(NODE), "child").repartition(D, NODE).distinct()
-    )
+    out_edges = materialize(edges.select(D, F.col("parent").alias(NODE), "child").distinct(), "edges")
     start = seeds.select(D, F.col("module_name").alias(ROOT), F.col("module_name").alias(NODE), F.lit(0).alias("level"))
     frontier, known, level = start, None, 0
     while True:
@@ -45,7 +47,7 @@ def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None)
             break
         known = frontier if known is None else known.unionByName(frontier)
         if level % 8 == 0:  # keep the union short on deep graphs
-            known = checkpoint(known.repartition(D, ROOT, NODE))
+            known = checkpoint(known)
     return start if known is None else start.unionByName(known)
 
 
@@ -55,25 +57,37 @@ def peel(nodes: DataFrame, edges: DataFrame, *, from_leaves: bool = False) -> Da
     From the roots, ``level`` is the longest path from any root (a
     topological level); from the leaves it is the longest path below the node
     (its depth). Nodes on or behind a cycle never become free: their level is
-    NULL. Linear in the edges, unlike a closure.
+    NULL. Ends of edges are nodes, whether ``nodes`` lists them or not.
+
+    Edges are written once and never rewritten. A round reads the edges out of
+    the nodes freed by the round before, and keeps a count of open edges only
+    for the nodes that are not free yet.
     """
     a, b = ("child", "parent") if from_leaves else ("parent", "child")
-    left = edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct()
-    blocked = left.select(D, F.col("dst").alias("module_name"))
-    free = nodes.select(D, "module_name").distinct().join(blocked, [D, "module_name"], "left_anti")
-    levels, level = free.withColumn("level", F.lit(0)), 0
+    links = materialize(edges.select(D, F.col(a).alias("src"), F.col(b).alias("dst")).distinct(), "links")
+    ends = links.select(D, F.explode(F.array("src", "dst")).alias("module_name"))
+    waits = links.groupBy(D, F.col("dst").alias("module_name")).agg(F.count(F.lit(1)).alias("left"))
+    # every node once, with the number of edges it waits for
+    state = checkpoint(
+        nodes.select(D, "module_name", F.lit(0).cast("long").alias("left"))
+        .unionByName(ends.withColumn("left", F.lit(0).cast("long"))).unionByName(waits)
+        .groupBy(D, "module_name").agg(F.max("left").alias("left"))
+    )
+    done, level = [], 0
     while True:
-        level += 1
-        # edges out of a free node go; a node is free once its last incoming edge is gone
-        gone = checkpoint(left.join(free.select(D, F.col("module_name").alias("src"), F.lit(True).alias("_gone")), [D, "src"], "left"))
-        left = gone.filter("_gone IS NULL").select(D, "src", "dst")
-        free = gone.groupBy(D, F.col("dst").alias("module_name")).agg(
-            F.count_if(F.col("_gone").isNull()).alias("_n")).filter("_n = 0").select(D, "module_name")
+        free, waiting = state.filter("left = 0").select(D, "module_name"), state.filter("left > 0")
         if free.isEmpty():
             break
-        levels = levels.unionByName(free.withColumn("level", F.lit(level)))
-    stuck = left.select(D, F.col("dst").alias("module_name")).distinct()
-    return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
+        done.append(free.withColumn("level", F.lit(level)))
+        if len(done) == 16:  # keep the union short on deep graphs
+            done = [checkpoint(reduce(DataFrame.unionByName, done))]
+        level += 1
+        hit = links.join(free.withColumnRenamed("module_name", "src"), [D, "src"]).groupBy(
+            D, F.col("dst").alias("module_name")).agg(F.count(F.lit(1)).alias("n"))
+        state = checkpoint(waiting.join(hit, [D, "module_name"], "left").select(
+            D, "module_name", (F.col("left") - F.coalesce("n", F.lit(0))).alias("left")))
+    stuck = waiting.select(D, "module_name", F.lit(None).cast("int").alias("level"))
+    return reduce(DataFrame.unionByName, [*done, stuck])
 
 
 def is_dag(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -197,9 +211,9 @@ def hierarchy_diff(left_nodes: DataFrame, left_edges: DataFrame, right_nodes: Da
     ).withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
-def sub_designs(closed: DataFrame) -> DataFrame:
-    """Sub-designs per design: one per module, since closures of a named DAG differ."""
-    return closed.filter("level = 0").groupBy(D).agg(F.count(F.lit(1)).alias("num_sub_designs"))
+def sub_designs(nodes: DataFrame) -> DataFrame:
+    """Sub-designs per design: one per module, since closures of a named DAG differ. No closure is built."""
+    return nodes.select(D, "module_name").distinct().groupBy(D).agg(F.count(F.lit(1)).alias("num_sub_designs"))
 
 
 def fingerprints(closed: DataFrame, edges: DataFrame) -> DataFrame:

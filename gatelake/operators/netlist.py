@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,25 +77,56 @@ def structured_parts(netlists: DataFrame, closed: DataFrame) -> DataFrame:
         D, "root", F.col("node").alias("module_name"), "cell", "type")
 
 
+_PARTS = {"\\": "\\\\", ".": "\\."}
+
+
+def _leaves(value: object, path: str = ""):
+    """``(path, value)`` of every leaf, depth first; empty objects and arrays are leaves."""
+    stack = [(path, value)]
+    while stack:
+        at, v = stack.pop()
+        pairs = v.pairs if isinstance(v, _Object) else list(enumerate(v)) if isinstance(v, list) else []
+        if pairs:
+            for k, x in reversed(pairs):
+                part = str(k).translate(str.maketrans(_PARTS))
+                stack.append((f"{at}.{part}" if at else part, x))
+        elif isinstance(v, (_Object, list)):
+            yield at, "[]" if isinstance(v, list) else "{}"
+        else:
+            yield at, None if v is None else {True: "true", False: "false"}[v] if isinstance(v, bool) else v
+
+
+class _Object:
+    def __init__(self, pairs: list) -> None:
+        self.pairs = list(dict(pairs).items())
+
+
 def stat_metrics(stats: DataFrame, json_col: str = "json") -> DataFrame:
-    """Flatten statistics JSON to ``(design_name, path, value)`` rows.
+    """Flatten statistics JSON to ``(design_name, path, value)``: one row per leaf, at any depth.
 
-    Top-level scalars and the scalars of one nested level, through VARIANT, so
-    the keys need not be known.
+    Path parts are joined by dots; array items are numbered from 0; a dot or
+    backslash in a key is escaped by a backslash, so different keys never share
+    a path. Numbers keep their spelling. An unreadable document gives one row
+    with a NULL path. Narrow: rows leave in bounded batches.
     """
-    v = stats.select(D, F.parse_json(json_col).alias("v"))
-    spark = stats.sparkSession
-    return spark.sql(
-        """SELECT design_name, path, value FROM (
-             SELECT design_name, e.key AS path, CAST(e.value AS STRING) AS value, schema_of_variant(e.value) AS t
-             FROM {v}, LATERAL variant_explode(v) e
-             UNION ALL
-             SELECT design_name, concat(e.key, '.', f.key), CAST(f.value AS STRING), schema_of_variant(f.value)
-             FROM {v}, LATERAL variant_explode(v) e, LATERAL variant_explode_outer(e.value) f
-             WHERE schema_of_variant(e.value) LIKE 'OBJECT%' AND f.key IS NOT NULL)
-           WHERE t NOT LIKE 'OBJECT%' AND t NOT LIKE 'ARRAY%'""",
-        v=v,
-    )
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for name, doc in zip(pdf[D], pdf["json"]):
+                try:
+                    parsed = json.loads(doc, object_pairs_hook=_Object, parse_int=str, parse_float=str, parse_constant=str)
+                except (TypeError, ValueError):
+                    rows.append((name, None, None))
+                    continue
+                for path, value in _leaves(parsed):
+                    rows.append((name, path, value))
+                    if len(rows) >= 20_000:
+                        yield pd.DataFrame(rows, columns=[D, "path", "value"])
+                        rows = []
+            yield pd.DataFrame(rows, columns=[D, "path", "value"])
+
+    return stats.select(D, F.col(json_col).alias("json")).mapInPandas(run, f"{D} string, path string, value string")
 
 
 def module_list(listings: DataFrame) -> DataFrame:

@@ -66,9 +66,9 @@ def corpus_totals(files: DataFrame) -> DataFrame:
     )
 
 
-def expansion_factor(sub_design_counts: DataFrame) -> DataFrame:
-    """Σ sub-designs / #designs over ``(design_name, num_sub_designs)`` rows."""
-    return sub_design_counts.agg(
+def expansion_factor(sub_design_counts: DataFrame, *by: str) -> DataFrame:
+    """Σ sub-designs / #designs over ``(design_name, num_sub_designs)`` rows, per ``by`` (over all rows without)."""
+    return sub_design_counts.groupBy(*by).agg(
         F.count(F.lit(1)).alias("original_designs"),
         F.sum("num_sub_designs").alias("sub_designs"),
         (F.sum("num_sub_designs") / F.count(F.lit(1))).alias("expansion_factor"),

@@ -134,19 +134,21 @@ def topological_level(src):
 
 @query("sub_designs", "SELECT design_name, count(*) AS num_sub_designs FROM modules GROUP BY design_name", ("modules",))
 def sub_designs(src):
-    return graph.sub_designs(graph.closure(*_ni(src)))
+    return graph.sub_designs(src("modules"))
 
 
 @query(
     "expansion_factor",
-    """SELECT count(*) AS original_designs, CAST(sum(n) AS BIGINT) AS sub_designs, round(sum(n) / count(*), 9) AS expansion_factor
-       FROM (SELECT design_name, count(*) AS n FROM modules WHERE design_name LIKE 'opencores%' GROUP BY design_name) t""",
-    ("modules",),
+    """WITH t AS (SELECT d.dataset_name, m.design_name, count(*) AS n FROM modules m JOIN hdl_designs d ON d.design_name = m.design_name GROUP BY ALL)
+       SELECT coalesce(dataset_name, '*') AS dataset_name, count(*) AS original_designs, CAST(sum(n) AS BIGINT) AS sub_designs,
+       round(sum(n) / count(*), 9) AS expansion_factor FROM t GROUP BY GROUPING SETS ((dataset_name), ())""",
+    ("modules", "hdl_designs"),
 )
 def expansion_factor(src):
-    nodes, edges = (df.filter("design_name LIKE 'opencores%'") for df in _ni(src))
-    counts = graph.sub_designs(graph.closure(nodes, edges))
-    return summary.expansion_factor(counts).withColumn("expansion_factor", F.round("expansion_factor", 9))
+    counts = graph.sub_designs(src("modules")).join(src("hdl_designs"), "design_name")
+    per = summary.expansion_factor(counts, "dataset_name").unionByName(
+        summary.expansion_factor(counts).withColumn("dataset_name", F.lit("*")))
+    return per.withColumn("expansion_factor", F.round("expansion_factor", 9))
 
 
 @query(

@@ -1,12 +1,18 @@
 """Queries over ingest: archives, rules, shared files, index pages, sinks, flows and quality checks."""
 
+import json
+import os
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
+from gatelake.functions import text as X
 from gatelake.operators import quality
 from gatelake.plans import flows
 from gatelake.plans.registry import query
-from gatelake.session import materialize
-from gatelake.sources import archives, index_pages, rules, sinks
+from gatelake.session import materialize, shared_dir
+from gatelake.sources import archives, catalog, index_pages, rules, sinks
 
 
 def _archives(src):
@@ -108,14 +114,107 @@ def attach_shared_files(src):
 
 @query(
     "source_plugin_load",
-    """SELECT dataset_name, design_name, file_name, role, md5(text) AS h FROM (
-       SELECT 'opencores' AS dataset_name, 'opencores__' || source AS design_name, CAST(doc_id AS STRING) || '.v' AS file_name, 'verilog' AS role, text FROM documents
-       UNION ALL SELECT DISTINCT 'opencores', 'opencores__' || source, 'README.md', 'aux', source FROM documents) t""")
+    """WITH d AS (SELECT 'opencores__' || source AS design_name, doc_id, lang, text,
+         row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS STRING) || '.zip' DESC) AS late FROM documents)
+       SELECT 'files' AS t, design_name, CAST(doc_id AS STRING) || '.v' AS file_name, 'verilog' AS role, md5(text) AS h FROM d
+       UNION ALL SELECT DISTINCT 'files', 'opencores__' || source, 'README.md', 'aux', md5(source) FROM documents
+       UNION ALL SELECT 'files', design_name, 'top.txt', unnest(['top', 'aux']), md5(lang) FROM d WHERE late = 1
+       UNION ALL SELECT DISTINCT 'designs', 'opencores__' || source, 'opencores', 'open_source', NULL FROM documents""")
 def source_plugin_load(src):
+    """Every document writes ``top.txt``: the member of the last archive by name stays."""
     members = materialize(archives.expand_archives(_archives(src)), "members")
-    files = rules.SOURCES["opencores"]().load(members)[1]
-    # every document writes top.txt, so which language wins depends on member order; checked elsewhere
-    return files.filter("file_name <> 'top.txt'").select("dataset_name", "design_name", "file_name", "role", F.md5("text").alias("h"))
+    designs, files = rules.SOURCES["opencores"]().load(members)
+    return files.select(F.lit("files").alias("t"), "design_name", "file_name", "role", F.md5("text").alias("h")).unionByName(
+        designs.select(F.lit("designs").alias("t"), "design_name", F.col("dataset_name").alias("file_name"),
+                       F.array_join("dataset_tags", ",").alias("role"), F.lit(None).cast("string").alias("h")))
+
+
+@query(
+    "bad_input_ingest",
+    """SELECT 'file' AS kind, CAST(doc_id AS STRING) AS name, CASE WHEN doc_id % 5 = 0 THEN 'not_utf8' ELSE 'ok' END AS status,
+         CAST(CASE WHEN doc_id % 5 = 0 THEN strlen(text) + 1 ELSE length(text) END AS BIGINT) AS n FROM documents
+       UNION ALL SELECT 'archive', doc_id || '.zip', 'unreadable_archive', 0 FROM documents WHERE doc_id % 7 = 0
+       UNION ALL SELECT 'members', doc_id || '.zip', 'ok', 3 FROM documents WHERE doc_id % 7 <> 0""")
+def bad_input_ingest(src):
+    """Every fifth file has a byte that is no UTF-8, every seventh archive is cut off: both are named, the rest is kept."""
+    content = F.when(F.col("doc_id") % 5 == 0, F.concat(F.col("text").cast("binary"), F.lit(bytes([0xE9])))).otherwise(F.col("text").cast("binary"))
+    read = src("documents").select("doc_id", content.alias("c")).select(
+        F.lit("file").alias("kind"), F.col("doc_id").cast("string").alias("name"), X.decode_status(F.col("c")).alias("status"),
+        F.char_length(X.decode_text(F.col("c"))).cast("long").alias("n"))
+    cut = F.split("archive", "[.]")[0].cast("long") % 7 == 0
+    packed = _archives(src).withColumn("content", F.when(cut, F.expr("substring(content, 1, octet_length(content) - 30)")).otherwise(F.col("content")))
+    members = materialize(archives.expand_archives(packed), "members")
+    broken = archives.unreadable(members).select(F.lit("archive").alias("kind"), F.col("archive").alias("name"), "status", F.col("n_members").alias("n"))
+    whole = members.filter("path IS NOT NULL").groupBy(F.col("archive").alias("name")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("members").alias("kind"), "name", F.lit("ok").alias("status"), "n")
+    return read.unionByName(broken).unionByName(whole)
+
+
+def _tree(src) -> str:
+    """A design tree of the text corpus in the shared folder, written by the tasks: one design per source and language."""
+    root = f"{shared_dir(src.spark)}/gatelake/tree-{uuid.uuid4().hex}"
+    local = root.removeprefix("file://")
+
+    def write(batches):
+        for pdf in batches:
+            for design, dataset, name, text in zip(pdf["design_name"], pdf["dataset_name"], pdf["file_name"], pdf["text"]):
+                folder = f"{local}/designs/{design}"
+                os.makedirs(f"{folder}/sources", exist_ok=True)
+                os.makedirs(f"{folder}/aux_files", exist_ok=True)
+                meta = {"design_name": design, "dataset_name": dataset, "dataset_tags": ["benchmark"]}
+                files = [("design.json", json.dumps(meta)), (f"sources/{name}", text), ("aux_files/note.txt", dataset), ("top.txt", "top")]
+                for path, body in files:
+                    part = f"{folder}/.{uuid.uuid4().hex}"
+                    with open(part, "w", newline="") as f:
+                        f.write(body)
+                    os.replace(part, f"{folder}/{path}")
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    src("text_files").mapInPandas(write, "n long").agg(F.sum("n")).first()
+    return root
+
+
+@query(
+    "scan_design_tree",
+    """WITH d AS (SELECT DISTINCT source || '__' || lang AS design_name, source AS dataset_name FROM documents),
+         t AS (SELECT source || '__' || lang AS design_name, source AS dataset_name, CAST(doc_id AS STRING) || '.v' AS file_name,
+           md5(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))) AS h FROM documents)
+       SELECT 'designs' AS t, design_name, dataset_name, 'benchmark' AS file_name, NULL AS role, NULL AS h FROM d
+       UNION ALL SELECT k, design_name, dataset_name, file_name, 'verilog', h FROM t, (VALUES ('sources'), ('all')) v(k)
+       UNION ALL SELECT 'all', design_name, dataset_name, 'note.txt', 'aux', md5(dataset_name) FROM d
+       UNION ALL SELECT 'all', design_name, dataset_name, 'top.txt', 'top', md5('top') FROM d""")
+def scan_design_tree(src):
+    """Both scans over a real directory tree."""
+    root = _tree(src)
+    designs = catalog.scan_designs(src.spark, root).select(
+        F.lit("designs").alias("t"), "design_name", "dataset_name", F.array_join("dataset_tags", ",").alias("file_name"),
+        F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("h"))
+    both = [
+        catalog.scan_files(src.spark, root, sources_only=only).select(F.lit(t).alias("t"), "design_name", "dataset_name", "file_name", "role", F.md5("text").alias("h"))
+        for t, only in (("sources", True), ("all", False))
+    ]
+    return designs.unionByName(both[0]).unionByName(both[1])
+
+
+@query(
+    "stored_catalogue",
+    """SELECT design_name, dataset_name, file_name, CASE WHEN design_name LIKE '%0' THEN 'new' ELSE md5(text) END AS h FROM hdl_files
+       WHERE dataset_name <> 'koios' AND design_name NOT LIKE '%1'
+       AND (design_name NOT LIKE '%0' OR file_name = 'core.v' OR NOT EXISTS (SELECT 1 FROM hdl_files o WHERE o.design_name = hdl_files.design_name AND o.file_name = 'core.v'))""",
+    ("hdl_files",))
+def stored_catalogue(src):
+    """Upsert all designs, upsert some again with one file each, delete by a table, remove one source."""
+    store = catalog.Catalogue(src.spark, f"{shared_dir(src.spark)}/gatelake/store-{uuid.uuid4().hex}")
+    files = src("hdl_files")
+    designs = src("hdl_designs").withColumn("dataset_tags", F.array(F.lit("x")))
+    store.upsert(designs, files)
+    again = files.filter("design_name LIKE '%0'").groupBy("dataset_name", "design_name").agg(F.min("file_name").alias("file_name")).select(
+        "dataset_name", "design_name", "file_name", F.lit("verilog").alias("role"), F.lit("new").alias("text"))
+    store.upsert(designs.filter("design_name LIKE '%0'"), again)
+    store.delete_by_table(designs.filter("design_name LIKE '%1'").select("design_name"))
+    store.remove_dataset("koios")
+    return store.files.join(store.designs.select("design_name"), "design_name", "left_semi").select(
+        "design_name", "dataset_name", "file_name", F.when(F.col("text") == "new", "new").otherwise(F.md5("text")).alias("h"))
 
 
 _ITEMS = "SELECT p_partkey AS id, p_type || '/' || p_name AS full_name, 'https://x.org/' || p_partkey AS html_url FROM part"
@@ -174,20 +273,21 @@ def run_flow(src):
 
 @query(
     "validate_source",
-    """SELECT design_name, 'has_module' AS "check", 'no module found' AS detail FROM hdl_designs WHERE design_name LIKE '%9'
-       UNION ALL SELECT design_name, 'duplicate_module', 'm4 x2' FROM modules WHERE module_name = 'm4' AND design_name NOT LIKE '%9'
-       UNION ALL SELECT design_name, 'one_file', 'm4 in 2 files' FROM modules WHERE module_name = 'm4' AND design_name NOT LIKE '%9'
+    """SELECT design_name || '_empty' AS design_name, 'has_module' AS "check", 'no module found' AS detail FROM hdl_designs WHERE design_name LIKE '%9'
+       UNION ALL SELECT design_name, 'duplicate_module', 'm4 x2' FROM modules WHERE module_name = 'm4'
+       UNION ALL SELECT design_name, 'one_file', 'm4 in 2 files' FROM modules WHERE module_name = 'm4'
        UNION ALL SELECT i.design_name, 'acyclic', CAST(1 + count(c.child) AS STRING) || ' modules on or behind a cycle' FROM
-         (SELECT design_name FROM modules WHERE module_name = 'm4' AND design_name NOT LIKE '%9') i
+         (SELECT design_name FROM modules WHERE module_name = 'm4') i
          LEFT JOIN inst c ON c.design_name = i.design_name AND c.parent = 'm4' GROUP BY i.design_name""",
     ("hdl_designs", "modules", "inst"))
 def validate_source(src):
-    """Designs ending in 9 lose their files; designs with m4 get a second, self-instantiating m4."""
-    files = src("hdl_files").filter("design_name NOT LIKE '%9'")
+    """Some designs without files are added; designs with m4 get a second, self-instantiating m4."""
+    files, designs = src("hdl_files"), src("hdl_designs")
     extra = files.filter(F.col("text").rlike("module m4[ ;]")).select(
         "dataset_name", "design_name", F.lit("dup.v").alias("file_name"), "role",
         F.lit("module m4 (input a);\n  m4 again (.a(a));\nendmodule\n").alias("text"))
-    return quality.violations(src("hdl_designs"), files.unionByName(extra))
+    empty = designs.filter("design_name LIKE '%9'").withColumn("design_name", F.concat("design_name", F.lit("_empty")))
+    return quality.violations(designs.unionByName(empty), files.unionByName(extra))
 
 
 @query(

@@ -1,11 +1,14 @@
 """Queries over tool outputs: netlists, processes, connectivity, syntax trees; clock candidates."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gatelake.functions import text as X
 from gatelake.operators import ast, connectivity, netlist, rtlil
 from gatelake.operators import graph
 from gatelake.plans.registry import query
+from gatelake.session import shared_dir
 from gatelake.sources import sinks
 
 _NM = """raw AS (SELECT design_name, unnest(map_entries(CAST(json_extract(json, '$.modules') AS MAP(VARCHAR, JSON)))) AS e FROM netlist_json),
@@ -83,17 +86,24 @@ def sub_design_cells(src):
     return netlist.structured_parts(src("netlist_json"), graph.closure(nodes, edges))
 
 
-@query(
-    "stat_flatten",
-    """SELECT CAST(event_id AS STRING) AS design_name, 'k' AS path, json_extract_string(props, '$.k') AS value FROM events
-       UNION ALL SELECT CAST(event_id AS STRING), 'design.kind', event_type FROM events
-       UNION ALL SELECT CAST(event_id AS STRING), 'design.n', json_extract_string(props, '$.k') FROM events""")
+_STAT = [  # path and the value's SQL, four levels deep, with an array and a key that holds a dot
+    ("creator", "'gen'"), ("k", "CAST(event_id % 7 AS VARCHAR)"), ("design.kind", "event_type"), ("design.none", "NULL"), ("design.ok", "'true'"),
+    ("modules.top.num_cells", "CAST(event_id % 5 AS VARCHAR)"), ("modules.top.num_cells_by_type.$add", "CAST(event_id % 3 AS VARCHAR)"),
+    ("modules.top.num_cells_by_type.a\\.b", "'2.50'"), ("modules.top.sizes.0", "CAST(event_id AS VARCHAR)"), ("modules.top.sizes.1.deep.x", "'y'"),
+    ("modules.top.empty", "'{}'"),
+]
+_STAT_ROWS = " UNION ALL ".join(
+    f"SELECT CAST(event_id AS VARCHAR) AS design_name, '{path.replace(chr(92) * 2, chr(92))}' AS path, {value} AS value FROM events" for path, value in _STAT)
+
+
+@query("stat_flatten", _STAT_ROWS)
 def stat_flatten(src):
-    stats = src("events").select(
-        F.col("event_id").cast("string").alias("design_name"),
-        F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "design": {"kind": "'), "event_type",
-                 F.lit('", "n": '), F.get_json_object("props", "$.k"), F.lit("}}")).alias("json"))
-    return netlist.stat_metrics(stats)
+    n = lambda m: (F.col("event_id") % m).cast("string")
+    doc = F.concat(
+        F.lit('{"creator": "gen", "k": '), n(7), F.lit(', "design": {"kind": "'), "event_type", F.lit('", "none": null, "ok": true}, "modules": {"top": {"num_cells": '),
+        n(5), F.lit(', "num_cells_by_type": {"$add": '), n(3), F.lit(', "a.b": 2.50}, "sizes": ['), F.col("event_id").cast("string"),
+        F.lit(', {"deep": {"x": "y"}}], "empty": {}}}}'))
+    return netlist.stat_metrics(src("events").select(F.col("event_id").cast("string").alias("design_name"), doc.alias("json")))
 
 
 @query(
@@ -198,7 +208,7 @@ def scan_connectivity(src):
     f"WITH {_CR} SELECT module_name, cell_name, cell_type, cell_port, direction, signal FROM cr", ("connectivity",))
 def scan_connectivity_files(src):
     path = sinks.write_text(src("connectivity"), "connectivity", "line")
-    return connectivity.scan_connectivity(src.spark, path).drop("file_path")
+    return connectivity.scan_connectivity(src.spark, path).drop("design_name", "row_idx")
 
 
 @query(
@@ -286,15 +296,54 @@ def tree_distances(src):
     return ast.tree_distances(ast.ast_nodes(src("ast_json"))).withColumn("mean_distance", F.round("mean_distance", 9))
 
 
-@query(
-    "graph_json_sink",
-    f"""WITH {_CR} SELECT d.design_name, count(DISTINCT d.x) AS n_nodes FROM (SELECT design_name, cell_name AS x FROM cr
-        UNION ALL SELECT design_name, signal FROM cr) d GROUP BY d.design_name""",
-    ("connectivity",))
+_NODES = f"""n AS (SELECT design_name, cell_name AS node, false AS s, row_idx, cell_type, module_name FROM cr
+        UNION ALL SELECT design_name, signal, true, NULL, NULL, NULL FROM cr),
+      nodes AS (SELECT design_name, node, CASE WHEN bool_or(s) THEN 'signal' ELSE 'cell' END AS node_type,
+        arg_max(cell_type, row_idx) AS cell_type, arg_max(module_name, row_idx) AS module_name FROM n GROUP BY design_name, node)"""
+_EDGES = """e AS (SELECT design_name, row_idx, signal AS source, cell_name AS target, cell_port, direction FROM cr
+        WHERE direction IN ('in', 'pi', 'inout', 'pio') UNION ALL SELECT design_name, row_idx, cell_name, signal, cell_port, direction
+        FROM cr WHERE direction IN ('out', 'po', 'inout', 'pio')),
+      edges AS (SELECT design_name, source, target, cell_port, direction FROM (SELECT *, row_number() OVER (PARTITION BY design_name, source, target
+        ORDER BY row_idx DESC) AS rn FROM e) x WHERE rn = 1)"""
+_GRAPH = """SELECT design_name, 'node' AS kind, node AS a, node_type AS b, cell_type AS c, module_name AS d FROM nodes
+      UNION ALL SELECT design_name, 'edge', source, target, cell_port, direction FROM edges"""
+
+
+@query("graph_json_sink", f"WITH {_CR}, {_NODES}, {_EDGES} {_GRAPH}", ("connectivity",))
 def graph_json_sink(src):
     rows = connectivity.parse_rows(src("connectivity"))
     nodes = connectivity.connectivity_nodes(rows).withColumnRenamed("node", "id")
-    docs = sinks.graph_documents(nodes, connectivity.connectivity_edges(rows))
-    back = F.from_json("json", "struct<nodes:array<struct<id:string>>,edges:array<struct<source:string,target:string>>>")
-    return docs.select("design_name", back.alias("g")).groupBy("design_name").agg(
-        F.sum(F.size("g.nodes")).alias("n_nodes"))
+    records = sinks.graph_records(nodes, connectivity.connectivity_edges(rows))
+    back = src.spark.read.json(sinks.write_json(records, "graph"))
+    item = F.from_json("json", "id string, node_type string, cell_type string, module_name string, source string, target string, cell_port string, direction string")
+    node = F.col("kind") == "node"
+    either = lambda x, y: F.when(node, F.col(f"i.{x}")).otherwise(F.col(f"i.{y}"))
+    return back.select("design_name", "kind", item.alias("i")).select(
+        "design_name", "kind", either("id", "source").alias("a"), either("node_type", "target").alias("b"),
+        either("cell_type", "cell_port").alias("c"), either("module_name", "direction").alias("d"))
+
+
+@query(
+    "connectivity_files_graph",
+    f"""WITH cr AS (SELECT 'g' || CAST((row_idx // 100) % 16 AS VARCHAR) AS design_name, CAST(k.i AS BIGINT) * 100000000000 + row_idx AS row_idx,
+        p[1] AS module_name, p[2] AS cell_name, CASE k.i WHEN 0 THEN 'early' ELSE p[3] END AS cell_type, p[4] AS cell_port, p[5] AS direction, p[6] AS signal
+        FROM (SELECT row_idx, string_split(line, chr(9)) AS p FROM connectivity) x, (VALUES (0), (1)) k(i)),
+      {_NODES}, {_EDGES} {_GRAPH}""",
+    ("connectivity",))
+def connectivity_files_graph(src):
+    """From TSV files on disk to the graph: every row twice, first with a type that the later row must replace."""
+    lines = src("connectivity").select(
+        F.concat(F.lit("g"), ((F.floor(F.col("row_idx") / 100)) % 16).cast("string")).alias("design_name"), "row_idx", F.split("line", "\t").alias("p"))
+    early = F.concat(F.slice("p", 1, 2), F.array(F.lit("early")), F.slice("p", 4, 3))
+    both = lines.select("design_name", F.explode(F.array(
+        F.struct(F.lit(0).alias("i"), "row_idx", F.array_join(early, "\t").alias("line")),
+        F.struct(F.lit(1).alias("i"), "row_idx", F.array_join("p", "\t").alias("line")))).alias("x"))
+    path = f"{shared_dir(src.spark)}/gatelake/tsv-{uuid.uuid4().hex}"
+    both.repartition("design_name").sortWithinPartitions("design_name", "x.i", "x.row_idx").select(
+        "design_name", "x.line").write.partitionBy("design_name").text(path)
+    rows = connectivity.scan_connectivity(src.spark, f"{path}/*")
+    nodes, edges = connectivity.connectivity_nodes(rows), connectivity.connectivity_edges(rows)
+    return nodes.select("design_name", F.lit("node").alias("kind"), F.col("node").alias("a"), F.col("node_type").alias("b"),
+                        F.col("cell_type").alias("c"), F.col("module_name").alias("d")).unionByName(
+        edges.select("design_name", F.lit("edge").alias("kind"), F.col("source").alias("a"), F.col("target").alias("b"),
+                     F.col("cell_port").alias("c"), F.col("direction").alias("d")))

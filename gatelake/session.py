@@ -31,9 +31,11 @@ def local_session(cores: str | int = 8, app: str = "gatelake", **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a fresh folder only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a fresh folder only where it is unset and the master is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='gatelake-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -42,11 +44,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage, survives lost executors, keeps partitioning."""
+    """Reliable checkpoint: cuts lineage and survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Deletes the tables ``materialize`` wrote since the last call; DataFrames that read them are then unusable."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -55,5 +69,6 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gatelake/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import lzma
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from gatelake import schemas
 
 BATCH_BYTES = 32 << 20
+UNREADABLE = (zipfile.BadZipFile, tarfile.TarError, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError, NotImplementedError)
 NESTED = r"(?i)\.(zip|tar|tgz|tar\.gz|tar\.bz2|tar\.xz)$"
 
 
@@ -41,12 +44,16 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows, size = [], 0
     for pdf in batches:
         for dataset, archive, content in zip(pdf["dataset_name"], pdf["archive"], pdf["content"]):
-            for seq, (path, data) in enumerate(_members(content)):
-                rows.append((dataset, archive, path, data, seq))
-                size += len(data)
-                if size >= BATCH_BYTES:  # bounded output batches
-                    yield pd.DataFrame(rows, columns=cols)
-                    rows, size = [], 0
+            seq = 0
+            try:
+                for path, data in _members(content):
+                    rows.append((dataset, archive, path, data, seq))
+                    seq, size = seq + 1, size + len(data)
+                    if size >= BATCH_BYTES:  # bounded output batches
+                        yield pd.DataFrame(rows, columns=cols)
+                        rows, size = [], 0
+            except UNREADABLE:
+                rows.append((dataset, archive, None, None, seq))
     if rows:
         yield pd.DataFrame(rows, columns=cols)
 
@@ -54,6 +61,8 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def expand_archives(archives: DataFrame, *, spread: int | None = None) -> DataFrame:
     """One row per regular member of each zip or tar (any compression), in archive order (``load_seq``).
 
+    An archive that cannot be read to its end keeps the members before the fault
+    and adds a row without path and content (see ``unreadable``); the job goes on.
     An archive is read by one task, since compressed tars cannot be split;
     ``spread`` redistributes the members over that many tasks, for archives
     that hold a large share of all files.
@@ -62,6 +71,12 @@ def expand_archives(archives: DataFrame, *, spread: int | None = None) -> DataFr
     return out.repartition(spread, "archive", "path") if spread else out
 
 
+def unreadable(members: DataFrame) -> DataFrame:
+    """``(dataset_name, archive, n_members, status)``: archives that broke off, and after how many members."""
+    return members.filter("path IS NULL").select(
+        "dataset_name", "archive", F.col("load_seq").alias("n_members"), F.lit("unreadable_archive").alias("status"))
+
+
 def expand_nested(members: DataFrame) -> DataFrame:
     """Members of archives that are members themselves; the name becomes ``outer!inner``."""
     inner = members.filter(F.col("path").rlike(NESTED)).select(

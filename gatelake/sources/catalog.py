@@ -52,7 +52,7 @@ def _decode(raw: DataFrame) -> DataFrame:
         F.when(at_root, folder).otherwise(F.element_at(parts, -3)).alias("design_name"),
         F.element_at(parts, -1).alias("file_name"),
         role.otherwise(X.file_role(F.col("path"))).alias("role"),
-        X.normalize_newlines(F.decode("content", "UTF-8")).alias("text"),
+        X.normalize_newlines(X.decode_text(F.col("content"))).alias("text"),
     )
 
 
@@ -210,6 +210,16 @@ class Catalogue:
         delete(self.designs, names)  # raises on unknown names
         self._drop(F.col("design_name").isin(names))
 
+    def delete_by_table(self, names: DataFrame) -> None:
+        """Same for a table of names of any size; unknown names are no error (``unknown_names`` lists them)."""
+        names = materialize(names.select("design_name").distinct(), "names")
+        for name in self.TABLES:
+            current = self._table(name)
+            touched = current.join(names, "design_name", "left_semi").select("dataset_name").distinct()
+            sources = [r[0] for r in touched.collect()]  # one row per source
+            kept = current.filter(F.col("dataset_name").isin(sources)).join(names, "design_name", "left_anti")
+            self._replace_partitions(kept, name, sources)
+
     def delete_all(self) -> None:
         for name, schema in self.TABLES.items():
             self._write(self.spark.createDataFrame([], schema), name, "overwrite")

@@ -16,11 +16,9 @@ def page_items(pages: DataFrame) -> DataFrame:
 
 
 def merge_index_pages(pages: DataFrame, target: str = "repo_index") -> DataFrame:
-    """Write every page's hits as CSV (one folder per page) and read all pages back as one table."""
-    path = write_csv(page_items(pages), target, partition_by="page")
-    spark = pages.sparkSession
-    return spark.read.schema(schemas.REPO_INDEX).option("header", True).option("escape", '"').csv(
-        f"{path}/page=*").select([f.name for f in schemas.REPO_INDEX])
+    """Write the hits of all pages as CSV and read them back as one table; files follow the tasks, not the pages."""
+    path = write_csv(page_items(pages).drop("page"), target)
+    return pages.sparkSession.read.schema(schemas.REPO_INDEX).option("header", True).option("escape", '"').csv(path)
 
 
 def distinct_repos(pages: DataFrame) -> DataFrame:

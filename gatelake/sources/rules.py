@@ -270,7 +270,7 @@ def apply_rules(members: DataFrame, rules: list[Rule] | None = None) -> DataFram
 def select_listed(members: DataFrame, list_path: str) -> DataFrame:
     """Members named in a list file that is a member itself (one path per line)."""
     listed = members.filter(F.col("path") == list_path).select(
-        "dataset_name", F.explode(F.split(F.decode("content", "UTF-8"), "\r?\n")).alias("path")
+        "dataset_name", F.explode(F.split(X.decode_text(F.col("content")), "\r?\n")).alias("path")
     ).filter(F.trim("path") != "")
     return members.join(listed.distinct(), ["dataset_name", "path"], "left_semi")
 
@@ -313,7 +313,7 @@ def shared_files(members: DataFrame) -> DataFrame:
     cond = wanted[0]
     for w in wanted[1:]:
         cond |= w
-    text = X.normalize_newlines(F.decode("content", "UTF-8"))
+    text = X.normalize_newlines(X.decode_text(F.col("content")))
     return members.filter(cond).select(
         "dataset_name", X.base_name(F.col("path")).alias("file_name"), F.lit("verilog").alias("role"),
         F.when(F.col("dataset_name") == "vtr", X.literal_rewrites(text)).otherwise(text).alias("text"))
@@ -342,7 +342,7 @@ class SourcePlugin:
             members = members.unionByName(self.expander(members))
         chosen = select_listed(members, self.list_path) if self.list_path else members
         placed = apply_rules(chosen, self.rules)
-        text = X.normalize_newlines(F.decode("content", "UTF-8"))
+        text = X.normalize_newlines(X.decode_text(F.col("content")))
         stored = placed.select(
             "dataset_name", "design_name", F.concat_ws("/", "role", "file_name").alias("file_name"), "role",
             text.alias("text"), "archive", "load_seq")

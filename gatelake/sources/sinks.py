@@ -51,29 +51,15 @@ def write_parquet(df: DataFrame, name: str, *, partition_by: str | None = "datas
     return path
 
 
-def graph_documents(nodes: DataFrame, edges: DataFrame, key: str = "design_name", max_items: int = 100_000) -> DataFrame:
-    """Node-link JSON per graph: ``(key, part, n_parts, json)``.
+def graph_records(nodes: DataFrame, edges: DataFrame, key: str = "design_name") -> DataFrame:
+    """Node-link JSON, one record per item: ``(key, kind, json)`` with ``kind`` ``node`` or ``edge``.
 
-    ``nodes(key, id, …)`` and ``edges(key, source, target, …)``. A graph with
-    more than ``max_items`` nodes and edges becomes several part documents,
-    spread by a hash of the item, so no document is built from an unbounded
-    group and nothing is left out.
+    ``nodes(key, id, …)`` and ``edges(key, source, target, …)``. The form does not
+    depend on the size of a graph, and no graph is collected in one place: written
+    with ``write_json(…, partition_by=key)`` or ``write_text`` it is a line-wise
+    directed graph, of which every line is an item with all its attributes.
     """
-    node_cols = [c for c in nodes.columns if c != key]
-    edge_cols = [c for c in edges.columns if c != key]
-    items = nodes.select(
-        key, F.struct(*node_cols).alias("node"), F.lit(None).alias("edge"), F.xxhash64(*node_cols).alias("_h")
-    ).unionByName(
-        edges.select(key, F.lit(None).alias("node"), F.struct(*edge_cols).alias("edge"), F.xxhash64(*edge_cols).alias("_h"))
-    )
-    sizes = items.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias("n_parts"))
-    parted = items.join(sizes, key).withColumn("part", F.pmod("_h", F.col("n_parts")).cast("int"))
-    doc = F.to_json(
-        F.struct(
-            F.lit(True).alias("directed"),
-            F.lit(False).alias("multigraph"),
-            F.sort_array(F.collect_list("node")).alias("nodes"),
-            F.sort_array(F.collect_list("edge")).alias("edges"),
-        )
-    )
-    return parted.groupBy(key, "part", "n_parts").agg(doc.alias("json"))
+    def items(df: DataFrame, kind: str) -> DataFrame:
+        return df.select(key, F.lit(kind).alias("kind"), F.to_json(F.struct(*[c for c in df.columns if c != key])).alias("json"))
+
+    return items(nodes, "node").unionByName(items(edges, "edge"))

@@ -32,7 +32,7 @@ def test_hand_made_scores(spark):
         ("h2", "a"): (2, 4, 3, 60), ("h3", "a"): (1, 3, 2, 24), ("h3", "a_prime"): (1, 3, 2, 24)}
     tops = {r.design_name: (r.module_name, r.status) for r in graph.resolve_top(nodes, edges).collect()}
     assert tops == {"h0": (None, "tie"), "h1": ("a", "single"), "h2": ("a", "single"), "h3": (None, "tie")}
-    subs = {r.design_name: r.num_sub_designs for r in graph.sub_designs(graph.closure(nodes, edges)).collect()}
+    subs = {r.design_name: r.num_sub_designs for r in graph.sub_designs(nodes).collect()}
     assert subs == {"h0": 3, "h1": 3, "h2": 4, "h3": 4}
 
 
@@ -154,12 +154,29 @@ def test_group_count_with_a_hot_key(spark):
     assert got.filter("k <> 'hot' AND n <> 1").count() == 0
 
 
-def test_large_graph_documents_are_split(spark):
+def test_graph_records_have_one_form(spark):
     import json
-    nodes = spark.range(500).select(F.lit("big").alias("design_name"), F.col("id").cast("string").alias("id"))
-    edges = spark.range(499).select(
-        F.lit("big").alias("design_name"), F.col("id").cast("string").alias("source"), (F.col("id") + 1).cast("string").alias("target"))
-    docs = [(r.n_parts, json.loads(r.json)) for r in sinks.graph_documents(nodes, edges, max_items=100).collect()]
-    assert len(docs) > 5 and {n for n, _ in docs} == {10}
-    assert sorted(int(n["id"]) for _, d in docs for n in d["nodes"]) == list(range(500))
-    assert sum(len(d["edges"]) for _, d in docs) == 499
+    for size in (3, 500):
+        nodes = spark.range(size).select(F.lit("g").alias("design_name"), F.col("id").cast("string").alias("id"), F.lit("cell").alias("kind_of"))
+        edges = spark.range(size - 1).select(
+            F.lit("g").alias("design_name"), F.col("id").cast("string").alias("source"), (F.col("id") + 1).cast("string").alias("target"))
+        got = [(r.kind, json.loads(r.json)) for r in sinks.graph_records(nodes, edges).collect()]
+        assert sorted((int(d["id"]), d["kind_of"]) for k, d in got if k == "node") == [(i, "cell") for i in range(size)]
+        assert sorted((int(d["source"]), int(d["target"])) for k, d in got if k == "edge") == [(i, i + 1) for i in range(size - 1)]
+
+
+def test_edge_ends_are_nodes(spark):
+    nodes = spark.createDataFrame([("d", "b")], "design_name string, module_name string")
+    edges = spark.createDataFrame([("d", "x", "b")], "design_name string, parent string, child string")
+    assert [tuple(r) for r in graph.is_dag(nodes, edges).collect()] == [("d", True, 0)]
+    assert {(r.module_name, r.level) for r in graph.peel(nodes, edges).collect()} == {("x", 0), ("b", 1)}
+
+
+def test_hub_and_chain(spark):
+    hub = spark.range(100_000).select(F.lit("hub").alias("design_name"), F.lit("h").alias("parent"), F.concat(F.lit("c"), "id").alias("child"))
+    chain = spark.range(200).select(
+        F.lit("chain").alias("design_name"), F.concat(F.lit("n"), "id").alias("parent"), F.concat(F.lit("n"), F.col("id") + 1).alias("child"))
+    edges = hub.unionByName(chain)
+    nodes = edges.select("design_name", F.col("parent").alias("module_name")).distinct()
+    got = graph.peel(nodes, edges).groupBy("design_name").agg(F.max("level").alias("top"), F.count(F.lit(1)).alias("n")).collect()
+    assert {tuple(r) for r in got} == {("hub", 1, 100_001), ("chain", 200, 201)}
