@@ -30,32 +30,36 @@ def segmented(files: DataFrame) -> DataFrame:
 
 
 def kept_text(gaps: Column, toks: Column, kept: Column) -> Column:
-    """The file with every module outside ``kept`` replaced by one newline, outer newlines trimmed."""
-    body = X.interleave(
-        gaps, toks,
-        lambda t: F.when((t["name"] == "") | F.array_contains(kept, t["name"]), t["text"]).otherwise(F.lit("\n")),
-    )
+    """The file with every module whose token number is not in ``kept`` replaced by one newline, outer newlines trimmed.
+
+    ``kept`` is sorted; one mark per token is built from it, so no token searches a list.
+    """
+    before = lambda s, j: F.when(j > 0, F.get(s, j - 1)).otherwise(F.lit(-1))
+    marks = X.let(kept, lambda s: F.split(F.array_join(F.transform(
+        s, lambda k, j: F.concat(F.repeat(F.lit("0"), k - before(s, j) - 1), F.lit("1"))), ""), ""))
+    marked = F.zip_with(toks, marks, lambda t, m: F.struct(t["name"].alias("name"), t["text"].alias("text"), (m == "1").alias("kept")))
+    marked = F.filter(marked, lambda t: t["name"].isNotNull())  # marks may be longer by an empty string
+    body = X.interleave(gaps, marked, lambda t: F.when((t["name"] == "") | F.coalesce(t["kept"], F.lit(False)), t["text"]).otherwise(F.lit("\n")))
     return F.concat(F.trim(body, F.lit("\n")), F.lit("\n"))
 
 
 def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """``(design_name, root, file_name, text)``: every file of a design, cut down per root; blank files drop out.
 
-    Text is split once per file. Per root only the names a file keeps are
-    collected (at most the modules of that one file), and the wide rows meet
-    them in a single join keyed by (design, file), so a large design is spread
-    over its files.
+    Text is split once per file, into a written table of tokens and one of their
+    names. Per root only the numbers of the tokens a file keeps are collected (at
+    most the modules of that one file), and the wide rows meet them in a single
+    join keyed by (design, file), so a large design is spread over its files.
     """
-    parts = segmented(files)
-    defined = parts.select(D, "file_name", F.explode("toks.name").alias("node")).filter("node <> ''").distinct()
+    parts = materialize(segmented(files), "segments")
+    defined = parts.select(D, "file_name", F.posexplode("toks.name").alias("tok", "node")).filter("node <> ''")
     sub = closed if roots is None else closed.join(
         roots.select(D, F.col("module_name").alias("root")), [D, "root"], "left_semi")
     kept = sub.select(D, "root", "node").join(defined, [D, "node"]).groupBy(D, "root", "file_name").agg(
-        F.collect_set("node").alias("kept"))
+        F.sort_array(F.collect_set("tok")).alias("kept"))
     # every file belongs to every sub-design of its design, so the pairs are the size of the output
-    pairs = sub.filter("root = node").select(D, "root").join(files.select(D, "file_name"), D)
-    wanted = pairs.join(kept, [D, "root", "file_name"], "left").withColumn(
-        "kept", F.coalesce("kept", F.array().cast("array<string>")))
+    pairs = sub.filter("root = node").select(D, "root").join(parts.select(D, "file_name"), D)
+    wanted = pairs.join(kept, [D, "root", "file_name"], "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     out = wanted.join(parts, [D, "file_name"]).select(
         D, "root", "file_name", kept_text(F.col("gaps"), F.col("toks"), F.col("kept")).alias("text"))
     return out.filter(F.col("text").rlike(P.NON_WHITESPACE))
@@ -63,7 +67,7 @@ def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None
 
 def decompose_text(files: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """Decomposition from text alone: modules, instances, closure, then the cut files."""
-    mods = materialize(modules.extract_modules(files, comments="keep"), "modules")
+    mods = materialize(modules.module_heads(files, comments="keep"), "modules")
     nodes = mods.select(D, "module_name").distinct()
     edges = modules.instances_from_text(mods)
     return subdesign_text(files, graph.closure(nodes, edges, roots))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
@@ -45,15 +45,25 @@ def module_hashes(files: DataFrame, *, compat: str | None = None, position: bool
     )
 
 
+def instance_heads(body: Column) -> Column:
+    """Names at the head of a statement that may be an instance; the module's own header is left out."""
+    return F.array_distinct(X.find_all(X.strip_comments_loose(F.regexp_replace(body, P.MODULE_NAME, "")), P.INSTANCE_HEAD, 1))
+
+
+def module_heads(files: DataFrame, *, comments: str = "strip") -> DataFrame:
+    """``(*keep, pos, module_name, heads)``: what hierarchy checks need of a module, without its body."""
+    mods = extract_modules(files, comments=comments)
+    return mods.withColumn("heads", instance_heads(F.col("body"))).drop("body")
+
+
 def instances_from_text(modules: DataFrame) -> DataFrame:
     """Distinct ``(design_name, parent, child)`` where a body instantiates a known module.
 
-    Candidate heads come from the body without its own header; the semi join
+    ``modules`` has bodies or, as ``module_heads`` gives them, heads. The semi join
     with the module names drops keywords and unknown cells. Only names are
     shuffled, and heads repeat at most once per body.
     """
-    body = F.regexp_replace("body", P.MODULE_NAME, "")
-    heads = F.array_distinct(X.find_all(X.strip_comments_loose(body), P.INSTANCE_HEAD, 1))
+    heads = F.col("heads") if "heads" in modules.columns else instance_heads(F.col("body"))
     cand = modules.select("design_name", F.col("module_name").alias("parent"), F.explode(heads).alias("child"))
     names = modules.select("design_name", F.col("module_name").alias("child"))
     return cand.join(names, ["design_name", "child"], "left_semi").select("design_name", "parent", "child").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gatelake.functions import patterns as P
 from gatelake.functions import text as X
 from gatelake.operators.graph import trace
+from gatelake.session import materialize
 
 D = "design_name"
 
@@ -56,8 +57,12 @@ def ports_reaching_sync(traced: DataFrame, syncs: DataFrame) -> DataFrame:
 
 
 def clock_candidates(texts: DataFrame) -> DataFrame:
-    """``(design_name, candidate)`` from ``texts(design_name, rtlil, portlist)``, for all designs in one job."""
-    inputs = single_bit_inputs(parse_ports(texts)).select(D, "name").distinct()
-    traced = trace(parse_connections(texts), inputs)
-    hit = ports_reaching_sync(traced, parse_syncs(texts))
-    return hit.filter(X.clock_like(F.col("port"))).select(D, F.col("port").alias("candidate"))
+    """``(design_name, candidate)`` from ``texts(design_name, rtlil, portlist)``, for all designs in one job.
+
+    Names are filtered before the trace, which then starts only from likely clocks;
+    the connections of other designs are not followed.
+    """
+    inputs = single_bit_inputs(parse_ports(texts)).filter(X.clock_like(F.col("name"))).select(D, "name").distinct()
+    starts = materialize(inputs, "clock_inputs")
+    hit = ports_reaching_sync(trace(parse_connections(texts), starts), parse_syncs(texts))
+    return hit.select(D, F.col("port").alias("candidate"))
