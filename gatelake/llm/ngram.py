@@ -1,11 +1,13 @@
 """Interpolated modified Kneser-Ney language model in sorted hash arrays.
 
-Counting: every task counts the n-grams of its documents, deals them by hash into
-shards and sends one packed block per shard; a shard's task merges its blocks.
-From the distinct n-grams of one order come the continuation counts of the next
-lower order (number of left neighbours) and the statistics of their contexts
-(sum of counts, how many followers were seen once, twice, more often), each dealt
-again by its own hash, so no task sees more than its shard.
+Counting: words come first; a word's number is its place in the sorted array of
+all training words. Then every task counts the n-grams of its documents as rows of
+word numbers, deals them by hash into shards and sends one packed block per shard,
+and a shard's task merges its blocks. From the distinct n-grams of one order come
+the continuation counts of the next lower order (number of left neighbours) and
+the statistics of their contexts (sum of counts, how many followers were seen once,
+twice, more often), each dealt again by its own hash, so no task sees more than its
+shard. All orders run in one plan; only packed blocks are shuffled.
 
 Storage: each shard writes sorted arrays of 64-bit hashes and their values to the
 shared folder, complete before they get their final name, so a repeated task
@@ -17,11 +19,12 @@ The shared folder must be a mounted path (``file:``) on all machines.
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -31,16 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatelake.session import materialize, shared_dir
+from gatelake.session import shared_dir
 
 ORDER = 2
-SHARD_BYTES = 16 << 20  # text per shard
+SHARD_BYTES = 8 << 20  # text per shard
 HELD = 10  # one document in so many is held out
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
-START = np.uint64(0x57A857A857A857A9)
-
 
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of the lower-cased words of a text and of its end."""
@@ -51,69 +52,63 @@ def tokens(text: str | None) -> np.ndarray:
     return out
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _M2
+    x = (x ^ (x >> np.uint64(27))) * _M3
+    return x ^ (x >> np.uint64(31))
+
+
 def gram_hash(columns: np.ndarray) -> np.ndarray:
-    """One hash per row of word hashes (shape rows x length); a single word is its own hash."""
-    if columns.shape[1] == 1:
-        return columns[:, 0]
+    """One hash per row of numbers (shape rows x length); without collisions for single numbers."""
     acc = np.full(len(columns), columns.shape[1], np.uint64)
     for i in range(columns.shape[1]):
-        acc = acc * _M1 + columns[:, i]
-        acc = (acc ^ (acc >> np.uint64(30))) * _M2
-        acc = (acc ^ (acc >> np.uint64(27))) * _M3
-        acc ^= acc >> np.uint64(31)
+        acc = _mix(acc * _M1 + columns[:, i])
     return acc
 
 
-def grams(words: np.ndarray, order: int) -> np.ndarray:
-    """Rows of ``order`` word hashes, one per token; starts are padded."""
-    padded = np.concatenate([np.full(order - 1, START, np.uint64), words])
+def grams(numbers: np.ndarray, order: int, start: int) -> np.ndarray:
+    """Rows of ``order`` word numbers, one per token; ``start`` stands before the first word."""
+    padded = np.concatenate([np.full(order - 1, start, np.uint64), numbers])
     return np.lib.stride_tricks.sliding_window_view(padded, order)
 
 
-def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows in order of their hash, with the sums of their values (shape rows x k)."""
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows in order of their hash, the sums of their values (shape rows x k), and the hashes."""
     h = gram_hash(rows)
     order = np.argsort(h, kind="stable")
-    h, rows, values = h[order], rows[order], values[order]
+    h = h[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    return rows[first], np.add.reduceat(values, first, axis=0) if len(h) else values
+    return rows[order[first]], np.add.reduceat(values[order], first, axis=0) if len(h) else values, h[first]
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of like weight together, which compresses small numbers to little."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
 
 
 def _pack(rows: np.ndarray, values: np.ndarray) -> bytes:
-    """Words by a local dictionary, sorted by row for compression."""
     order = np.lexsort(rows.T[::-1])
-    rows, values = rows[order], values[order]
-    names, at = np.unique(rows, return_inverse=True)
-    at = at.reshape(rows.shape).astype(np.int32)
-    at[:, 0] = np.diff(at[:, 0], prepend=0)
-    wide = (values >= 255).any(axis=1)
-    small = np.where(wide[:, None], 255, values).astype(np.uint8)
-    head = np.array([rows.shape[0], rows.shape[1], values.shape[1], len(names), int(wide.sum())], np.int64)
-    planes = at.T.copy().view(np.uint8).reshape(-1, 4).T.copy()  # bytes of like weight together
-    parts = [head.tobytes(), names.tobytes(), planes.tobytes(), small.tobytes(), values[wide].astype(np.int64).tobytes()]
-    return zlib.compress(b"".join(parts), 1)
+    rows, values = rows[order], values[order].astype(np.int64)
+    first = np.diff(rows[:, 0], prepend=np.uint64(0))
+    parts = [np.array([*rows.shape, values.shape[1]], np.int64).tobytes(), _planes(first)]
+    parts += [_planes(rows[:, i].copy()) for i in range(1, rows.shape[1])] + [_planes(values[:, i].copy()) for i in range(values.shape[1])]
+    return zlib.compress(b"".join(parts), 3)
 
 
 def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = zlib.decompress(raw)
-    n, k, m, d, w = np.frombuffer(raw, np.int64, 5)
-    at = 40
-    names = np.frombuffer(raw, np.uint64, d, at)
-    at += 8 * d
-    planes = np.frombuffer(raw, np.uint8, 4 * n * k, at).reshape(4, -1)
-    at += 4 * n * k
-    values = np.frombuffer(raw, np.uint8, n * m, at).reshape(n, m).astype(np.int64)
-    at += n * m
-    wide = (values == 255).any(axis=1)
-    values[wide] = np.frombuffer(raw, np.int64, w * m, at).reshape(-1, m)
-    index = np.ascontiguousarray(planes.T).view(np.int32).reshape(k, n)
-    index = index.copy()
-    index[0] = np.cumsum(index[0])
-    return names[index].T, values
-
-
-def _dealt(rows: np.ndarray, values: np.ndarray, shards: int, what: str) -> Iterator[dict]:
-    to = (gram_hash(rows) >> np.uint64(32)) % np.uint64(shards)
+    n, k, m = np.frombuffer(raw, np.int64, 3).tolist()
+    columns = [np.frombuffer(raw, np.uint8, 8 * n, 24 + 8 * n * i).reshape(8, n).T.copy().view(np.uint64)[:, 0] for i in range(k + m)]
+    columns[0] = np.cumsum(columns[0], dtype=np.uint64)
+    return np.column_stack(columns[:k]), np.column_stack(columns[k:]).view(np.int64)
+
+
+def _shard(h: np.ndarray, shards: int) -> np.ndarray:
+    return (h >> np.uint64(32)) % np.uint64(shards)
+
+
+def _dealt(rows: np.ndarray, values: np.ndarray, h: np.ndarray, shards: int, what: str) -> Iterator[dict]:
+    to = _shard(h, shards)
     order = np.argsort(to, kind="stable")
     edges = np.searchsorted(to[order], np.arange(shards + 1, dtype=np.uint64))
     for s in range(shards):
@@ -122,22 +117,20 @@ def _dealt(rows: np.ndarray, values: np.ndarray, shards: int, what: str) -> Iter
             yield {"what": what, "shard": s, "block": _pack(rows[part], values[part])}
 
 
+_KINDS = {"what": pa.string(), "shard": pa.int32(), "block": pa.binary()}
 _BLOCKS = "what string, shard int, block binary"
 
 
-def _count(docs: DataFrame, order: int, shards: int, limit: int = 3_000_000) -> DataFrame:
-    """Blocks of n-gram counts and of word counts; a task sums up to ``limit`` tokens at a time."""
+def _counted(docs: DataFrame, what: str, shards: int, count, limit: int = 2_000_000) -> DataFrame:
+    """Blocks from tokens; a task holds up to ``limit`` tokens at a time. ``count`` gives a function from token lists to rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, rows_of = [], 0, count()
 
         def flush():
-            rows = np.concatenate([grams(t, order) for t in held])
-            got = list(_dealt(*_summed(rows, np.ones((len(rows), 1), np.int64)), shards, "gram"))
-            flat = np.concatenate(held)[:, None]
-            got += _dealt(*_summed(flat, np.ones((len(flat), 1), np.int64)), shards, "word")
-            kinds = {"what": pa.string(), "shard": pa.int32(), "block": pa.binary()}
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in got], t) for c, t in kinds.items()], names=list(kinds))
+            rows = rows_of(held)
+            got = list(_dealt(*_summed(rows, np.ones((len(rows), 1), np.int64)), shards, what))
+            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in got], t) for c, t in _KINDS.items()], names=list(_KINDS))
 
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -153,7 +146,7 @@ def _count(docs: DataFrame, order: int, shards: int, limit: int = 3_000_000) ->
     return docs.select("text").mapInArrow(run, _BLOCKS)
 
 
-def _merged(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _merged(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blocks = [_unpack(b) for b in group["block"]]
     return _summed(np.concatenate([r for r, _ in blocks]), np.concatenate([v for _, v in blocks]))
 
@@ -171,36 +164,53 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return np.minimum(values, np.iinfo(np.uint32).max).astype(np.uint32)
 
 
-_STATS = "what string, shard int, block binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint, rows bigint, total bigint"
+_STATS = ("n1", "n2", "n3", "n4", "rows", "total")
+_LEVEL = f"{_BLOCKS}, level int, " + ", ".join(f"{c} bigint" for c in _STATS)
 
 
-def _level(blocks: DataFrame, order: int, shards: int, folder: str) -> DataFrame:
-    """Writes the counts of one order; gives its counts of counts and the blocks of the next lower order and of the contexts."""
+def _words(docs: DataFrame, shards: int, folder: str) -> list:
+    """Writes the sorted words with their counts; gives ``shard, rows, total``."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        _, values, h = _merged(group)
         shard = int(group["shard"].iloc[0])
-        rows, values = _merged(group)
-        count = values[:, 0]
-        _save(folder, f"g{order}", shard, gram_hash(rows), _narrow(count))
-        out = []
+        _save(folder, "w", shard, h, _narrow(values))
+        return pd.DataFrame([{"shard": shard, "rows": len(h), "total": int(values.sum())}])
+
+    def count():
+        return lambda held: np.concatenate(held)[:, None]
+
+    blocks = _counted(docs, "word", shards, count)
+    by_word = blocks.groupBy("shard").applyInPandas(run, "shard int, rows bigint, total bigint")
+    return by_word.collect()  # one row per shard
+
+
+def _level(blocks: DataFrame, order: int, shards: int, folder: str) -> DataFrame:
+    """Merges and writes one order's counts and the contexts found by the order above; passes on finished figures.
+
+    Gives the counts of counts of this order, and blocks of the next lower order and of this order's contexts.
+    """
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        what, shard = key
+        columns = ["what", "shard", "block", "level", *_STATS]
+        if what == "stats":
+            return group[columns]
+        shard = int(shard)
+        rows, values, h = _merged(group)
+        if what == "context":
+            _save(folder, f"c{order + 1}", shard, h, _narrow(values))
+            return pd.DataFrame([], columns=columns)
+        count, out = values[:, 0], []
+        _save(folder, f"g{order}", shard, h, _narrow(count))
         if order > 1:
             out += _dealt(*_summed(rows[:, 1:], np.ones((len(rows), 1), np.int64)), shards, "gram")
             stats = np.column_stack([count, count == 1, count == 2, count >= 3]).astype(np.int64)
             out += _dealt(*_summed(rows[:, :-1], stats), shards, "context")
         own = {f"n{i}": int((count == i).sum()) for i in range(1, 5)} | {"rows": len(rows), "total": int(count.sum())}
-        return pd.DataFrame([{"what": "stats", "shard": shard, "block": None, **own}, *out], columns=["what", "shard", "block", "n1", "n2", "n3", "n4", "rows", "total"])
-
-    return materialize(blocks.groupBy("shard").applyInPandas(run, _STATS), f"level{order}")
-
-
-def _contexts(blocks: DataFrame, order: int, folder: str, name: str = "c") -> DataFrame:
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        shard = int(group["shard"].iloc[0])
-        rows, values = _merged(group)
-        _save(folder, f"{name}{order}", shard, gram_hash(rows), _narrow(values))
-        return pd.DataFrame([{"rows": len(rows), "total": int(values[:, 0].sum())}])
+        return pd.DataFrame([{"what": "stats", "shard": shard, "level": order, **own}, *out], columns=columns)
 
-    return blocks.groupBy("shard").applyInPandas(run, "rows bigint, total bigint")
+    return blocks.groupBy("what", "shard").applyInPandas(run, _LEVEL)
 
 
 @dataclass
@@ -215,6 +225,7 @@ class Model:
     free: float  # share of it that discounting sets free
     vocabulary: int  # distinct training tokens
     train_tokens: int
+    offsets: tuple[int, ...]  # number of the first word of each shard
 
 
 def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
@@ -238,19 +249,33 @@ def fit(docs: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES) ->
     os.makedirs(folder)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(4, -(-size // shard_bytes))
-    blocks = materialize(_count(docs, order, shards), "counts")
-    words = _contexts(blocks.where("what = 'word'"), 1, folder, "w").agg(F.sum("rows"), F.sum("total")).first()
-    found, unigrams, free, level = {}, 0, 0.0, blocks.where("what = 'gram'").select("shard", "block")
+    words = {r["shard"]: r for r in _words(docs, shards, folder)}
+    sizes = [words[i]["rows"] if i in words else 0 for i in range(shards)]
+    offsets, vocabulary = tuple(itertools.accumulate([0, *sizes[:-1]])), sum(sizes)
+    known = Model(folder, order, shards, {}, 0, 0.0, vocabulary, sum(r["total"] for r in words.values()), offsets)
+
+    def count():
+        arrays = Arrays(known)
+
+        def rows_of(held: list[np.ndarray]) -> np.ndarray:
+            numbers, _ = arrays.words(np.concatenate(held))
+            ends = np.cumsum([len(t) for t in held])[:-1]
+            return np.concatenate([grams(t, order, vocabulary + 1) for t in np.split(numbers, ends)])
+
+        return rows_of
+
+    level = _counted(docs, "gram", shards, count)
+    level = level.select("*", F.lit(None).cast("int").alias("level"), *[F.lit(None).cast("bigint").alias(c) for c in _STATS])
     for k in range(order, 0, -1):
-        table = _level(level, k, shards, folder)
-        stats = table.where("what = 'stats'").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "rows", "total")]).first()
-        found[k], unigrams = discounts(*stats[:4]), stats[5]
-        d, more = found[k], stats[4] - stats[0] - stats[1]
-        free = (d[0] * stats[0] + d[1] * stats[1] + d[2] * more) / max(1, unigrams)
-        if k > 1:
-            _contexts(table.where("what = 'context'").select("shard", "block"), k, folder).agg(F.count(F.lit(1))).first()
-            level = table.where("what = 'gram'").select("shard", "block")
-    return Model(folder, order, shards, found, unigrams, free, words[0] or 0, words[1] or 0)
+        level = _level(level, k, shards, folder)
+    figures = level.where("what = 'stats'").groupBy("level").agg(*[F.sum(c).alias(c) for c in _STATS]).collect()  # one row per order
+    found, unigrams, free = {k: (0.5, 0.5, 0.5) for k in range(1, order + 1)}, 0, 0.0
+    for r in figures:
+        found[r["level"]] = d = discounts(r["n1"], r["n2"], r["n3"], r["n4"])
+        if r["level"] == 1:
+            unigrams = r["total"]
+            free = (d[0] * r["n1"] + d[1] * r["n2"] + d[2] * (r["rows"] - r["n1"] - r["n2"])) / max(1, unigrams)
+    return replace(known, discounts=found, unigrams=unigrams, free=free)
 
 
 class Arrays:
@@ -269,10 +294,10 @@ class Arrays:
                 self.open[name, shard] = np.memmap(f"{path}.h", np.uint64, "r"), values
         return self.open[name, shard]
 
-    def look_up(self, name: str, hashes: np.ndarray, width: int = 1) -> np.ndarray:
-        """Values of sorted distinct ``hashes``, zeros where absent."""
-        out = np.zeros((len(hashes), width), np.int64)
-        to = (hashes >> np.uint64(32)) % np.uint64(self.model.shards)
+    def find(self, name: str, hashes: np.ndarray, width: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values, places and shards of sorted distinct ``hashes``; zeros and a place of -1 where absent."""
+        out, place = np.zeros((len(hashes), width), np.int64), np.full(len(hashes), -1, np.int64)
+        to = _shard(hashes, self.model.shards)
         order = np.argsort(to, kind="stable")  # within a shard the hashes stay sorted
         edges = np.searchsorted(to[order], np.arange(self.model.shards + 1, dtype=np.uint64))
         for s in np.flatnonzero(np.diff(edges)):
@@ -283,7 +308,15 @@ class Arrays:
             at = np.minimum(np.searchsorted(held[0], hashes[rows]), len(held[0]) - 1)
             hit = held[0][at] == hashes[rows]
             out[rows[hit]] = held[1][at[hit]]
-        return out
+            place[rows[hit]] = at[hit]
+        return out, place, to
+
+    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of words; the number after the last for unknown ones."""
+        distinct, back = np.unique(gram_hash(hashes[:, None]), return_inverse=True)
+        count, place, shard = self.find("w", distinct)
+        number = np.where(place < 0, self.model.vocabulary, place + np.array(self.model.offsets)[shard.astype(np.int64)])
+        return number.astype(np.uint64)[back], count[back, 0]
 
     def probability(self, rows: np.ndarray) -> np.ndarray:
         """Interpolated probability of the last word of each row after the words before it."""
@@ -307,7 +340,7 @@ class Arrays:
 
     def _each(self, name: str, hashes: np.ndarray, width: int = 1) -> np.ndarray:
         distinct, back = np.unique(hashes, return_inverse=True)
-        return self.look_up(name, distinct, width)[back]
+        return self.find(name, distinct, width)[0][back]
 
 
 _OPEN: dict[str, Arrays] = {}
@@ -324,9 +357,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def some(arrays: Arrays, texts: list) -> list[pa.Array]:
         m, each = arrays.model, [tokens(t) for t in texts]
         sizes = np.array([len(t) for t in each])
-        flat, rows = np.concatenate(each), np.concatenate([grams(t, m.order) for t in each])
         edges = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        count = arrays._each("w1", flat)[:, 0]
+        numbers, count = arrays.words(np.concatenate(each))
+        rows = np.concatenate([grams(t, m.order, m.vocabulary + 1) for t in np.split(numbers, edges[1:])])
         base = np.log10((count + 0.1) / (m.train_tokens + 0.1 * (m.vocabulary + 1)))
         full = np.log10(arrays.probability(rows))
         total = np.add.reduceat(full, edges)
