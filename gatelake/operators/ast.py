@@ -7,11 +7,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gatelake import schemas
-from gatelake.session import checkpoint
 
 KEY = ["design_name", "file_name"]
 BATCH_ROWS = 20_000
@@ -112,45 +110,38 @@ def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return n.join(e, KEY, "left").withColumn("n_edges", F.coalesce("n_edges", F.lit(0)))
 
 
-def tree_distances(nodes: DataFrame) -> DataFrame:
-    """Diameter and mean pairwise distance of each file's tree, without listing node pairs.
+def _shape(parents: list[int | None]) -> tuple[int, float]:
+    """Diameter and mean distance over all ordered pairs of a tree given by its pre-order parents.
 
-    A tree edge above node v separates ``size(v)`` nodes from the rest, so the
-    distances over all ordered pairs sum to Σ 2·size·(n−size); the mean is over
-    n² pairs. The diameter is the largest sum of the two highest branches at
-    a node. Sizes and heights are folded upwards level by level, with partial
-    aggregation per parent.
+    A tree edge above a node separates its ``size`` nodes from the rest, so all
+    distances sum to Σ 2·size·(n−size). The diameter is the largest sum of the two
+    highest branches at a node. Both fold upwards in one backward pass.
     """
-    ok = checkpoint(nodes.filter("status = 'ok'").select(*KEY, "idx", "parent_idx", "depth"))
-    n = ok.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("max_depth"))
-    deepest = ok.agg(F.max("depth")).collect()[0][0]
-    acc, below = None, None
-    for depth in range(deepest if deepest is not None else -1, -1, -1):
-        level = ok.filter(F.col("depth") == depth)
-        if below is None:
-            here = level.select(*KEY, "idx", "parent_idx", F.lit(1).cast("long").alias("size"),
-                                F.lit(0).alias("height"), F.lit(0).alias("bend"))
-        else:
-            up = below.groupBy(*KEY, F.col("parent_idx").alias("idx")).agg(
-                F.sum("size").alias("_s"), F.max("height").alias("_h1"))
-            # second branch: the highest one after leaving out the first
-            heights = below.select(*KEY, F.col("parent_idx").alias("idx"), "height", F.col("idx").alias("c"))
-            first = heights.groupBy(*KEY, "idx").agg(F.max(F.struct("height", "c")).alias("_m"))
-            second = heights.join(first, [*KEY, "idx"]).filter("c <> _m.c").groupBy(*KEY, "idx").agg(
-                F.max("height").alias("_h2"))
-            here = (
-                level.join(up, [*KEY, "idx"], "left").join(second, [*KEY, "idx"], "left")
-                .select(*KEY, "idx", "parent_idx",
-                        (F.coalesce("_s", F.lit(0)) + 1).alias("size"),
-                        F.coalesce(F.col("_h1") + 1, F.lit(0)).alias("height"),
-                        (F.coalesce(F.col("_h1") + 1, F.lit(0)) + F.coalesce(F.col("_h2") + 1, F.lit(0))).alias("bend"))
-            )
-        below = checkpoint(here)
-        part = below.select(*KEY, "idx", "size", "bend")
-        acc = part if acc is None else acc.unionByName(part)
-    if acc is None:
-        return n.select(*KEY, F.lit(0).alias("diameter"), F.lit(0.0).alias("mean_distance"))
-    size = F.col("size").cast("double")
-    return acc.join(n, KEY).groupBy(*KEY).agg(
-        F.max("bend").cast("long").alias("diameter"),
-        (F.sum(2 * size * (F.col("n") - size)) / F.max(F.col("n") * F.col("n"))).alias("mean_distance"))
+    n = len(parents)
+    size, height, bend, total = [1] * n, [0] * n, 0, 0
+    for i in range(n - 1, 0, -1):
+        p = parents[i]
+        bend = max(bend, height[p] + height[i] + 1)
+        height[p] = max(height[p], height[i] + 1)
+        size[p] += size[i]
+        total += 2 * size[i] * (n - size[i])
+    return bend, total / (n * n)
+
+
+def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for design, file, text in zip(pdf["design_name"], pdf["file_name"], pdf["json"]):
+            tree = _tree_of(text)
+            if tree is not None:
+                rows.append((design, file, *_shape([p for _, p, _, _ in _walk(tree)])))
+        yield pd.DataFrame(rows, columns=[*KEY, "diameter", "mean_distance"])
+
+
+def tree_distances(trees: DataFrame) -> DataFrame:
+    """``(design_name, file_name, diameter, mean_distance)`` of ``trees(design_name, file_name, json)``.
+
+    Measured in the walk of the tree, without node pairs, shuffles or a loop over
+    levels. Documents without a tree have no row.
+    """
+    return trees.select(*KEY, "json").mapInPandas(_measure, "design_name string, file_name string, diameter long, mean_distance double")

@@ -154,12 +154,14 @@ CORPORA: dict[str, tuple[list[str], str]] = {
         "WHEN 3 THEN 'pi' WHEN 4 THEN 'po' ELSE CASE WHEN okey % 11 = 0 THEN 'weird' ELSE 'pio' END END || chr(9) || "
         "CASE WHEN n = 3 THEN 'u' || CAST(n AS STRING) ELSE 's' || CAST(n AS STRING) END AS line FROM {pairs}",
     ),
-    "ast_json": (
+    "ast_json": (  # trees of depth 2 to 9: a chain as long as the module's number, with leaves beside it
         ["mods"],
         "SELECT t.design_name, 'm' || CAST(t.n AS STRING) || '.v' AS file_name, "
         "'{{\"f.v\":{{\"tree\":{{\"tag\":\"kModule\",\"children\":[{{\"tag\":\"id\",\"text\":\"m' || CAST(t.n AS STRING) || "
         "'\"}},null,{{\"tag\":\"kBody\",\"children\":[' || "
-        "CASE t.flag WHEN 'A' THEN '{{\"tag\":\"a\"}}' WHEN 'N' THEN '{{\"tag\":\"a\",\"children\":[{{\"tag\":\"b\",\"start\":3}}]}},{{\"tag\":\"c\"}}' "
+        "CASE t.flag WHEN 'A' THEN repeat('{{\"tag\":\"a\",\"children\":[', CAST(t.n AS INT)) || '{{\"tag\":\"z\"}}' || repeat(']}}', CAST(t.n AS INT)) "
+        "WHEN 'N' THEN '{{\"tag\":\"a\",\"children\":[{{\"tag\":\"b\",\"start\":3}}]}},' || "
+        "repeat('{{\"tag\":\"c\",\"children\":[{{\"tag\":\"d\"}},null,', CAST(t.n AS INT)) || '{{\"tag\":\"e\"}}' || repeat(']}}', CAST(t.n AS INT)) "
         "ELSE '' END || ']}},{{\"tag\":\"end\"}}]}}}},\"g.v\":{{\"tree\":{{\"tag\":\"other\"}}}}}}' AS json FROM {mods} t",
     ),
     "blif": (

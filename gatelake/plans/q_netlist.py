@@ -242,14 +242,15 @@ def connectivity_unknown(src):
 
 
 # ------------------------------------------------------------------ syntax trees
-# the generated trees have one of three shapes, so their pre-order rows can be written down per shape
-_AST = """shape AS (SELECT * FROM (VALUES
-   ('R', 0, -1, 0, 'kModule'), ('R', 1, 0, 1, 'id'), ('R', 2, 0, 1, 'kBody'), ('R', 3, 0, 1, 'end'),
-   ('A', 0, -1, 0, 'kModule'), ('A', 1, 0, 1, 'id'), ('A', 2, 0, 1, 'kBody'), ('A', 3, 2, 2, 'a'), ('A', 4, 0, 1, 'end'),
-   ('N', 0, -1, 0, 'kModule'), ('N', 1, 0, 1, 'id'), ('N', 2, 0, 1, 'kBody'), ('N', 3, 2, 2, 'a'), ('N', 4, 3, 3, 'b'),
-   ('N', 5, 2, 2, 'c'), ('N', 6, 0, 1, 'end')) v(flag, idx, parent_idx, depth, tag)),
-  tree AS (SELECT m.design_name, 'm' || m.n || '.v' AS file_name, CAST(s.idx AS INT) AS idx,
-    CASE WHEN s.parent_idx >= 0 THEN CAST(s.parent_idx AS INT) END AS parent_idx, CAST(s.depth AS INT) AS depth, s.tag FROM mods m JOIN shape s ON s.flag = m.flag),
+# the checking SQL parses the documents itself; a node's place among its ancestors' children orders it
+_AST = """walk AS (SELECT design_name, file_name, json_extract(json, '$."f.v".tree') AS node, CAST([] AS INT[]) AS pos FROM ast_json
+    UNION ALL SELECT design_name, file_name, list_extract(kids, CAST(i AS BIGINT)) AS node, list_append(pos, CAST(i AS INT)) FROM (
+      SELECT design_name, file_name, pos, kids, unnest(range(1, len(kids) + 1)) AS i FROM (
+        SELECT design_name, file_name, pos, list_filter(json_extract(node, '$.children[*]'), lambda c: json_type(c) <> 'NULL') AS kids FROM walk) x) y),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY design_name, file_name ORDER BY pos) - 1 AS INT) AS idx FROM walk),
+  tree AS (SELECT r.design_name, r.file_name, r.idx, p.idx AS parent_idx, CAST(len(r.pos) AS INT) AS depth, json_extract_string(r.node, '$.tag') AS tag,
+    json_extract_string(r.node, '$.text') AS name, CAST(json_extract_string(r.node, '$.start') AS INT) AS start_at
+    FROM ranked r LEFT JOIN ranked p ON p.design_name = r.design_name AND p.file_name = r.file_name AND len(r.pos) > 0 AND p.pos = r.pos[:len(r.pos) - 1]),
   te AS (SELECT design_name, file_name, idx - 1 AS src, idx AS dst, 'nco' AS t_edge_type, 1 AS prio FROM tree WHERE idx > 0
     UNION ALL SELECT design_name, file_name, idx, idx - 1, 'nco_reverse', 1 FROM tree WHERE idx > 0
     UNION ALL SELECT design_name, file_name, parent_idx, idx, 'ast', 0 FROM tree WHERE parent_idx IS NOT NULL
@@ -258,27 +259,29 @@ _AST = """shape AS (SELECT * FROM (VALUES
     ORDER BY prio DESC) AS rn FROM te) x WHERE rn = 1)"""
 
 
-@query("ast_flatten", f"WITH {_AST} SELECT * FROM tree", ("mods",))
+@query("ast_flatten", f"WITH RECURSIVE {_AST} SELECT *, 'ok' AS status FROM tree", ("ast_json",))
 def ast_flatten(src):
-    return ast.ast_nodes(src("ast_json")).drop("attrs", "status")
+    rows = ast.ast_nodes(src("ast_json"))
+    return rows.withColumns({
+        "name": F.get_json_object("attrs", "$.text"), "start_at": F.get_json_object("attrs", "$.start").cast("int")}).drop("attrs")
 
 
-@query("ast_edges", f"WITH {_AST} SELECT * FROM edges", ("mods",))
+@query("ast_edges", f"WITH RECURSIVE {_AST} SELECT * FROM edges", ("ast_json",))
 def ast_edges(src):
     return ast.ast_edges(ast.ast_nodes(src("ast_json")))
 
 
-@query("ast_edges_multi", f"WITH {_AST} SELECT design_name, file_name, src, dst, t_edge_type FROM te", ("mods",))
+@query("ast_edges_multi", f"WITH RECURSIVE {_AST} SELECT design_name, file_name, src, dst, t_edge_type FROM te", ("ast_json",))
 def ast_edges_multi(src):
     return ast.ast_edges(ast.ast_nodes(src("ast_json")), multi=True)
 
 
 @query(
     "graph_stats",
-    f"""WITH {_AST}, e AS (SELECT design_name, file_name, count(*) AS n_edges FROM edges GROUP BY ALL)
+    f"""WITH RECURSIVE {_AST}, e AS (SELECT design_name, file_name, count(*) AS n_edges FROM edges GROUP BY ALL)
         SELECT t.design_name, t.file_name, count(*) AS n_nodes, any_value(e.n_edges) AS n_edges FROM tree t
         JOIN e ON e.design_name = t.design_name AND e.file_name = t.file_name GROUP BY t.design_name, t.file_name""",
-    ("mods",))
+    ("ast_json",))
 def graph_stats(src):
     nodes = ast.ast_nodes(src("ast_json"))
     return ast.graph_counts(nodes, ast.ast_edges(nodes))
@@ -286,14 +289,15 @@ def graph_stats(src):
 
 @query(
     "tree_distances",
-    f"""WITH RECURSIVE {_AST}, up AS (SELECT flag, idx AS a, idx AS b, 0 AS k FROM shape UNION ALL
-          SELECT u.flag, u.a, s.parent_idx, u.k + 1 FROM up u JOIN shape s ON s.flag = u.flag AND s.idx = u.b WHERE s.parent_idx >= 0),
-        dist AS (SELECT x.flag, x.a, y.a AS b, min(x.k + y.k) AS d FROM up x JOIN up y ON x.flag = y.flag AND x.b = y.b GROUP BY ALL),
-        per AS (SELECT flag, max(d) AS diameter, round(avg(d), 9) AS mean_distance FROM dist GROUP BY flag)
-        SELECT m.design_name, 'm' || m.n || '.v' AS file_name, p.diameter, p.mean_distance FROM mods m JOIN per p ON p.flag = m.flag""",
-    ("mods",))
+    f"""WITH RECURSIVE {_AST}, up AS (SELECT design_name, file_name, idx AS a, idx AS b, 0 AS k FROM tree UNION ALL
+          SELECT u.design_name, u.file_name, u.a, t.parent_idx, u.k + 1 FROM up u JOIN tree t ON t.design_name = u.design_name
+          AND t.file_name = u.file_name AND t.idx = u.b WHERE t.parent_idx IS NOT NULL),
+        dist AS (SELECT x.design_name, x.file_name, x.a, y.a AS b, min(x.k + y.k) AS d FROM up x JOIN up y ON x.design_name = y.design_name
+          AND x.file_name = y.file_name AND x.b = y.b GROUP BY ALL)
+        SELECT design_name, file_name, CAST(max(d) AS BIGINT) AS diameter, round(avg(d), 9) AS mean_distance FROM dist GROUP BY ALL""",
+    ("ast_json",))
 def tree_distances(src):
-    return ast.tree_distances(ast.ast_nodes(src("ast_json"))).withColumn("mean_distance", F.round("mean_distance", 9))
+    return ast.tree_distances(src("ast_json")).withColumn("mean_distance", F.round("mean_distance", 9))
 
 
 _NODES = f"""n AS (SELECT design_name, cell_name AS node, false AS s, row_idx, cell_type, module_name FROM cr
