@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from gatelake.operators import decompose, graph, modules, repair, tokens, vectors
 from gatelake.plans import oracle_sql as O
 from gatelake.plans.registry import query
+from gatelake.session import materialize
 
 _CLOSED = """walk AS (SELECT design_name, module_name AS root, module_name AS node FROM modules UNION
   SELECT w.design_name, w.root, i.child FROM walk w JOIN inst i ON i.design_name = w.design_name AND i.parent = w.node)"""
@@ -214,17 +215,44 @@ def tfidf_word_ngrams(src):
     return vectors.tfidf_word_ngrams(src("documents"), "doc_id").withColumn("weight", F.round("weight", 7))
 
 
-@query("pca_2d")
+def _projected(centred: bool) -> str:
+    """Two leading eigenvectors by 3,000 steps of power iteration, the second after taking the first out."""
+    unit = "list_transform([{0}], lambda u: list_transform(u, lambda e: e / sqrt(list_inner_product(u, u))))[1]"
+    step = unit.format("list_transform({0}, lambda r: list_inner_product(r, v))")
+    top = "list_reduce(list_resize([{1}], 3001, {1}), lambda v, z: " + step + ")"
+    start = "list_transform(range(len({0})), lambda i: 1.0::DOUBLE + (i % 7) / 10.0)"
+    less = "- (SELECT n FROM docs) * a.m * b.m" if centred else ""
+    sign = lambda v: f"CASE WHEN list_extract({v}, list_position(list_transform({v}, lambda e: abs(e)), list_max(list_transform({v}, lambda e: abs(e))))) < 0 THEN -1 ELSE 1 END"
+    return f"""WITH terms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id,
+        unnest(string_split(regexp_replace(text, '{O.WS}{O.WS}+', ' ', 'g'), '')) AS term FROM documents) t GROUP BY ALL),
+      raw AS MATERIALIZED (WITH {_WEIGHTS.replace('round(w /', '(w /').replace(', 7) AS', ') AS')}), docs AS MATERIALIZED (SELECT count(DISTINCT doc_id) AS n FROM documents),
+      voc AS MATERIALIZED (SELECT term, row_number() OVER (ORDER BY term) AS i, sum(weight) / (SELECT n FROM docs) AS m FROM raw GROUP BY term),
+      w AS MATERIALIZED (SELECT doc_id, i, weight FROM raw JOIN voc USING (term)),
+      gram AS (SELECT x.i, y.i AS j, sum(x.weight * y.weight) AS g FROM w x JOIN w y ON x.doc_id = y.doc_id GROUP BY ALL),
+      mat AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT a.i, list(coalesce(g, 0) {less} ORDER BY b.i) AS r FROM voc a CROSS JOIN voc b
+        LEFT JOIN gram ON gram.i = a.i AND gram.j = b.i GROUP BY a.i) t),
+      one AS MATERIALIZED (SELECT m, {top.format("m", start.format("m"))} AS v1 FROM mat),
+      rest AS MATERIALIZED (SELECT v1, list_transform(m, lambda r, i: list_transform(r, lambda e, j: e - lam * v1[i] * v1[j])) AS m FROM (
+        SELECT *, list_inner_product(v1, list_transform(m, lambda r: list_inner_product(r, v1))) AS lam FROM one) t),
+      two AS MATERIALIZED (SELECT v1, {top.format("m", start.format("m"))} AS v2 FROM rest),
+      load AS MATERIALIZED (SELECT i, m, v1[i] * {sign("v1")} AS l1, v2[i] * {sign("v2")} AS l2 FROM voc, two),
+      sums AS (SELECT doc_id, sum(weight * l1) AS x, sum(weight * l2) AS y FROM w JOIN load USING (i) GROUP BY doc_id),
+      mid AS (SELECT {"sum(m * l1)" if centred else "max(0)"} AS x, {"sum(m * l2)" if centred else "max(0)"} AS y FROM load)
+      SELECT doc_id, round(coalesce(s.x, 0) - mid.x, 5) + 0.0 AS x, round(coalesce(s.y, 0) - mid.y, 5) + 0.0 AS y
+      FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums s USING (doc_id), mid"""
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("x", "y")})
+
+
+@query("pca_2d", _projected(True))
 def pca_2d(src):
-    from gatelake.session import materialize
-
     weights = materialize(vectors.tfidf_char(src("documents"), "doc_id"), "weights")
-    return vectors.pca_2d(weights, src("documents").select("doc_id"), "doc_id")
+    return _rounded(vectors.pca_2d(weights, src("documents").select("doc_id"), "doc_id"))
 
 
-@query("svd_2d")
+@query("svd_2d", _projected(False))
 def svd_2d(src):
-    from gatelake.session import materialize
-
     weights = materialize(vectors.tfidf_char(src("documents"), "doc_id"), "weights")
-    return vectors.svd_2d(weights, src("documents").select("doc_id"), "doc_id")
+    return _rounded(vectors.svd_2d(weights, src("documents").select("doc_id"), "doc_id"))

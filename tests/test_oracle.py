@@ -6,7 +6,6 @@ from gatelake.plans.queries import ORACLES, QUERIES
 from tests.harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"pca_2d", "svd_2d"}  # signs and offsets are checked in test_vectors
 
 
 @pytest.fixture(scope="module")
@@ -19,4 +18,4 @@ def test_query(spark, con, name):
     result = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert result["ok"] is not False, result
     assert not result.get("kinds"), result
-    assert name in ORACLES or name in ROWS_ONLY
+    assert name in ORACLES
