@@ -53,6 +53,36 @@ def expand_nested(src):
     return archives.expand_nested(archives.expand_archives(outer)).select("archive", "path", F.md5("content").alias("h"))
 
 
+@query(
+    "expand_tar_archives",
+    f"WITH {_MEMBERS} SELECT kind || '.' || archive AS archive, path, h, CAST(load_seq AS BIGINT) AS load_seq FROM members, (VALUES ('tar'), ('tgz'), ('txz')) k(kind)")
+def expand_tars(src):
+    """Plain, gzip and xz tars of the same members."""
+    packed = _archives(src).mapInPandas(_tars, "dataset_name string, archive string, content binary")
+    return archives.expand_archives(packed).select("archive", "path", F.md5("content").alias("h"), "load_seq")
+
+
+def _tars(batches):
+    import io
+    import tarfile
+    import zipfile
+
+    for pdf in batches:
+        rows = []
+        for dataset, name, content in zip(pdf["dataset_name"], pdf["archive"], pdf["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                members = [(i.filename, z.read(i)) for i in z.infolist()]
+            for kind, mode in (("tar", "w"), ("tgz", "w:gz"), ("txz", "w:xz")):
+                buf = io.BytesIO()
+                with tarfile.open(fileobj=buf, mode=mode) as t:
+                    for path, data in members:
+                        info = tarfile.TarInfo(path)
+                        info.size = len(data)
+                        t.addfile(info, io.BytesIO(data))
+                rows.append((dataset, f"{kind}.{name}", buf.getvalue()))
+        yield pd.DataFrame(rows, columns=["dataset_name", "archive", "content"])
+
+
 def _wrap(batches):
     import io
     import zipfile

@@ -17,22 +17,6 @@ MEMBERS = _s(
     ("dataset_name", STR), ("archive", STR), ("path", STR), ("content", T.BinaryType()), ("load_seq", LONG)
 )
 
-SOURCE_RULES = _s(
-    ("rule_id", INT),
-    ("dataset_name", STR),
-    ("path_regex", STR),
-    ("name_regex", STR),
-    ("name_replace", STR),
-    ("prefix", STR),
-    ("sep", STR),
-    ("upper_name", T.BooleanType()),
-    ("file_name_as", STR),
-    ("forced_role", STR),
-    ("tags", T.ArrayType(STR)),
-)
-
-SOURCE_EXCLUSIONS = _s(("dataset_name", STR), ("base_name", STR), ("mode", STR))
-
 CONNECTIVITY = _s(
     ("module_name", STR),
     ("cell_name", STR),

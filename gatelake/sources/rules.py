@@ -111,6 +111,7 @@ MICRO_GROUPS = {
     ],
 }
 MICRO_COLLECTIONS = ["simple_registers/counters", "dsp/mac"]
+# --- fixed values: directories of the small-design source, exceptions to their names, and files of other sources ---
 # directory → design; the name is the directory with "/" as "_", minus a trailing rtl part
 MICRO_DIRS = [
     "simple_registers/blinking", "simple_registers/clk_divider", "simple_registers/ff/dffnr",
@@ -134,7 +135,6 @@ MICRO_DIRS = [
 ]
 # directories whose design name does not follow from the path
 MICRO_DIR_NAMES = {
-    "simple_registers/ff/dffnr": "simple_registers_ff_dffnr",
     "interface/opencores_can/rtl/verilog": "interface_opencores_can",
     "simple_gates/adder/adder_4": "simple_gates_adder_4",
     "simple_gates/adder/adder_6": "simple_gates_adder_6",

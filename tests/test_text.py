@@ -119,6 +119,12 @@ def test_global_clock(spark):
         None, ".model a\n.end\n"]
 
 
+def test_global_clock_of_repeated_models(spark):
+    block = ".model a\n.inputs x\n.outputs q\n.latch x q 2\n.end"
+    fixed = ".model a\n.inputs x\n.inputs clk\n.outputs q\n.latch x q re clk 2\n.end"
+    assert one(spark, [f"{block}\n{block}"], repair.add_global_clock(F.col("text"))) == [f"{fixed}\n{fixed}"]
+
+
 def test_cell_arrays(spark):
     good = "fa u[0:2](a[0:2],s[5:3]);\n  keep me\nfa #(.W(2)) v[1:0] (b[7:6]);\n"
     out = one(spark, [good, "fa u[0:2](a[0:1]);", "fa u[0:1](a);"], repair.unroll_cell_arrays(F.col("text")))
