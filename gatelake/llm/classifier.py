@@ -28,7 +28,7 @@ LABELLED_ROWS = 12_000
 POOL_ROWS = 3_000
 ROUNDS = 3
 CONFIDENT = 0.97
-TEXT_TERMS = 600
+TEXT_TERMS = 200
 META_BUCKETS = 512
 
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -92,7 +92,7 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.1, steps: int = 25) -> np.ndarray:
     """Ridge logistic regression with an unpenalised bias (last weight), by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
                 given[other][pool[i]] = float(p[i] >= 0.5)
     w, m = score["text"][0], score["meta"][0]
     both = np.column_stack([score["text"][1], score["meta"][1]])
-    mix = _logistic(both[held], y[held], l2=0.1)
+    mix = _logistic(both[held], y[held])
     full = np.zeros(META_BUCKETS)
     full[used] = m[:-1]
     full += m[-1] / 4  # each document has four metadata features
