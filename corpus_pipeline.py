@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatelake.llm import classifier, decontaminate, jaccard, pieces, pseudonyms
 from gatelake.llm.common import table
@@ -27,8 +28,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with pseudonyms for personal values; the length follows the text."""
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY).selectExpr(*docs.columns)
+    """The same documents with pseudonyms for personal values; ``n_chars`` follows a changed text."""
+    new = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return new.select(*docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
