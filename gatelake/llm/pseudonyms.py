@@ -26,11 +26,11 @@ KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "phone": r"(?:\+1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\+1[ .-]?\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}",
     "date": r"\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}",
-    "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}",
+    "ip": r"(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.\d)",
     "id": r"\d{3}-\d{2}-\d{4}",
     "card": r"\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}",
 }
-_EDGE = r"(?<![A-Za-z0-9._%+-])", r"(?![A-Za-z0-9])(?!\.\d)"
+_EDGE = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 ANY = f"(?:(?<![A-Za-z0-9]){KINDS['email']}|{_EDGE[0]}(?:" + "|".join(v for k, v in KINDS.items() if k != "email") + f"){_EDGE[1]})"
 
 

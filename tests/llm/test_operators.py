@@ -364,6 +364,9 @@ def test_pseudonyms(spark):
     same = dict(awkward())
     assert all(got[i] == same[i] for i in same if i is not None)
     assert pseudonyms.pseudonymise(empty(spark), "k").count() == 0
+    tight = ["%%%4111111111111111%%%", "-97.51.17.173.", "x:+1 (736) 555-2678!", "|4111111111111111.|", "1.97.51.17.173", "v97.51.17.173"]
+    out = pseudonyms.pseudonymise(frame(spark, list(enumerate(tight))), "k").collect()
+    assert [r["n_replaced"] for r in sorted(out, key=lambda r: r["doc_id"])] == [1, 1, 1, 1, 0, 0]
 
 
 # --- URLs -------------------------------------------------------------------------------
