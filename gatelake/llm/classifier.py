@@ -170,6 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     pool = np.flatnonzero(np.isnan(y))
     chosen = _choose_terms([words[i] for i in base], y[base], terms)
     text = np.hstack([_present(words, chosen), shape * 10]).astype(np.float32)
+    del words, data
     used = np.flatnonzero(meta.any(axis=0))
     given = {"text": {}, "meta": {}}  # pool row -> label, as taught by the other view
     for r in range(rounds + 1):

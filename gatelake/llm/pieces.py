@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED = 500_000  # encoded words kept per worker, about 100 MB
+CACHED = 200_000  # encoded words kept per worker, twice; under 100 MB
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 INF = float("inf")
 
@@ -94,7 +94,14 @@ class Transducer:
         self.edges: dict[int, tuple | None] = {}
         self.paths = _Kept(self.shortest)
         self.chunks = _Kept(lambda word: self.shortest(SPACE + word))
-        self.surface = [t.replace(SPACE, " ") if k in (NORMAL, USER) else "" for t, k in zip(self.text, self.kind)]
+        self.surface = [self.bytes_of(t, k) for t, k in zip(self.text, self.kind)]
+
+    @staticmethod
+    def bytes_of(text: str, kind: int) -> bytes:
+        """What a piece adds to a decoded text."""
+        if kind == BYTE:
+            return bytes([int(text[3:5], 16)])
+        return " ⁇ ".encode() if kind == UNKNOWN else text.replace(SPACE, " ").encode() if kind in (NORMAL, USER) else b""
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -146,7 +153,7 @@ class Transducer:
         """Weight of the arc of ``piece`` after ``before`` (-1: the start of a unit)."""
         if not self.merges:
             return -self.score[piece]
-        if len(self.pairs) > 2 * CACHED:
+        if len(self.pairs) > CACHED:
             self.pairs.clear()
         fits = self.spines(piece) is not None if before < 0 else self.may_follow(before, piece)
         self.pairs[before, piece] = cost = 0.0 if fits else INF
@@ -177,9 +184,21 @@ class Transducer:
 
     def finite(self, unit: str) -> list[int]:
         """The one path without an infinite arc, depth first with long pieces first; a place left once is dead."""
-        size, pairs, path, ends, todo, dead, before = len(unit), self.pairs, [], [0], [], set(), -1
-        todo.append(self.arcs(unit, 0) if size else [])
-        while ends[-1] < size:
+        size, pairs, trie, path, ends, todo, dead = len(unit), self.pairs, self.trie, [], [0], [], set()
+        at, before = 0, -1
+        while at < size:
+            if len(todo) < len(ends):  # first time here: the pieces that stand at this place, longest last
+                options, node = [], trie
+                for j in range(at, size):
+                    step = node.get(unit[j])
+                    if step is None:
+                        break
+                    if step[0] >= 0:
+                        options.append((step[0], j + 1))
+                    node = step[1]
+                if not options or options[0][1] != at + 1:
+                    options.insert(0, (-1, at + 1))
+                todo.append(options)
             options = todo[-1]
             while options:
                 p, end = options.pop()
@@ -191,14 +210,12 @@ class Transducer:
                 if fits == 0.0:
                     path.append(p)
                     ends.append(end)
-                    if end < size:
-                        todo.append(self.arcs(unit, end))
-                    before = p
+                    at, before = end, p
                     break
             else:
                 dead.add(ends.pop())
                 todo.pop(), path.pop()
-                before = path[-1] if path else -1
+                at, before = ends[-1], path[-1] if path else -1
         return path
 
     def lightest(self, unit: str) -> list[int]:
@@ -226,32 +243,24 @@ class Transducer:
         return np.frombuffer(b"".join(map(self.paths.__getitem__, self.units.findall(self.normalise(text)))), np.int32)
 
     def decode(self, ids) -> str:
-        out, run = [], bytearray()
-        for i in ids:
-            if self.kind[i] == BYTE:
-                run.append(int(self.text[i][3:5], 16))
-                continue
-            if run:
-                out.append(run.decode(errors="replace"))
-                run.clear()
-            out.append(self.surface[i] if self.kind[i] != UNKNOWN else " ⁇ ")
-        if run:
-            out.append(run.decode(errors="replace"))
-        text = "".join(out)
+        text = b"".join(map(self.surface.__getitem__, ids)).decode(errors="replace")
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
 class _Kept(dict):
-    """Bounded memory of what ``make`` gives for short keys."""
+    """Bounded memory of what ``make`` gives for short keys; when full, only what was used since the last time stays."""
 
     def __init__(self, make) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= 32:
             if len(self) >= CACHED:
+                self.before = dict(self)
                 self.clear()
             self[key] = value
         return value
