@@ -17,10 +17,18 @@ from pyspark.sql import functions as F
 from gatelake.llm.common import bind, words
 from gatelake.session import materialize
 
-STEPS = 15
+# at most so many rounds; they end earlier once no parameter moves by more than TOLERANCE
+STEPS, TOLERANCE = 200, 1e-9
 KEEP = 0.5
-# how sure a rule is at the start, and pseudo-votes that hold it there on small data
-START, WEIGHT = 0.8, 10.0
+# share of good documents at the start, and how often a vote is right on good and on bad
+# documents: junk trips a few rules and passes the others, prose trips hardly any
+START, RIGHT_GOOD, RIGHT_BAD = 0.8, 0.95, 0.6
+# pseudo-votes at these values as a share of the documents of a class, so that the size of
+# the table does not matter
+WEIGHT = 0.1
+# least accuracy on good and on bad documents: without the first, one class that trips
+# three rules half of the time explains a table as well as prose and junk do
+LEAST_GOOD, LEAST_BAD = 0.9, 0.5
 
 # fixed values: frequent function words of the languages covered
 STOP_WORDS = (
@@ -98,17 +106,19 @@ def posterior(prior: str, right_good: dict[str, str], right_bad: dict[str, str])
 
 def updates() -> dict[str, str]:
     """SQL of the next parameters, from patterns with their count ``c`` and posterior ``q``."""
-    held, cap = f"{START * WEIGHT}", "least(0.99, greatest(0.5, {}))"
+    cap = "least(0.99, greatest({}, {}))"
+    # the tiny share keeps a class without documents at the start values
+    good_held, bad_held = (f"{WEIGHT} * (sum({x}) + 1e-9)" for x in ("c * q", "c * (1 - q)"))
     out = {"prior": "least(0.99, greatest(0.01, sum(c * q) / sum(c)))"}
     for r in RULES:
-        good = f"(sum(CASE WHEN v_{r} = 1 THEN c * q ELSE 0 END) + {held}) / (sum(CASE WHEN v_{r} <> 0 THEN c * q ELSE 0 END) + {WEIGHT})"
-        bad = f"(sum(CASE WHEN v_{r} = -1 THEN c * (1 - q) ELSE 0 END) + {held}) / (sum(CASE WHEN v_{r} <> 0 THEN c * (1 - q) ELSE 0 END) + {WEIGHT})"
-        out |= {f"g_{r}": cap.format(good), f"b_{r}": cap.format(bad)}
+        good = f"(sum(CASE WHEN v_{r} = 1 THEN c * q ELSE 0 END) + {RIGHT_GOOD} * {good_held}) / (sum(CASE WHEN v_{r} <> 0 THEN c * q ELSE 0 END) + {good_held})"
+        bad = f"(sum(CASE WHEN v_{r} = -1 THEN c * (1 - q) ELSE 0 END) + {RIGHT_BAD} * {bad_held}) / (sum(CASE WHEN v_{r} <> 0 THEN c * (1 - q) ELSE 0 END) + {bad_held})"
+        out |= {f"g_{r}": cap.format(LEAST_GOOD, good), f"b_{r}": cap.format(LEAST_BAD, bad)}
     return out
 
 
 def fit(votes: DataFrame, steps: int = STEPS) -> dict[str, float]:
-    """Parameters after ``steps`` rounds over the vote patterns; the start values for an empty table.
+    """Parameters once they stand, or after ``steps`` rounds over the vote patterns; the start values for an empty table.
 
     The rounds run in one expression over the patterns as an array, which has at most
     3 to the power of the number of rules entries.
@@ -120,10 +130,13 @@ def fit(votes: DataFrame, steps: int = STEPS) -> dict[str, float]:
     q = posterior(at["prior"], {r: at[f"g_{r}"] for r in RULES}, {r: at[f"b_{r}"] for r in RULES})
     q = re.sub(r"\bv_", "x.v_", q)
     new = [re.sub(r"\bsum\(", "total(", v) for v in updates().values()]
-    start = f"array({', '.join(f'{START}D' for _ in names)})"
+    first = {"p": START, "g": RIGHT_GOOD, "b": RIGHT_BAD}
+    start = f"array({', '.join(f'{first[k[0]]}D' for k in names)}, 1D)"  # the last entry is the largest move
+    moved = f"array_max(zip_with(n, slice(p, 1, {len(names)}), (a, b) -> abs(a - b)))"
     rounds = (
-        f"aggregate(sequence(1, {steps}), {start}, (p, i) -> element_at(transform(array(transform(pats, x -> struct(x AS x, {q} AS q))), "
-        f"y -> array({', '.join(_over_array(v) for v in new)})), 1))"
+        f"aggregate(sequence(1, {steps}), {start}, (p, i) -> if(p[{len(names)}] <= {TOLERANCE!r}D, p, "
+        f"element_at(transform(transform(array(transform(pats, x -> struct(x AS x, {q} AS q))), "
+        f"y -> array({', '.join(_over_array(v) for v in new)})), n -> concat(n, array({moved}))), 1)))"
     )
     found = row.select(F.when(F.size("pats") > 0, F.expr(rounds)).otherwise(F.expr(start)).alias("p")).first()["p"]
     return dict(zip(names, found))

@@ -52,7 +52,6 @@ def test_rule_counts(spark):
     assert got == sorted(want, key=repr)
 
 
-@pytest.mark.xfail(reason="open: EM keeps junk that three of eight rules reject when the other five call it good")
 def test_rules_keep_prose_and_drop_junk(spark):
     good = [(i, "The " + prose(120, i) + ".\nof the " + prose(80, i + 500) + ". and to.") for i in range(60)]
     bad = [(100 + i, " ".join(f"{w}%%%" for w in prose(150, i).split())) for i in range(10)]
@@ -61,6 +60,16 @@ def test_rules_keep_prose_and_drop_junk(spark):
     assert rules.judge(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 1000])
+@pytest.mark.parametrize("shares", [(60, 10), (600, 10), (10, 60)])
+def test_rules_do_not_depend_on_the_size_of_the_table(spark, size, shares):
+    good, junk = {r: 1 for r in rules.RULES}, {r: -1 if k in (2, 6, 7) else 1 for k, r in enumerate(rules.RULES)}
+    votes = [spark.range(n * size).select(*[F.lit(v).alias(f"v_{r}") for r, v in x.items()]) for n, x in zip(shares, (good, junk))]
+    found = rules.fit(votes[0].unionByName(votes[1]))
+    got = [v.limit(1).select(F.expr(rules._with(found)).alias("q")).first()["q"] for v in votes]
+    assert got[0] > 0.99 and got[1] < 0.1
+
+
 # --- language model ---------------------------------------------------------------------
 
 
