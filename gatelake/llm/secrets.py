@@ -1,7 +1,8 @@
 """Secrets in texts: fixed shapes, and strings that a battery of tests takes for random.
 
-For every long run of key characters an encoding is inferred (decimal, hex,
-base 32, 36, 62 or 64). Three tests ask whether its symbols look uniform and
+For every long run of key characters an encoding is inferred (decimal, hex, letters,
+base 32, 36, 62 or 64); a run that fits none, such as a key behind a path with dashes, is
+taken apart into its longest parts of either base 64. Three tests ask whether its symbols look uniform and
 independent: chi-squared of the symbol counts, runs above and below the middle,
 correlation of neighbours. Their p-values are combined (Bonferroni) and, within
 each band of lengths, words and names are rejected as not random by the
@@ -25,7 +26,9 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# '=' is padding at the end of a run only, so that a value behind its name is a run of its own
+PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+CANDIDATE, *PARTS = (f"{chars}{{20,}}{PADDING}" for chars in ("[A-Za-z0-9+/_-]", "[A-Za-z0-9+/]", "[A-Za-z0-9_-]"))
 KINDS = ("assign", "access", "hex", "random")
 LENGTHS = (32, 48, 64, 128)  # upper ends of the bands but the last
 BINS_PER_DECADE, BINS = 50, 400
@@ -36,6 +39,9 @@ ALPHABETS = [
     (10, "0123456789", "^[0-9]+$"),
     (16, "0123456789abcdef", "^[0-9a-f]+$"),
     (16, "0123456789ABCDEF", "^[0-9A-F]+$"),
+    (26, "abcdefghijklmnopqrstuvwxyz", "^[a-z]+$"),
+    (26, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "^[A-Z]+$"),
+    (52, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "^[A-Za-z]+$"),
     (32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "^[A-Z2-7]+$"),
     (36, "0123456789abcdefghijklmnopqrstuvwxyz", "^[0-9a-z]+$"),
     (62, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "^[0-9A-Za-z]+$"),
@@ -100,15 +106,35 @@ def _p_value(values: Column, m: Column) -> Column:
     return bind(counts, run)
 
 
+def candidates(text: Column) -> Column:
+    """``start, end, m`` of the runs to test: whole where one alphabet may fit, else their parts."""
+    def parts(x: Column) -> Column:
+        at = lambda y: F.struct((x["start"] + y["start"]).alias("start"), (x["start"] + y["end"]).alias("end"), y["m"].alias("m"))
+        mixed = x["m"].rlike("[+/]") & x["m"].rlike("[_-]")
+        return F.when(mixed, F.array_distinct(F.concat(*[F.transform(places(x["m"], p), at) for p in PARTS]))).otherwise(F.array(x))
+
+    return F.flatten(F.transform(places(text, CANDIDATE), parts))
+
+
+def merged(spans: Column) -> Column:
+    """Spans ``start, rank, end`` of one kind, with those that overlap as one."""
+    def step(acc: Column, x: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        both = F.struct(last["start"].alias("start"), x["rank"].alias("rank"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(last["end"] > x["start"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(both))).otherwise(F.concat(acc, F.array(x)))
+
+    return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start:int,rank:int,end:int>>"), step)
+
+
 def tested(m: Column) -> Column:
-    """Length band and p-value bin of a candidate; null where no alphabet fits or letters and digits are not mixed."""
+    """Length band and p-value bin of a candidate; null where no alphabet fits or neither letters nor digits are in it."""
     body = F.rtrim(m, F.lit("="))
     which = F.lit(None).cast("int")
     for i, (_, _, shape) in reversed(list(enumerate(ALPHABETS))):
         which = F.when(body.rlike(shape), i).otherwise(which)
     symbols = F.array(*[F.lit(a[1]) for a in ALPHABETS])
     sizes = F.array(*[F.lit(float(a[0])) for a in ALPHABETS])
-    fits = body.rlike("[0-9]") & body.rlike("[A-Za-z]") & (F.char_length(body) >= 16)
+    fits = body.rlike("[A-Za-z0-9]") & (F.char_length(body) >= 16)
 
     def run(i: Column) -> Column:
         chars = F.filter(F.split(body, ""), lambda c: c != "")
@@ -123,9 +149,9 @@ def tested(m: Column) -> Column:
     return bind(which, lambda i: F.when(i.isNotNull() & fits, run(i)))
 
 
-def rejection(candidates: DataFrame, q: float = FALSE_DISCOVERY) -> dict[int, int]:
-    """Per band the least bin that is rejected as not random; ``candidates(band, bin)``."""
-    held = candidates.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
+def rejection(found: DataFrame, q: float = FALSE_DISCOVERY) -> dict[int, int]:
+    """Per band the least bin that is rejected as not random; ``found(band, bin)``."""
+    held = found.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
     by_band = W.partitionBy("band")
     ranked = held.withColumns({
         "rank": F.sum("c").over(by_band.orderBy(F.desc("bin"))), "m": F.sum("c").over(by_band),
@@ -154,14 +180,14 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERY) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     long_value = lambda x: F.char_length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 6
-    spot = F.transform(places(text, CANDIDATE), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), tested(x["m"]).alias("t")))
+    spot = F.transform(candidates(text), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), tested(x["m"]).alias("t")))
     rows = materialize(docs.select(
         "doc_id", _kept(places(text, ASSIGN), "assign", long_value).alias("assign"), _kept(places(text, ACCESS), "access").alias("access"),
         _kept(places(text, HEX), "hex").alias("hex"), F.filter(spot, lambda x: x["t"].isNotNull()).alias("spots"),
     ), "secrets")
     limits = rejection(rows.select(F.explode("spots").alias("x")).select("x.t.band", "x.t.bin"), q)
     bands = F.array(*[F.lit(limits.get(b, BINS + 1)) for b in range(len(LENGTHS) + 1)])
-    random = _kept(F.filter("spots", lambda x: x["t"]["bin"] < F.get(bands, x["t"]["band"])), "random")
+    random = merged(_kept(F.filter("spots", lambda x: x["t"]["bin"] < F.get(bands, x["t"]["band"])), "random"))
     base = F.concat("assign", "access", "hex")
     return rows.select(
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]], F.sha2(_listed(base), 256).alias("base_sha256"),

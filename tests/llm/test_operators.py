@@ -212,6 +212,31 @@ def test_random_strings_stand_and_words_do_not(spark):
     assert sum(found[1000 + i] for i in range(200)) <= 10
 
 
+def test_random_strings_in_runs_of_other_characters(spark):
+    r = random.Random(6)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    key = lambda chars: "".join(r.choice(chars) for _ in range(40))
+    shapes = {
+        "{}": [lower, digits, lower + lower.upper()], "AWS_SECRET_ACCESS_KEY={}": [lower + lower.upper() + digits + "/+"],
+        "private_key={}==": [lower + lower.upper() + digits], "http://a.b/c?sig={}&x=1": [lower + lower.upper() + digits + "-_"],
+        "my-app/some-path/{}": [lower + lower.upper() + digits], "x_y-z/{}": [lower + lower.upper() + digits + "-_"],
+    }
+    rows, spans = [], {}
+    for shape, alphabets in shapes.items():
+        for chars in alphabets:
+            for _ in range(20):
+                k, i = key(chars), len(rows)
+                rows.append((i, "é " + shape.format(k) + " end"))
+                spans[i] = (rows[i][1].index(k), rows[i][1].index(k) + 40)
+    n = len(rows)
+    rows += [(n + i, f"see {w.replace(' ', s)} here --------------------------------") for s in ("", "-", "/") for i, w in enumerate((prose(9, 20 + k) for k in range(100)), ord(s or "a") * 1000)]
+    got = {x["doc_id"]: x for x in secrets.scan(frame(spark, rows)).collect()}
+    covers = lambda i: [f for f in got[i]["found"] if f["rank"] == 3 and f["start"] <= spans[i][0] and f["end"] >= spans[i][1]]
+    for at in range(0, n, 20):
+        assert sum(len(covers(i)) == got[i]["n_random"] == 1 for i in range(at, at + 20)) >= 17, rows[at]
+    assert sum(x["n_random"] for i, x in got.items() if i >= n) <= 15
+
+
 # --- Jaccard join -----------------------------------------------------------------------
 
 
