@@ -2,12 +2,13 @@
 
 The text view sees the words and the shape of the text; the metadata view sees
 source, language and length. Both start from the labelled rows; in each round a
-view passes the pool documents it is surest of, with their labels, to the other.
+view scores all unlabelled documents and passes those it is sure of, with their
+labels, to the other, unless that one is sure of the opposite.
 A calibration on held-out labelled rows then weighs the two, and every document
 is scored. A document is good when it is labelled of quality and not toxic.
 
-Fitting uses a bounded sample (``labelled_rows``, ``pool_rows``, picked by a hash
-of the id); scoring covers every row of ``docs``.
+A fit takes bounded samples, picked by hash: of the labelled rows (``labelled_rows``)
+and, after all were scored, of those pseudo-labelled for a view (``pseudo_rows``).
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatelake.session import materialize
+
 LABELLED_ROWS = 12_000
-POOL_ROWS = 3_000
+PSEUDO_ROWS = 6_000
 ROUNDS = 3
 CONFIDENT = 0.97
+PSEUDO_WEIGHT = 0.1  # of all pseudo-labelled rows, against all labelled ones, at most
 TEXT_TERMS = 200
 META_BUCKETS = 512
 
@@ -92,15 +96,15 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.1, steps: int = 25) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, l2: float = 0.1, steps: int = 25) -> np.ndarray:
     """Ridge logistic regression with an unpenalised bias (last weight), by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
     ridge[-1] = 1e-6
     for _ in range(steps):
         p = _sigmoid(x @ w)
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
+        grad = x.T @ (weight * (p - y)) + ridge * w
+        hess = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-4:
@@ -132,28 +136,81 @@ def _present(docs: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
     return x
 
 
-def sample(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int) -> pd.DataFrame:
-    """Features of the labelled sample and of the pool (``y`` null), in a fixed order."""
-    truth = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+def _weights(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of all columns and the bias; columns that no row has get none."""
+    cols = np.flatnonzero(x.any(axis=0))
+    w = _logistic(x[:, cols], y, weight)
+    out = np.zeros(x.shape[1] + 1)
+    out[cols], out[-1] = w[:-1], w[-1]
+    return out
+
+
+def _truth(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min(F.when((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), 1.0).otherwise(0.0)).alias("y")
     )
+
+
+def sample(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> pd.DataFrame:
+    """Features of the labelled sample."""
     mark = F.xxhash64(F.lit("sample"), F.col("doc_id"))
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().join(truth, "doc_id", "left").withColumn("o", mark)
-    top = ids.where("y is not null").orderBy("o", "doc_id").limit(labelled_rows).unionByName(
-        ids.where("y is null").orderBy("o", "doc_id").limit(pool_rows)
-    )
+    ids = docs.where("doc_id is not null").select("doc_id").distinct().join(_truth(labels), "doc_id").withColumn("o", mark)
+    top = ids.orderBy("o", "doc_id").limit(labelled_rows)
     rows = docs.join(F.broadcast(top), "doc_id").dropDuplicates(["doc_id"])
-    got = rows.select("doc_id", "y", "o", "text", "source", "lang", "n_chars")
-    packed = got.select("y", "text", "source", "lang", "n_chars").mapInPandas(
+    packed = rows.select("y", "text", "source", "lang", "n_chars").mapInPandas(
         _batches, "y double, terms binary, shape binary, meta binary"
     )
     return packed.toPandas()
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS,
+def pool(docs: DataFrame, labels: DataFrame, chosen: np.ndarray) -> DataFrame:
+    """Features of every document without a label, written once: the presence of the ``chosen`` terms as bits, shape and metadata."""
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                b = whole.iloc[at : at + 1000]
+                f = next(_batches(iter([b.assign(y=0.0)])))
+                here = _present([np.frombuffer(x, np.uint64) for x in f["terms"]], chosen)
+                yield pd.DataFrame({
+                    "doc_id": b["doc_id"].array, "o": b["o"].array, "terms": [np.packbits(x > 0).tobytes() for x in here],
+                    "shape": f["shape"], "meta": f["meta"],
+                })
+
+    got = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64(F.lit("sample"), "doc_id", "text").alias("o"), "text", "source", "lang", "n_chars")
+    packed = got.mapInPandas(pack, "doc_id string, o long, terms binary, shape binary, meta binary")
+    known = _truth(labels).select(F.col("doc_id").cast("string").alias("doc_id"))
+    return materialize(packed.join(known, "doc_id", "left_anti").drop("doc_id"), "pool")
+
+
+def _matrices(rows: pd.DataFrame, n: int) -> dict[str, np.ndarray]:
+    """Both views of rows of ``pool``, for ``n`` chosen terms."""
+    text = np.zeros((len(rows), n + len(_SHAPE)), np.float32)
+    meta = np.zeros((len(rows), META_BUCKETS), np.float32)
+    for i, (t, s, m) in enumerate(zip(rows["terms"], rows["shape"], rows["meta"])):
+        text[i, :n] = np.unpackbits(np.frombuffer(t, np.uint8), count=n)
+        text[i, n:] = np.frombuffer(s) * 10
+        meta[i, np.frombuffer(m, np.int64)] = 1
+    return {"text": text, "meta": meta}
+
+
+def pseudo_labelled(rows: DataFrame, view: str, w: dict[str, np.ndarray], n: int) -> DataFrame:
+    """Of all ``rows`` of the pool, those that a view is sure of and the other not of the opposite, with the label ``y``; ``w``: weights by view."""
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                b = whole.iloc[at : at + 1000]
+                p = {v: _sigmoid(x @ w[v][:-1] + w[v][-1]) for v, x in _matrices(b, n).items()}
+                good = np.all([p[v] >= (CONFIDENT if v == view else 1 - CONFIDENT) for v in p], axis=0)
+                bad = np.all([p[v] <= (1 - CONFIDENT if v == view else CONFIDENT) for v in p], axis=0)
+                yield b.assign(y=good.astype(float))[good | bad]
+
+    return rows.mapInPandas(judge, "o long, terms binary, shape binary, meta binary, y double")
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, pseudo_rows: int = PSEUDO_ROWS,
         rounds: int = ROUNDS, terms: int = TEXT_TERMS) -> Model:
     """Co-trains both views; with no labelled rows, or only one class, every document scores as that class (good if none)."""
-    data = sample(docs, labels, labelled_rows, pool_rows)
+    data = sample(docs, labels, labelled_rows)
     data = data.sort_values(["terms", "shape", "meta"], ignore_index=True)  # the order of arrival must not matter
     words = [np.frombuffer(b, np.uint64) for b in data["terms"]]
     shape = np.array([np.frombuffer(b) for b in data["shape"]]).reshape(len(data), len(_SHAPE))
@@ -161,43 +218,34 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     for i, b in enumerate(data["meta"]):
         meta[i, np.frombuffer(b, np.int64)] = 1
     y = data["y"].to_numpy(float)
-    known = np.flatnonzero(~np.isnan(y))
+    known = np.arange(len(y))
     held = known[known % 5 == 0]
     base = np.setdiff1d(known, held)
     if len(set(y[base])) < 2 or len(held) < 5:
         bias = 8.0 if not len(known) or y[known].mean() >= 0.5 else -8.0
         return Model({}, np.zeros(len(_SHAPE)), bias, np.zeros(META_BUCKETS), np.array([1.0, 0.0, 0.0]))
-    pool = np.flatnonzero(np.isnan(y))
     chosen = _choose_terms([words[i] for i in base], y[base], terms)
     text = np.hstack([_present(words, chosen), shape * 10]).astype(np.float32)
     del words, data
-    used = np.flatnonzero(meta.any(axis=0))
-    given = {"text": {}, "meta": {}}  # pool row -> label, as taught by the other view
+    own, n = {"text": text, "meta": meta}, len(chosen)
+    rest = pool(docs, labels, chosen)
+    given = {view: (x[:0], np.zeros(0)) for view, x in own.items()}  # rows and labels, as taught by the other view
     for r in range(rounds + 1):
-        score = {}
-        for view, x in (("text", text), ("meta", meta[:, used])):
-            extra = np.fromiter(given[view], int, len(given[view]))
-            rows = np.concatenate([base, extra])
-            target = np.concatenate([y[base], np.fromiter(given[view].values(), float, len(extra))])
-            w = _logistic(x[rows], target)
-            score[view] = (w, x @ w[:-1] + w[-1])
+        w = {}
+        for view, x in own.items():
+            more, taught = given[view]
+            weight = np.repeat([1.0, min(1.0, PSEUDO_WEIGHT * len(base) / max(1, len(more)))], [len(base), len(more)])
+            w[view] = _weights(np.vstack([x[base], more]), np.concatenate([y[base], taught]), weight)
         if r == rounds:
             break
         for view, other in (("text", "meta"), ("meta", "text")):
-            p = _sigmoid(score[view][1][pool])
-            sure = (p >= CONFIDENT) | (p <= 1 - CONFIDENT)
-            order = np.argsort(-np.abs(p - 0.5), kind="stable")
-            fresh = [i for i in order if sure[i] and pool[i] not in given[other]]
-            for i in fresh[: max(1, len(pool) // (2 * rounds))]:  # the surest share of the pool in each round
-                given[other][pool[i]] = float(p[i] >= 0.5)
-    w, m = score["text"][0], score["meta"][0]
-    both = np.column_stack([score["text"][1], score["meta"][1]])
+            sure = pseudo_labelled(rest, view, w, n).orderBy("o", "terms", "shape", "meta").limit(pseudo_rows).toPandas()
+            given[other] = (_matrices(sure, n)[other], sure["y"].to_numpy(float))
+    both = np.column_stack([x @ w[view][:-1] + w[view][-1] for view, x in own.items()])
     mix = _logistic(both[held], y[held])
-    full = np.zeros(META_BUCKETS)
-    full[used] = m[:-1]
-    full += m[-1] / 4  # each document has four metadata features
-    n = len(chosen)
-    return Model(dict(zip(chosen.tolist(), w[:n].tolist())), w[n:-1] * 10, float(w[-1]), full, mix)
+    t, m = w["text"], w["meta"]
+    full = m[:-1] + m[-1] / 4  # each document has four metadata features
+    return Model(dict(zip(chosen.tolist(), t[:n].tolist())), t[n:-1] * 10, float(t[-1]), full, mix)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -450,6 +450,18 @@ def test_classifier_awkward(spark):
     assert classifier.score(empty(spark), classifier.fit(empty(spark), none)).count() == 0
 
 
+def test_all_unlabelled_documents_can_teach(spark):
+    docs = frame(spark, [(i, "rare kind" if i % 1000 == 7 else "usual") for i in range(6000)] + [(None, "rare kind"), (None, None)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 6000, 3)], "doc_id long, quality int, toxic int")
+    chosen = np.sort(np.array([classifier.xxhash.xxh3_64_intdigest(b"rare")], np.uint64))
+    rest = classifier.pool(docs, labels, chosen)
+    assert rest.count() == 4002
+    w = {"text": np.zeros(1 + len(classifier._SHAPE) + 1), "meta": np.zeros(classifier.META_BUCKETS + 1)}
+    w["text"][0] = 9.0
+    taught = classifier.pseudo_labelled(rest, "text", w, 1).collect()
+    assert len(taught) == 5 and {r["y"] for r in taught} == {1.0}
+
+
 def test_read_of_documents_is_whole():
     n = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet'").fetchone()[0]
     assert n == len(texts())
