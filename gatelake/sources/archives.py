@@ -26,12 +26,18 @@ def scan_archives(spark: SparkSession, path: str, dataset: str) -> DataFrame:
         F.lit(dataset).alias("dataset_name"), F.substring_index("path", "/", -1).alias("archive"), "content")
 
 
-def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
+def _members(content: bytes) -> Iterator[tuple[str | None, bytes | None]]:
+    """Name and bytes of each member; a zip member that cannot be read has neither, those after it are read."""
     if content[:2] == b"PK":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             for info in z.infolist():
                 if not info.is_dir():
-                    yield info.filename, z.read(info)
+                    try:
+                        data = z.read(info)
+                    except UNREADABLE:
+                        yield None, None
+                    else:
+                        yield info.filename, data
     else:  # streamed: members are read in order, never all at once
         with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as t:
             for info in t:
@@ -48,7 +54,7 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 for path, data in _members(content):
                     rows.append((dataset, archive, path, data, seq))
-                    seq, size = seq + 1, size + len(data)
+                    seq, size = seq + 1, size + len(data or b"")
                     if size >= BATCH_BYTES:  # bounded output batches
                         yield pd.DataFrame(rows, columns=cols)
                         rows, size = [], 0
@@ -63,6 +69,8 @@ def expand_archives(archives: DataFrame, *, spread: int | None = None) -> DataFr
 
     An archive that cannot be read to its end keeps the members before the fault
     and adds a row without path and content (see ``unreadable``); the job goes on.
+    A zip member that cannot be read (damaged, encrypted, unsupported) adds such a row
+    in its place, and the members after it are kept.
     An archive is read by one task, since compressed tars cannot be split;
     ``spread`` redistributes the members over that many tasks, for archives
     that hold a large share of all files.
@@ -72,7 +80,7 @@ def expand_archives(archives: DataFrame, *, spread: int | None = None) -> DataFr
 
 
 def unreadable(members: DataFrame) -> DataFrame:
-    """``(dataset_name, archive, n_members, status)``: archives that broke off, and after how many members."""
+    """``(dataset_name, archive, n_members, status)``: archives that broke off and zip members that cannot be read, and after how many members."""
     return members.filter("path IS NULL").select(
         "dataset_name", "archive", F.col("load_seq").alias("n_members"), F.lit("unreadable_archive").alias("status"))
 

@@ -107,6 +107,15 @@ def test_tar_kinds(spark, mode):
     assert {(r.path, bytes(r.content), r.load_seq) for r in got} == {("x/1", b"one", 0), ("x/2", b"two", 1)}
 
 
+def test_members_after_a_damaged_one_are_kept(spark):
+    whole = bytearray(zip_bytes({"x/1": "one", "x/2": "two", "x/3": "three"}))
+    at = whole.index(b"PK\x01\x02", whole.index(b"PK\x01\x02") + 1)  # directory entry of the second member
+    whole[at + 16] ^= 1  # its checksum
+    got = archives.expand_archives(spark.createDataFrame([("s", "a", whole)], "dataset_name string, archive string, content binary"))
+    assert {(r.path, r.content and bytes(r.content), r.load_seq) for r in got.collect()} == {("x/1", b"one", 0), (None, None, 1), ("x/3", b"three", 2)}
+    assert [r.n_members for r in archives.unreadable(got).collect()] == [1]
+
+
 def members(spark, dataset, paths):
     rows = [(dataset, "arc", p, bytearray(t.encode()), i) for i, (p, t) in enumerate(paths.items())]
     return materialize(spark.createDataFrame(
