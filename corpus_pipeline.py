@@ -48,7 +48,9 @@ STAGES = [
     ("PII", personal_data),
     ("SentencePiece", sentencepiece),
 ]
-ORACLE_SQL = None  # a fitted classifier and merges are not SQL; the tests hold each stage against brute force
+# a fitted classifier and merges are not SQL; tests of the stages hold the join and the decontamination against
+# brute force, the others only to ids, columns and counts
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
