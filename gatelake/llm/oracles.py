@@ -127,3 +127,57 @@ SELECT page_id, host, path, r.rule AS rule, coalesce(r.action, CASE WHEN bound >
 
 
 ORACLES["op9_url_filter"] = _urls()
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS r FROM d),
+k AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+
+def _repair() -> str:
+    crc = _CRC.replace("CAST(doc_id AS VARCHAR)", "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    name = {"u": "user", "a": "assistant"}
+    # grammar states 1 to 4: nothing yet, behind system, user, assistant
+    fill, goes = {1: "u", 2: "u", 3: "a", 4: "u"}, {"s": 2, "u": 3, "a": 4}
+    edit = lambda cost, initial, line, q: f"{{'c': {cost} + f[{q}].c, 'a': '{initial}' || f[{q}].a, 't': {line} || f[{q}].t}}"
+
+    def best(q: int) -> str:
+        keep = [f"WHEN lower(l) = '{r}' THEN {edit('w', 'K', 'line', goes[r])}" for r in ("s" if q == 1 else "", fill[q]) if r]
+        none = "{'c': 1000000, 'a': '', 't': ''}"
+        rename = edit("1 + w", "R", f"(chr(10) || '{name[fill[q]]}:' || text)", goes[fill[q]])
+        return f"list_sort([{edit(2, 'D', chr(39) * 2, q)}, CASE {' '.join(keep)} ELSE {none} END, CASE WHEN l = 'X' THEN {none} ELSE {rename} END])[1]"
+
+    def insert(q: int) -> str:
+        return f"list_sort([f[{q}], {edit(5, 'I', f'(chr(10) || {chr(39)}{name[fill[q]]}:{chr(39)})', goes[fill[q]])}])[1]"
+
+    four = lambda one: "[" + ", ".join(one(q) for q in range(1, 5)) + "]"
+    end = "[{'c': 0, 'a': '', 't': ''}, {'c': 10, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}, {'c': 5, 'a': 'I', 't': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 't': ''}]"
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, ({crc}) % 20 AS k FROM conversations),
+rows_ AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT * FROM k WHERE k <> 0 UNION ALL SELECT * FROM k WHERE k = 3) x),
+pos AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS i FROM rows_),
+fault AS (SELECT *, left(role, 1) AS r, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS b, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+  NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS nxt FROM pos),
+letter AS MATERIALIZED (SELECT *, chr(10) || role || ':' || text AS line, CASE WHEN NOT b AND NOT dup AND cut THEN 5 ELSE 0 END AS w,
+  CASE WHEN b OR dup THEN 'X' WHEN r IN ('s', 'u', 'a') THEN r ELSE 'o' END AS l FROM fault),
+sums AS MATERIALIZED (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, CAST(count(*) FILTER (b) AS BIGINT) AS blank,
+  CAST(count(*) FILTER (NOT b AND dup) AS BIGINT) AS duplicate, CAST(count(*) FILTER (w > 0) AS BIGINT) AS truncated,
+  CAST(count(*) FILTER (nxt IS NOT NULL AND r || nxt NOT IN ('su', 'ua', 'au')) AS BIGINT) AS illegal FROM letter GROUP BY conv_id),
+walk AS (SELECT conv_id, n AS i, {end} AS f FROM sums
+  UNION ALL SELECT conv_id, i, {four(insert)} FROM (SELECT conv_id, i, {four(insert)} AS f FROM (
+    SELECT walk.conv_id, walk.i - 1 AS i, {four(best)} AS f FROM walk JOIN letter ON letter.conv_id IS NOT DISTINCT FROM walk.conv_id AND letter.i = walk.i) x) y)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(f[1].c, 0) AS BIGINT) AS cost, coalesce(f[1].a, '') AS audit, sha256(coalesce(substr(f[1].t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN (SELECT walk.conv_id, f, sums.* EXCLUDE (conv_id) FROM walk JOIN sums ON walk.conv_id IS NOT DISTINCT FROM sums.conv_id WHERE i = 0) z ON o.conv_id IS NOT DISTINCT FROM z.conv_id
+"""
+
+
+ORACLES["op12_conversation_repair"] = _repair()

@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatelake.llm import classifier, decontaminate, jaccard, licenses, ngram, pieces, pseudonyms, rules, secrets, urls
+from gatelake.llm import classifier, decontaminate, fim, jaccard, licenses, ngram, packing, pieces, pseudonyms, repair, rules, secrets, urls
 from gatelake.llm.common import table
 from gatelake.llm.oracles import ORACLES  # noqa: F401
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER = "byte_bpe_50k.json"
 PSEUDONYM_KEY = "rotate-me"  # a deployment passes its own secret
 
+
+
+def tokenizer_file(name: str) -> str:
+    """Content of a public tokenizer's file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -85,3 +96,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(docs.select("doc_id", "text", "source", "lang", "n_chars"), model).select(
         "doc_id", "p_text", "p_meta", "score", "keep"
     )
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pieces(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(TOKENIZER)))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

@@ -6,7 +6,7 @@ from gatelake.llm.queries import ORACLES, QUERIES
 from tests.harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NO_SQL = {"op4_secrets", "op5_jaccard_join", "op6_licenses", "op7_sentencepiece", "op8_pii", "op10_quality_classifier"}
+NO_SQL = {"op4_secrets", "op5_jaccard_join", "op6_licenses", "op7_sentencepiece", "op8_pii", "op10_quality_classifier", "op13_best_fit_packing"}
 
 
 @pytest.fixture(scope="module")
