@@ -246,7 +246,7 @@ def pack(docs: DataFrame, source: str, *, end_id: int = 0, capacity: int = CAPAC
     if not 0 <= end_id < 1 << 32 or capacity < 1:
         raise ValueError("end_id is an unsigned 32-bit number, capacity is 1 or more")
     schema = _schema(docs.schema["doc_id"].dataType)
-    bins = materialize(docs.select("doc_id", "text").mapInArrow(_first_round(source, end_id, capacity, slack), schema), "packed")
+    bins = materialize(docs.select("doc_id", "text").mapInArrow(_first_round(source, end_id, capacity, slack), schema), "packed", apart="finished")
     done, depth = [bins.where("finished")], 0
     still = bins.where("not finished")
     while True:
@@ -257,7 +257,7 @@ def pack(docs: DataFrame, source: str, *, end_id: int = 0, capacity: int = CAPAC
         done.append(still.where(F.col("load") > capacity - least))
         still = still.where(F.col("load") <= capacity - least)
         tasks = max(1, math.ceil(4 * total / BUFFER_BYTES))
-        merged = materialize(still.coalesce(tasks).mapInArrow(_next_round(depth, capacity, slack), schema), "packed")
+        merged = materialize(still.coalesce(tasks).mapInArrow(_next_round(depth, capacity, slack), schema), "packed", apart="finished")
         left = merged.where("not finished").count()
         if tasks == 1 or left > 0.98 * n:
             done.append(merged)
