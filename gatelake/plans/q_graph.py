@@ -162,8 +162,7 @@ def expansion_factor(src):
     _MI,
 )
 def sub_design_dedup(src):
-    nodes, edges = _ni(src)
-    return graph.dedup_sub_designs(graph.fingerprints(graph.closure(nodes, edges), edges)).drop("fingerprint")
+    return graph.shared_sub_designs(*_ni(src))
 
 
 @query(

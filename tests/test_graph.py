@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gatelake import session
 from gatelake.operators import connectivity, decompose, graph, modules, netlist, rtlil
 from gatelake.operators.grouping import attach_group_count
 from gatelake.sources import sinks
@@ -180,3 +181,85 @@ def test_hub_and_chain(spark):
     nodes = edges.select("design_name", F.col("parent").alias("module_name")).distinct()
     got = graph.peel(nodes, edges).groupBy("design_name").agg(F.max("level").alias("top"), F.count(F.lit(1)).alias("n")).collect()
     assert {tuple(r) for r in got} == {("hub", 1, 100_001), ("chain", 200, 201)}
+
+
+def no_broadcast(spark):
+    return session.settings(spark, spark_sql_autoBroadcastJoinThreshold="-1")
+
+
+def test_a_round_shuffles_only_what_it_finds(spark, monkeypatch):
+    plans, write = [], graph.bucketed
+
+    def seen(df, keys, label="table", **kw):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, keys, label, **kw)
+
+    monkeypatch.setattr(graph, "bucketed", seen)
+    with no_broadcast(spark):
+        chain = {"c": {f"n{i:02d}": [f"n{i + 1:02d}"] if i < 9 else [] for i in range(10)}}
+        nodes, edges = frames(spark, chain)
+        assert graph.closure(nodes, edges).count() == 55
+        rounds = [p for label, p in plans if label == "pairs"]
+        assert len(rounds) == 11 and all(p.count("Exchange") == 1 for p in rounds[1:8])
+        # a round's only exchange lies above the join of frontier and edges and below all known pairs
+        assert all(p.index("LeftAnti") < p.index("Exchange") < p.index("Inner") for p in rounds[1:8])
+        plans.clear()
+        assert graph.peel(nodes, edges).count() == 10
+        waves = [p for label, p in plans if label == "round"]
+        assert len(waves) == 8 and all(p.count("Exchange") == 1 for p in waves[1:])
+
+
+def test_hubs_are_dealt_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB", 10_000)
+    ids = spark.range(100_000).select(F.lit("hub").alias("design_name"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"))
+    out = ids.select("design_name", F.lit("h").alias("parent"), F.col("c").alias("child"))
+    into = ids.select("design_name", F.col("c").alias("parent"), F.lit("z").alias("child"))
+    more = spark.createDataFrame([("hub", "top", "h"), ("hub", "h", "top"), ("small", "a", "b")], "design_name string, parent string, child string")
+    edges = out.unionByName(into).unionByName(more)
+    salts = graph._salts(edges.select("design_name", F.col("parent").alias("node"), "child"), edges.select("design_name", F.col("parent").alias("node")).distinct())
+    dealt = salts.edges(edges.select("design_name", F.col("parent").alias("node"), "child"))
+    sizes = [r["count"] for r in dealt.groupBy("design_name", "node", "salt").count().where("node = 'h'").collect()]
+    assert len(sizes) > 50 and max(sizes) < 15_000
+    roots = spark.createDataFrame([("hub", "top"), ("hub", "c5"), ("small", "a")], "design_name string, module_name string")
+    got = {(r.root, r.level): r.n for r in graph.closure(roots, edges, roots).groupBy("root", "level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {("top", 0): 1, ("top", 1): 1, ("top", 2): 100_000, ("top", 3): 1, ("c5", 0): 1, ("c5", 1): 1, ("a", 0): 1, ("a", 1): 1}
+    every = edges.select("design_name", F.col("parent").alias("module_name")).distinct()
+    into_z = graph.closure(every, into.unionByName(more.where("design_name = 'small'")))
+    assert into_z.where("node = 'z' AND level = 1").count() == 100_000 and into_z.count() == 200_004
+    acyclic = out.unionByName(into)
+    levels = graph.peel(every.where("module_name <> 'top'"), acyclic).groupBy("level").count().collect()
+    assert {r["level"]: r["count"] for r in levels} == {0: 2, 1: 100_000, 2: 1}
+
+
+def test_rounds_write_in_proportion_to_the_graph(spark, monkeypatch):
+    rows, write = [], graph._written
+
+    def seen(df, keys, label, **counts):
+        table, n = write(df, keys, label, **counts)
+        rows.extend([n["free"] + n["rest"]] if label == "round" else [])
+        return table, n
+
+    monkeypatch.setattr(graph, "_written", seen)
+    # a chain beside nodes that wait for its end: none of them is written before
+    chain = {"c": {f"n{i:02d}": [f"n{i + 1:02d}"] if i < 30 else [f"w{k}" for k in range(300)] for i in range(31)}
+             | {f"w{k}": [f"x{k}"] for k in range(300)} | {f"x{k}": [] for k in range(300)}}
+    nodes, edges = frames(spark, chain)
+    got = {r.module_name: r.level for r in graph.peel(nodes, edges).collect()}
+    assert got["n30"] == 30 and got["w7"] == 31 and got["x7"] == 32 and len(got) == 631
+    assert sum(rows) == 330
+
+
+def test_shared_sub_designs_match_closures(spark):
+    for designs in (random_graphs(25, True), random_graphs(25, False)):
+        nodes, edges = frames(spark, designs)
+        old = graph.dedup_sub_designs(graph.fingerprints(graph.closure(nodes, edges), edges)).drop("fingerprint")
+        got = graph.shared_sub_designs(nodes, edges)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, old.select(*got.columns).collect()))
+
+
+def test_drop_written_forgets_tables(spark):
+    nodes, edges = frames(spark, HAND)
+    graph.closure(nodes, edges).count()
+    names = list(session._TABLES)
+    assert names and all(spark.catalog.tableExists(n) for n in names)
+    assert session.drop_written(spark) > 0 and not any(spark.catalog.tableExists(n) for n in names)
