@@ -180,10 +180,58 @@ def bad_input_ingest(src):
     return read.unionByName(broken).unionByName(whole)
 
 
+def _mounted(src, label: str) -> tuple[str, str]:
+    """A new place in the shared folder as Spark and as a task's ``open`` name it."""
+    shared = shared_dir(src.spark)
+    if not shared.startswith(("file:", "/")):
+        raise ValueError(f"tasks write files to {shared}: the shared folder has to be mounted on all machines")
+    path = "/" + shared.removeprefix("file:").lstrip("/") + f"/gatelake/{label}-{uuid.uuid4().hex}"
+    return f"file://{path}", path
+
+
+_PLACES = """WITH f AS (SELECT doc_id % 3 AS k, doc_id, text FROM documents), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) - 1 AS n FROM f)
+  SELECT CASE k WHEN 0 THEN 'all.zip' WHEN 1 THEN 'all.tar' ELSE 'all.tgz' END AS archive, CAST(doc_id AS STRING) || '.v' AS path, md5(text) AS h, CAST(n AS BIGINT) AS load_seq FROM o"""
+
+
+@query("expand_listed_archives", _PLACES)
+def expand_listed(src):
+    """A zip, a tar and a gzip tar of a third of the documents each, read by path in groups of members."""
+    import io
+    import tarfile
+    import zipfile
+
+    root, local = _mounted(src, "archives")
+
+    def write(batches):
+        os.makedirs(local, exist_ok=True)
+        kinds, n = {}, 0
+        for pdf in batches:
+            for k, doc_id, text in zip(pdf["k"], pdf["doc_id"], pdf["text"]):
+                if k not in kinds:  # rows come sorted: one archive after the other
+                    part = f"{local}/.{uuid.uuid4().hex}"
+                    kinds[k] = (part, zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) if k == 0 else tarfile.open(part, "w" if k == 1 else "w:gz"))
+                out, body = kinds[k][1], text.encode()
+                if k == 0:
+                    out.writestr(f"{doc_id}.v", body)
+                else:
+                    info = tarfile.TarInfo(f"{doc_id}.v")
+                    info.size = len(body)
+                    out.addfile(info, io.BytesIO(body))
+                n += 1
+        for k, (part, out) in kinds.items():
+            out.close()
+            os.replace(part, f"{local}/all.{('zip', 'tar', 'tgz')[k]}")
+        yield pd.DataFrame({"n": [n]})
+
+    docs = src("documents").select((F.col("doc_id") % 3).cast("int").alias("k"), "doc_id", "text")
+    docs.repartition(3, "k").sortWithinPartitions("k", "doc_id").mapInPandas(write, "n long").agg(F.sum("n")).first()
+    listed = archives.list_archives(src.spark, f"{root}/all.*", "opencores")
+    return archives.expand_listed(listed, group_bytes=1 << 20).select("archive", "path", F.md5("content").alias("h"), "load_seq")
+
+
 def _tree(src) -> str:
     """A design tree of the text corpus in the shared folder, written by the tasks: one design per source and language."""
-    root = f"{shared_dir(src.spark)}/gatelake/tree-{uuid.uuid4().hex}"
-    local = root.removeprefix("file://")
+    root, local = _mounted(src, "tree")
 
     def write(batches):
         for pdf in batches:

@@ -1,7 +1,13 @@
-"""Archive members as rows."""
+"""Archive members as rows.
+
+Archives come as bytes in a column (``expand_archives``) or by path
+(``expand_listed``): the second way reads no archive as a whole, so that its size
+has no limit, and deals the members of one zip or uncompressed tar over many tasks.
+"""
 
 from __future__ import annotations
 
+import bz2
 import io
 import lzma
 import tarfile
@@ -10,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +99,196 @@ def expand_nested(members: DataFrame) -> DataFrame:
     return expand_archives(inner)
 
 
+# ------------------------------------------------------------------ archives by path
+GROUP_BYTES = 64 << 20  # content of the members that one row of the plan stands for
+GROUP_MEMBERS = 4096
+MAX_MEMBER = 1 << 30  # one value of a table holds no more than two of these
+_GROUPS = (
+    "dataset_name string, archive string, location string, kind string, "
+    "members array<struct<seq: bigint, name: string, at: bigint, packed: bigint, size: bigint, method: int, crc: bigint>>")
+_WHOLE = "stream"
+
+
+def list_archives(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """``(dataset_name, archive, location, length)`` of the archive files at ``path``; none is read."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.lit(dataset).alias("dataset_name"), F.substring_index("path", "/", -1).alias("archive"), F.col("path").alias("location"), "length")
+
+
+class _Ranges(io.RawIOBase):
+    """A file of the shared store, read by ranges; a place before its start is an OSError, as with files."""
+
+    def __init__(self, location: str):
+        if location.startswith("file:"):
+            system, path = fs.LocalFileSystem(), "/" + location.removeprefix("file:").lstrip("/")
+        else:
+            system, path = fs.FileSystem.from_uri(location)
+        self._file = system.open_input_file(path)
+        self._size, self._at = self._file.size(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        at = offset + (0, self._at, self._size)[whence]
+        if at < 0:
+            raise OSError(f"place {at} of {self._size} bytes")
+        self._at = at
+        return at
+
+    def readinto(self, buffer) -> int:
+        data = self._file.read_at(max(0, min(len(buffer), self._size - self._at)), self._at)
+        buffer[:len(data)] = data
+        self._at += len(data)
+        return len(data)
+
+    def close(self) -> None:
+        self._file.close()
+        super().close()
+
+
+def _opened(location: str) -> io.BufferedReader:
+    return io.BufferedReader(_Ranges(location), 1 << 18)
+
+
+def _zip_members(f) -> list[dict]:
+    """Places of a zip's members from its central directory; place -1 for a member that cannot be read by itself."""
+    with zipfile.ZipFile(f) as z:
+        infos = [i for i in z.infolist() if not i.is_dir()]
+    return [{"seq": n, "name": i.filename, "at": -1 if i.flag_bits & 0x1 or i.compress_type not in (0, 8, 12) else i.header_offset,
+             "packed": i.compress_size, "size": i.file_size, "method": i.compress_type, "crc": i.CRC} for n, i in enumerate(infos)]
+
+
+def _tar_members(f) -> list[dict] | None:
+    """Places of the members of an uncompressed tar, from its headers; none for a tar with sparse members."""
+    out = []
+    with tarfile.open(fileobj=f, mode="r:") as t:
+        try:
+            for info in t:
+                if info.issparse():
+                    return None
+                if info.isreg():
+                    out.append({"seq": len(out), "name": info.name, "at": info.offset_data, "packed": info.size, "size": info.size, "method": -1, "crc": 0})
+        except UNREADABLE:  # the members before the fault are kept
+            out.append({"seq": len(out), "name": None, "at": -1, "packed": 0, "size": 0, "method": -1, "crc": 0})
+    return out
+
+
+def _plan(group_bytes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["dataset_name", "archive", "location", "kind", "members"]
+        for pdf in batches:
+            for dataset, archive, location in zip(pdf["dataset_name"], pdf["archive"], pdf["location"]):
+                kind, members = _WHOLE, []
+                try:
+                    with _opened(location) as f:
+                        head = f.read(262)
+                        f.seek(0)
+                        if head[:2] == b"PK" or not (head[257:262] == b"ustar" or _compressed(head)) and zipfile.is_zipfile(f):
+                            f.seek(0)
+                            kind, members = "zip", _zip_members(f)
+                        elif head[257:262] == b"ustar":
+                            f.seek(0)
+                            found = _tar_members(f)
+                            kind, members = ("tar", found) if found is not None else (_WHOLE, [])
+                except UNREADABLE:
+                    kind, members = "zip", [{"seq": 0, "name": None, "at": -1, "packed": 0, "size": 0, "method": -1, "crc": 0}]
+                if kind == _WHOLE:
+                    yield pd.DataFrame([(dataset, archive, location, kind, [])], columns=cols)
+                group, size = [], 0
+                for m in [*members, None]:
+                    if group and (m is None or len(group) >= GROUP_MEMBERS or size + m["size"] > group_bytes):
+                        yield pd.DataFrame([(dataset, archive, location, kind, group)], columns=cols)
+                        group, size = [], 0
+                    if m is not None:
+                        group.append(m)
+                        size += m["size"]
+
+    return run
+
+
+def _compressed(head: bytes) -> bool:
+    return head[:2] == b"\x1f\x8b" or head[:3] == b"BZh" or head[:6] == b"\xfd7zXZ\x00"
+
+
+def _read_range(f, m: dict) -> bytes | None:
+    """One member by its place: its header, its packed bytes, its length and checksum."""
+    if m["at"] < 0 or m["size"] > MAX_MEMBER:
+        return None
+    f.seek(m["at"])
+    if m["method"] < 0:
+        data = f.read(m["packed"])
+        return data if len(data) == m["size"] else None
+    head = f.read(30)
+    if head[:4] != b"PK\x03\x04":
+        return None
+    f.seek(m["at"] + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+    packed = f.read(m["packed"])
+    try:  # no more is unpacked than the directory says
+        data = packed if m["method"] == 0 else zlib.decompressobj(-15).decompress(packed, m["size"] + 1) if m["method"] == 8 else bz2.BZ2Decompressor().decompress(packed, m["size"] + 1)
+    except (*UNREADABLE, ValueError):
+        return None
+    return data if len(data) == m["size"] and zlib.crc32(data) == m["crc"] else None
+
+
+def _read_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = [f.name for f in schemas.MEMBERS]
+    rows, size = [], 0
+    for pdf in batches:
+        for dataset, archive, location, kind, members in zip(*(pdf[c] for c in ("dataset_name", "archive", "location", "kind", "members"))):
+            with _opened(location) as f:
+                found = _streamed(f) if kind == _WHOLE else ((m["seq"], m["name"], _read_range(f, m)) for m in members)
+                for seq, name, data in found:
+                    rows.append((dataset, archive, name if data is not None else None, data, seq))
+                    size += len(data or b"") + 200
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=cols)
+                        rows, size = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=cols)
+
+
+def _streamed(f) -> Iterator[tuple[int, str | None, bytes | None]]:
+    """Members of a compressed tar in order, one in memory at a time."""
+    seq = 0
+    try:
+        with tarfile.open(fileobj=f, mode="r|*") as t:
+            for info in t:
+                if info.isfile():
+                    yield seq, info.name, t.extractfile(info).read() if info.size <= MAX_MEMBER else None
+                    seq += 1
+    except UNREADABLE:
+        yield seq, None, None
+
+
+def expand_listed(listed: DataFrame, *, group_bytes: int = GROUP_BYTES, spread: int | None = None) -> DataFrame:
+    """Members of ``list_archives``' files, as ``expand_archives`` gives them, for archives of any size.
+
+    First only directories are read: the central directory of a zip, the headers of
+    an uncompressed tar. They give groups of members of about ``group_bytes``, which
+    are dealt over ``spread`` tasks (the session's shuffle partitions by default) and read as
+    byte ranges of the file, so one archive is shared out among many tasks. A
+    compressed tar can only be read from its start: one task streams it, a member
+    at a time. ``load_seq`` is a member's place in its archive in all cases.
+
+    A member that cannot be read (damaged, encrypted, packed by a method other than
+    store, deflate or bzip2, or longer than ``MAX_MEMBER``) is a row without path and content in its
+    place; those after it are kept. So is the rest of an archive that breaks off.
+    Locations are files that all machines can open: mounted ones, or a store that
+    Arrow's file systems read.
+    """
+    groups = listed.select("dataset_name", "archive", "location").mapInPandas(_plan(group_bytes), _GROUPS)
+    tasks = spread or int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.coalesce(F.get("members", F.lit(0))["seq"], F.lit(0))
+    return groups.repartition(tasks, "location", first).mapInPandas(_read_groups, schemas.MEMBERS)
+
+
 def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         packed = []

@@ -193,3 +193,69 @@ def test_flow_rerun_replaces(spark):
 def test_classify_and_list(spark):
     rows = [(r.path, r.role) for r in rules.classify_members(members(spark, "s", {"a/top.txt": "", "b.V": "", "c.Vh": ""})).collect()]
     assert sorted(rows) == [("a/top.txt", "aux"), ("a/top.txt", "top"), ("b.V", "verilog"), ("c.Vh", "aux")]
+
+
+# --- archives by path ------------------------------------------------------------------
+
+
+def listed(spark, path):
+    return archives.list_archives(spark, f"file://{path}", "s")
+
+
+def plain(rows):
+    return sorted((r.archive, r.load_seq, r.path, bytes(r.content) if r.content is not None else None) for r in rows)
+
+
+def test_archives_by_path_equal_archives_by_content(spark, tmp_path):
+    members = {f"d/{i:03d}.v": f"module m{i}; endmodule\n" * (i % 7) for i in range(300)}
+    (tmp_path / "a.zip").write_bytes(zip_bytes(members))
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_BZIP2) as z:
+        for name, text in members.items():
+            z.writestr(zipfile.ZipInfo(name), text, zipfile.ZIP_DEFLATED if name[-3] in "12" else None)
+    for mode, end in (("w", "tar"), ("w:gz", "tar.gz"), ("w:xz", "tar.xz"), ("w:bz2", "tar.bz2")):
+        (tmp_path / f"c.{end}").write_bytes(tar_bytes(members, mode))
+    (tmp_path / "empty.zip").write_bytes(zip_bytes({}))
+    (tmp_path / "broken.zip").write_bytes(zip_bytes(members)[:-40])
+    (tmp_path / "no archive.zip").write_bytes(b"something else")
+    (tmp_path / "cut.tar.gz").write_bytes(tar_bytes(members)[:900])
+    (tmp_path / "cut.tar").write_bytes(tar_bytes(members, "w")[:100_000])
+    by_content = archives.expand_archives(archives.scan_archives(spark, f"file://{tmp_path}/*", "s"))
+    got = archives.expand_listed(listed(spark, f"{tmp_path}/*"), group_bytes=1000)
+    assert plain(got.collect()) == plain(by_content.collect())
+    assert {(r.archive, r.n_members) for r in archives.unreadable(got).collect()} == {
+        (r.archive, r.n_members) for r in archives.unreadable(by_content).collect()}
+
+
+def test_one_zip_over_many_tasks(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(zip_bytes({f"{i}.v": "x" * 500 for i in range(400)}))
+    got = archives.expand_listed(listed(spark, tmp_path / "a.zip"), group_bytes=5000, spread=8)
+    rows = got.select("load_seq", "path", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.load_seq, r.path) for r in rows) == [(i, f"{i}.v") for i in range(400)]
+    assert len({r.task for r in rows}) >= 5
+
+
+def test_archives_over_two_gib(spark, tmp_path):
+    """Sparse files: a zip behind 2.2 GiB of nothing, and a tar with a member of 2.2 GiB between small ones."""
+    far = (2 << 30) + (200 << 20)
+    with open(tmp_path / "far.zip", "wb") as f:
+        f.seek(far)
+        f.write(zip_bytes({"a.v": "one", "b.v": "two"}))
+    with open(tmp_path / "far.tar", "wb") as f:
+        for name, size in (("a.v", 3), ("huge", far), ("b.v", 3)):
+            info = tarfile.TarInfo(name)
+            info.size = size
+            f.write(info.tobuf(tarfile.GNU_FORMAT))
+            f.write(b"abc") if size == 3 else f.seek(size, 1)
+            f.seek(-size % 512, 1)
+        f.write(b"\0" * 1024)
+    assert min(r.length for r in listed(spark, f"{tmp_path}/far.*").collect()) > 2 << 30
+    got = plain(archives.expand_listed(listed(spark, f"{tmp_path}/far.*")).collect())
+    assert got == [("far.tar", 0, "a.v", b"abc"), ("far.tar", 1, None, None), ("far.tar", 2, "b.v", b"abc"), ("far.zip", 0, "a.v", b"one"), ("far.zip", 1, "b.v", b"two")]
+
+
+def test_damaged_zip_member_by_path(spark, tmp_path):
+    whole = bytearray(zip_bytes({"x/1": "one", "x/2": "two", "x/3": "three"}))
+    whole[whole.index(b"two")] ^= 1
+    (tmp_path / "a.zip").write_bytes(whole)
+    got = archives.expand_listed(listed(spark, tmp_path / "a.zip"))
+    assert [(n, p) for _, n, p, _ in plain(got.collect())] == [(0, "x/1"), (1, None), (2, "x/3")]
