@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
@@ -56,13 +56,41 @@ def ports_reaching_sync(traced: DataFrame, syncs: DataFrame) -> DataFrame:
     return traced.join(named, [D, "signal"], "left_semi").select(D, "port").distinct()
 
 
+def clock_items(texts: DataFrame) -> DataFrame:
+    """``(design_name, kind, a, b)``: what clock detection needs of a dump, from one reading of it.
+
+    ``port``: single-bit inputs ``a`` whose names may be clocks; ``connection``: from
+    ``a`` to ``b``; ``sync``: signals ``a`` of sync edges inside processes. A dump
+    without such a port gives no rows at all. Narrow.
+    """
+    t = F.col("rtlil")
+
+    def item(kind: str, a: Column, b: Column | None = None) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), (b if b is not None else F.lit(None).cast("string")).alias("b"))
+
+    def part(x: Column, i: int) -> Column:
+        return F.regexp_extract(x, P.PORT_LINE, i)
+
+    lines = F.transform(F.split("portlist", "\n"), lambda x: F.trim(x))
+    inputs = F.filter(lines, lambda x: x.rlike(P.PORT_LINE) & (part(x, 1) == "input") & (part(x, 2).cast("int") == part(x, 3).cast("int")))
+    ports = F.filter(F.transform(inputs, lambda x: item("port", part(x, 4))), lambda p: X.clock_like(p["a"]))
+    pairs = F.arrays_zip(X.find_all(t, P.RTLIL_CONNECT, 2).alias("a"), X.find_all(t, P.RTLIL_CONNECT, 1).alias("b"))
+    connections = F.transform(pairs, lambda p: item("connection", p["a"], p["b"]))
+    syncs = F.transform(
+        F.flatten(F.transform(X.find_all(t, P.RTLIL_PROCESS, 2), lambda body: X.find_all(body, P.RTLIL_SYNC, 2))),
+        lambda s: item("sync", F.regexp_replace(s, r"^\\", "")))
+    found = texts.select(D, ports.alias("ports"), "rtlil").where(F.size("ports") > 0)
+    return found.select(D, F.explode(F.concat("ports", connections, F.array_distinct(syncs))).alias("i")).select(D, "i.*")
+
+
 def clock_candidates(texts: DataFrame) -> DataFrame:
     """``(design_name, candidate)`` from ``texts(design_name, rtlil, portlist)``, for all designs in one job.
 
-    Names are filtered before the trace, which then starts only from likely clocks;
-    the connections of other designs are not followed.
+    Dumps are read once, into a written table of typed items. Only likely clocks are
+    start nodes, and a design without any leaves no connections to follow.
     """
-    inputs = single_bit_inputs(parse_ports(texts)).filter(X.clock_like(F.col("name"))).select(D, "name").distinct()
-    starts = materialize(inputs, "clock_inputs")
-    hit = ports_reaching_sync(trace(parse_connections(texts), starts), parse_syncs(texts))
-    return hit.select(D, F.col("port").alias("candidate"))
+    items = materialize(clock_items(texts), "clock_items", apart="kind")
+    kind = lambda k: items.where(F.col("kind") == k)
+    traced = trace(kind("connection").select(D, F.col("a").alias("source"), F.col("b").alias("target")), kind("port").select(D, F.col("a").alias("name")))
+    syncs = kind("sync").select(D, F.col("a").alias("signal"))
+    return traced.join(syncs, [D, "signal"], "left_semi").select(D, F.col("port").alias("candidate")).distinct()

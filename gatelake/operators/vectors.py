@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
@@ -26,56 +28,70 @@ def char_terms(docs: DataFrame, key: str) -> DataFrame:
         key, F.col("ch").alias("term"), F.col("n").alias("tf"))
 
 
-def _words(docs: DataFrame, key: str) -> DataFrame:
-    return docs.select(key, X.find_all(F.lower("text"), WORD).alias("w"))
+MARKS = 1 << 20  # places of a bit map
 
 
-def _ngrams(words: DataFrame, key: str, sizes: range, usable: list[str] | None = None) -> DataFrame:
-    """``(key, term)``, one row per n-gram; with ``usable``, only n-grams made of those words. Narrow."""
-    if usable is not None:
-        # other words become NULL, and an n-gram with a NULL part is not built
-        words = words.select(key, F.transform("w", lambda x: F.when(x.isin(usable), x)).alias("w"))
+def _place(word: Column) -> Column:
+    """Place of a word in a bit map."""
+    return F.pmod(F.xxhash64(word), F.lit(MARKS)).cast("int")
 
-    def grams(n: int):
-        if n == 1:
-            return F.col("w")
-        shifted = [F.slice("w", F.lit(i + 1), F.greatest(F.size("w") - (n - 1), F.lit(0))) for i in range(n)]
-        return F.transform(
-            F.arrays_zip(*[s.alias(f"g{i}") for i, s in enumerate(shifted)]),
-            lambda z: F.when(~F.greatest(*[z[f"g{i}"].isNull() for i in range(n)]), F.concat_ws(" ", *[z[f"g{i}"] for i in range(n)])),
-        )
 
-    return words.select(key, F.explode(F.concat(*[grams(n) for n in sizes])).alias("term")).filter("term IS NOT NULL")
+def _bit_map(places: DataFrame) -> DataFrame:
+    """One row with a bit map of ``places(place)``, of a fixed size however many there are."""
+    longs = places.groupBy(F.shiftright("place", 6).alias("i")).agg(
+        F.bit_or(F.expr("shiftleft(1L, place % 64)")).alias("bits")).unionByName(
+        places.sparkSession.range(MARKS // 64).select(F.col("id").cast("int").alias("i"), F.lit(0).cast("bigint").alias("bits")))
+    return longs.groupBy("i").agg(F.bit_or("bits").alias("bits")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "bits"))), lambda x: x["bits"]).alias("marks"))
 
 
-def word_vocabulary(docs: DataFrame, key: str, max_n: int = 3, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The ``max_features`` most frequent lower-case word 1..n-grams (words of two or more characters).
+def _marked(place: Column) -> Column:
+    return F.get(F.col("marks"), F.shiftright(place, 6)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), place % 64)) != 0
+
+
+def _grams(n: int) -> Column:
+    """n-grams of ``w`` with no gap in them."""
+    whole = lambda i: reduce(Column.__and__, [F.get("w", i + k).isNotNull() for k in range(n)])
+    starts = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(F.filter(starts, whole), lambda i: F.concat_ws(" ", *[F.get("w", i + k) for k in range(n)])) if n > 1 else F.filter("w", lambda x: x.isNotNull())
+
 
-    Exact, but without counting every n-gram: an n-gram is at most as frequent
-    as its rarest word, and ``max_features`` words alone reach the count of
-    the last of them, so n-grams with a rarer word cannot make the list. Only
-    n-grams of the remaining words are built and shuffled.
+def _frequent_words(docs: DataFrame, key: str, max_features: int) -> tuple[DataFrame, DataFrame]:
+    """``(term, n)`` of all words, and ``(key, w)``: each document's words, with a null in place of those that cannot be part of a frequent n-gram.
+
+    An n-gram is at most as frequent as its rarest word, and ``max_features`` words
+    alone reach the count of the last of them, so n-grams with a rarer word cannot
+    be among the first. The words frequent enough stand in a bit map that every task
+    holds; it has a fixed size, takes any number of ties, and words that share a
+    place with a frequent one only lead to more counted n-grams.
     """
-    words = _words(docs, key)
-    single = materialize(
-        _ngrams(words, key, range(1, 2)).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "word_counts")
-    top = single.orderBy(F.col("n").desc()).limit(max_features).agg(F.count(F.lit(1)), F.min("n")).collect()[0]
-    usable = None
-    if top[0] == max_features:
-        # at most max_features words plus ties; with more ties than that, all n-grams are counted
-        rows = single.filter(F.col("n") >= top[1]).select("term").take(4 * max_features + 1)
-        usable = [r[0] for r in rows] if len(rows) <= 4 * max_features else None
-    longer = _ngrams(words, key, range(2, max_n + 1), usable).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    words = docs.select(key, X.find_all(F.lower("text"), WORD).alias("w"))
+    single = materialize(words.select(F.explode("w").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "word_counts")
+    last = single.orderBy(F.col("n").desc()).limit(max_features).agg(F.when(F.count(F.lit(1)) == max_features, F.min("n")).otherwise(0).alias("cut"))
+    marks = _bit_map(single.where(F.col("n") >= last.scalar()).select(_place(F.col("term")).alias("place")))
+    kept = F.transform("w", lambda x: F.when(_marked(_place(x)), x))
+    # one row of fixed size
+    return single, materialize(words.crossJoin(F.broadcast(marks)).select(key, kept.alias("w")), "frequent_words")
+
+
+def _vocabulary_of(single: DataFrame, kept: DataFrame, max_n: int, max_features: int) -> DataFrame:
+    longer = kept.select(F.explode(F.concat(F.array().cast("array<string>"), *[_grams(n) for n in range(2, max_n + 1)])).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"))
     return single.unionByName(longer).orderBy(F.col("n").desc(), "term").limit(max_features).select("term")
 
 
-def word_terms(docs: DataFrame, key: str, vocab: DataFrame, max_n: int = 3) -> DataFrame:
-    """``(key, term, tf)`` of the vocabulary's terms; others are dropped before the shuffle."""
+def word_vocabulary(docs: DataFrame, key: str, max_n: int = 3, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The ``max_features`` most frequent lower-case word 1..n-grams (words of two or more characters), by exact counts."""
+    return _vocabulary_of(*_frequent_words(docs, key, max_features), max_n, max_features)
+
+
+def word_terms(docs: DataFrame, key: str, max_n: int = 3, max_features: int = MAX_FEATURES) -> DataFrame:
+    """``(key, term, tf)`` of the vocabulary's terms; others are dropped in the task that reads them."""
+    single, kept = _frequent_words(docs, key, max_features)
+    vocab = materialize(_vocabulary_of(single, kept, max_n, max_features), "vocabulary")
     # bounded: max_features rows
-    return (
-        _ngrams(_words(docs, key), key, range(1, max_n + 1)).join(F.broadcast(vocab.select("term")), "term")
-        .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return kept.select(key, F.explode(F.concat(*[_grams(n) for n in range(1, max_n + 1)])).alias("term")).join(
+        F.broadcast(vocab), "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -116,7 +132,7 @@ def tfidf_char(docs: DataFrame, key: str) -> DataFrame:
 
 def tfidf_word_ngrams(docs: DataFrame, key: str) -> DataFrame:
     """Word 1–3-gram TF-IDF."""
-    terms = materialize(word_terms(docs, key, word_vocabulary(docs, key)), "word_terms")
+    terms = materialize(word_terms(docs, key), "word_terms")
     return tfidf(terms, docs.agg(F.count(F.lit(1))), key, vocabulary(terms))
 
 

@@ -6,6 +6,7 @@ from gatelake.functions import text as X
 from gatelake.operators import hashing, modules
 from gatelake.plans import oracle_sql as O
 from gatelake.plans.registry import query
+from gatelake.session import materialize
 
 _EX = f"extracted AS ({O.extracted()})"
 _HS = f"{_EX}, hashes AS ({O.HASHES})"
@@ -184,7 +185,7 @@ def module_body_lookup(src):
     ("hdl_files",),
 )
 def hierarchy_from_text(src):
-    return modules.instances_from_text(modules.extract_modules(src("hdl_files")))
+    return modules.instances_from_text(materialize(modules.module_heads(src("hdl_files")), "heads"))
 
 
 @query(
