@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,21 +137,58 @@ def tfidf_word_ngrams(docs: DataFrame, key: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ projections
-def _dense_vectors(weights: DataFrame, key: str, size: int) -> DataFrame:
-    """One vector per document; empty documents are zero vectors and must be added by the caller."""
-    pairs = F.map_from_entries(F.collect_list(F.struct("term_idx", "weight")))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    return weights.groupBy(key).agg(pairs.alias("m")).select(key, array_to_vector(filled).alias("features"))
+FAN_IN = 16
 
 
-def _with_all_docs(vectors: DataFrame, keys: DataFrame, key: str, size: int) -> DataFrame:
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), size))
-    missing = keys.select(key).distinct().join(vectors, key, "left_anti").select(key, zero.alias("features"))
-    return vectors.unionByName(missing)
+def _packed(total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([total[np.triu_indices(len(total))].tobytes()], pa.binary())], ["g"])
+
+
+def _outer_products(size: int):
+    """Sum of the outer products of a task's rows, as one packed upper triangle; a row costs the square of its own terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size))
+        for batch in batches:
+            rows = batch.column("r")
+            terms, weights = (rows.values.field(i).to_numpy() for i in (0, 1))
+            for start, end in itertools.pairwise(rows.offsets.to_numpy()):
+                t, w = terms[start:end], weights[start:end]
+                total[np.ix_(t, t)] += np.outer(w, w)
+        yield _packed(total)
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for g in batch.column("g"):
+            part = np.frombuffer(g.as_py())
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["g"])
+
+
+def gram(weights: DataFrame, key: str, size: int) -> np.ndarray:
+    """Σ x·xᵀ over the documents' sparse rows (``size`` is at most ``max_features``).
+
+    Tasks add up their rows, and a tree of tasks adds up their sums, ``FAN_IN`` at a
+    time; the driver gets that many triangles at most.
+    """
+    rows = weights.groupBy(key).agg(F.collect_list(F.struct("term_idx", "weight")).alias("r")).select("r")
+    parts = materialize(rows.mapInArrow(_outer_products(size), "g binary"), "gram")
+    while (n := parts.count()) > FAN_IN:
+        parts = materialize(parts.repartition(math.ceil(n / FAN_IN)).mapInArrow(_added, "g binary"), "gram")
+    upper = np.zeros((size, size))
+    for row in parts.collect():
+        upper[np.triu_indices(size)] += np.frombuffer(row["g"])
+    return upper + np.triu(upper, 1).T
 
 
 def _project(weights: DataFrame, keys: DataFrame, key: str, loadings: np.ndarray, offset: np.ndarray) -> DataFrame:
-    """Σ weight · loading per document; ``loadings`` has at most ``max_features`` rows."""
+    """Σ weight · loading per document; ``loadings`` has at most ``max_features`` rows, one column where there is one term."""
+    if loadings.shape[1] < 2:
+        loadings, offset = np.hstack([loadings, np.zeros_like(loadings)]), np.append(offset, 0.0)
     spark = weights.sparkSession
     table = spark.createDataFrame(
         [(i, float(r[0]), float(r[1])) for i, r in enumerate(loadings)], "term_idx int, l1 double, l2 double")
@@ -173,28 +210,26 @@ def _size(weights: DataFrame) -> int:
     return (weights.agg(F.max("term_idx")).collect()[0][0] or 0) + 1
 
 
+def _leading(matrix: np.ndarray) -> np.ndarray:
+    return _fix_signs(np.linalg.eigh(matrix)[1][:, :-3:-1])
+
+
 def pca_2d(weights: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Centred 2-D projection ``(key, x, y)`` of ``weights(key, term_idx, weight)`` for all ``keys``.
 
-    The covariance (at most 1024²) is summed by the tasks; documents are
-    projected with a broadcast table of loadings, so vectors never reach the driver.
+    The Gram matrix (at most 1024²) is summed by the tasks and centred afterwards;
+    documents are projected with a broadcast table of loadings, so vectors never
+    reach the driver. Documents without weights count as zero vectors.
     """
     size = _size(weights)
-    vectors = _with_all_docs(_dense_vectors(weights, key, size), keys, key, size)
-    model = PCA(k=2, inputCol="features", outputCol="p").fit(vectors)
-    loadings = _fix_signs(model.pc.toArray())
     n_docs = keys.select(key).distinct().count()
     mean = np.zeros(size)
     for idx, total in weights.groupBy("term_idx").agg(F.sum("weight")).collect():  # at most max_features rows
-        mean[idx] = total / n_docs
+        mean[idx] = total / max(n_docs, 1)
+    loadings = _leading(gram(weights, key, size) - n_docs * np.outer(mean, mean))
     return _project(weights, keys, key, loadings, mean @ loadings)
 
 
 def svd_2d(weights: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Uncentred truncated-SVD projection ``(key, x, y)``."""
-    size = _size(weights)
-    vectors = _dense_vectors(weights, key, size).select("features")
-    # one distributed pass for AᵀA (at most 1024²); its leading eigenvectors are the right singular vectors
-    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features")).computeGramianMatrix().toArray()
-    loadings = _fix_signs(np.linalg.eigh(gram)[1][:, :-3:-1])
-    return _project(weights, keys, key, loadings, np.zeros(2))
+    """Uncentred truncated-SVD projection ``(key, x, y)``: the Gram matrix's leading eigenvectors are the right singular vectors."""
+    return _project(weights, keys, key, _leading(gram(weights, key, _size(weights))), np.zeros(2))

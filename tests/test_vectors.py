@@ -45,6 +45,17 @@ def test_projections(spark, docs):
     same_up_to_sign(svd, a @ np.linalg.svd(a)[2][:2].T)
 
 
+def test_gram_adds_up_over_a_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(vectors, "FAN_IN", 2)
+    rng = np.random.default_rng(1)
+    dense_rows = rng.random((40, 9)) * (rng.random((40, 9)) < 0.4)
+    rows = [(i, j, float(dense_rows[i, j])) for i in range(40) for j in range(9) if dense_rows[i, j]]
+    w = spark.createDataFrame(rows, "k int, term_idx int, weight double").repartition(7, "k")
+    assert np.allclose(vectors.gram(w, "k", 9), dense_rows.T @ dense_rows)
+    one = spark.createDataFrame([(1, 0, 1.0), (2, 0, 3.0)], "k int, term_idx int, weight double")
+    assert sorted((r.x, r.y) for r in vectors.pca_2d(one, one.select("k"), "k").collect()) == [(-1.0, 0.0), (1.0, 0.0)]
+
+
 @pytest.mark.parametrize("size", [2, 3, 5, 8, 1000])
 def test_pruned_vocabulary_is_exact(docs, size):
     import re
