@@ -49,28 +49,25 @@ def drop_duplicate_models(text: Column) -> Column:
         lambda b, i: F.struct(b["name"].alias("name"), b["text"].alias("text"), i.alias("i")),
     )
 
-    def decided(bs: Column) -> Column:
-        # names and texts → first text and last position, as maps built by later entries winning
-        def last_wins(entries: Column) -> Column:
-            return F.aggregate(
-                entries, F.create_map().cast("map<string,string>"),
-                lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
-
-        first = last_wins(F.reverse(F.transform(bs, lambda b: F.struct(b["name"].alias("k"), b["text"].alias("v")))))
-        last = last_wins(F.transform(bs, lambda b: F.struct(b["text"].alias("k"), b["i"].cast("string").alias("v"))))
-        return X.let(
-            F.struct(first.alias("first"), last.alias("last")),
-            lambda w: F.transform(
-                bs,
-                lambda b: F.when(
-                    (F.try_element_at(w["first"], b["name"]) == b["text"])
-                    & (F.try_element_at(w["last"], b["text"]) == b["i"].cast("string")),
-                    b["text"],
-                ).otherwise(F.lit("\n\n")),
-            ),
-        )
-
-    return X.interleave(F.split(text, P.BLIF_MODEL), X.let(blocks, decided), lambda t: t)
+    def starts(entries: Column, field: str) -> Column:
+        """The first of each run of entries that agree in ``field``."""
+        return F.filter(entries, lambda e, k: (k == 0) | (F.get(entries, k - 1)[field] != e[field]))
+
+    def ends(entries: Column, field: str) -> Column:
+        return F.filter(entries, lambda e, k: (k == F.size(entries) - 1) | (F.get(entries, k + 1)[field] != e[field]))
+
+    def marked(bs: Column) -> Column:
+        # sorted by name, text and place, equal texts are neighbours: a run has a first and a last place
+        runs = X.let(F.array_sort(bs), lambda s: F.zip_with(
+            starts(s, "text"), ends(s, "text"), lambda a, z: F.struct(a["name"].alias("name"), a["i"].alias("first"), z["i"].alias("last"))))
+        # sorted by name and first place, the run that decides is the first of its name
+        kept = X.let(F.array_sort(runs), lambda r: F.array_sort(F.transform(starts(r, "name"), lambda e: e["last"])))
+        before = lambda s, j: F.when(j > 0, F.get(s, j - 1)).otherwise(F.lit(-1))
+        marks = X.let(kept, lambda s: F.split(F.array_join(F.transform(
+            s, lambda k, j: F.concat(F.repeat(F.lit("0"), k - before(s, j) - 1), F.lit("1"))), ""), ""))
+        return F.slice(F.zip_with(bs, marks, lambda b, m: F.when(m == "1", b["text"]).otherwise(F.lit("\n\n"))), F.lit(1), F.size(bs))
+
+    return X.interleave(F.split(text, P.BLIF_MODEL), X.let(blocks, marked), lambda t: t)
 
 
 def remove_exdc(text: Column) -> Column:

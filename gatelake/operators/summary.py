@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gatelake.functions import text as X
-from gatelake.session import checkpoint
+from gatelake.session import checkpoint, materialize
 
 
 def dataset_summary(designs: DataFrame) -> DataFrame:
@@ -100,16 +100,17 @@ def rank_series(df: DataFrame, value: str, key: str) -> DataFrame:
 def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """Counts in ``bins`` log-spaced bins between the smallest and largest positive value.
 
-    Zeros have a bin of their own (``bin = -1``). Bounds are scalar
-    sub-queries, so the data is not collected and not joined.
+    Zeros have a bin of their own (``bin = -1``). The data is read once, into its
+    distinct values and how often each occurs; bounds and bins come from those.
     """
-    positive = df.filter(F.col(value) > 0)
-    lo = positive.select(F.ln(F.min(value))).scalar()
-    hi = positive.select(F.ln(F.max(value))).scalar()
+    values = materialize(df.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    positive = values.filter("v > 0")
+    lo = positive.select(F.ln(F.min("v"))).scalar()
+    hi = positive.select(F.ln(F.max("v"))).scalar()
     width = hi - lo
-    raw = F.when(width == 0, F.lit(0)).otherwise(F.floor((F.ln(value) - lo) * bins / width + F.lit(1e-9)))
-    binned = F.when(F.col(value) <= 0, F.lit(-1)).otherwise(F.least(raw, F.lit(bins - 1)))
-    return df.groupBy(binned.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    raw = F.when(width == 0, F.lit(0)).otherwise(F.floor((F.ln("v") - lo) * bins / width + F.lit(1e-9)))
+    binned = F.when(F.col("v") <= 0, F.lit(-1)).otherwise(F.least(raw, F.lit(bins - 1)))
+    return values.groupBy(binned.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
 
 
 def bar_series(df: DataFrame, category: str, value: str | Column) -> DataFrame:

@@ -135,3 +135,19 @@ def test_cell_arrays(spark):
 
 def test_exdc(spark):
     assert one(spark, [".a\n.exdc\n.names z\n1\n.end\n"], repair.remove_exdc(F.col("text"))) == [".a\n.end\n"]
+
+
+def test_many_models_in_one_file(spark):
+    """20,000 blocks of 10,000 names: each name's first text stays, at its last place."""
+    import time
+    block = lambda i, v: f".model m{i % 10_000}\n.inputs {v}\n.end\n"
+    blocks = [block(i, "a" if i < 10_000 or i % 3 else "b") for i in range(20_000)]
+    df = spark.createDataFrame([("".join(blocks),)], "text string")
+    start = time.time()
+    got = df.select(repair.drop_duplicate_models(F.col("text")).alias("t")).first()["t"]
+    assert time.time() - start < 60
+    kept = [line.split()[1] for line in got.splitlines() if line.startswith(".model")]
+    # a name whose second block is another text keeps the first one, the others keep the second one's place
+    assert len(kept) == 10_000 == len(set(kept))
+    assert kept == [f"m{i}" for i in range(10_000) if (i + 10_000) % 3 == 0] + [f"m{i}" for i in range(10_000) if (i + 10_000) % 3]
+    assert ".inputs b" not in got
