@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +96,10 @@ class Transducer:
         self.paths = _Kept(self.shortest)
         self.chunks = _Kept(lambda word: self.shortest(SPACE + word))
         self.surface = [self.bytes_of(t, k) for t, k in zip(self.text, self.kind)]
+        # all surfaces behind each other: a batch of pieces is decoded by one gather
+        self.blob = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.lengths = np.array([len(x) for x in self.surface], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     @staticmethod
     def bytes_of(text: str, kind: int) -> bytes:
@@ -243,8 +248,21 @@ class Transducer:
         return np.frombuffer(b"".join(map(self.paths.__getitem__, self.units.findall(self.normalise(text)))), np.int32)
 
     def decode(self, ids) -> str:
-        text = b"".join(map(self.surface.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if self.dummy and text.startswith(" ") else text
+        return self.decode_all(np.asarray(ids, np.int64), [len(ids)])[0]
+
+    def decode_all(self, ids: np.ndarray, sizes: list[int]) -> list[str]:
+        """Texts of lists of pieces that stand behind each other, of the given sizes."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - ends + lengths, lengths)
+        data, at, done, out = self.blob[places].tobytes(), 0, 0, []
+        for n in sizes:
+            done += n
+            end = int(ends[done - 1]) if done else 0
+            text = data[at:end].decode(errors="replace")
+            out.append(text[1:] if self.dummy and text.startswith(" ") else text)
+            at = end
+        return out
 
 
 class _Kept(dict):
@@ -281,20 +299,25 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def _mapped(df: DataFrame, raw: bytes, source: str, target: str, kind: T.DataType, make) -> DataFrame:
-    """``df`` with the column ``target``, made from ``source`` in slices of bounded size."""
+def _mapped(df: DataFrame, raw: bytes, source: str, targets: dict[str, T.DataType], make) -> DataFrame:
+    """``df`` with the columns ``targets``, made from ``source`` in slices of bounded size. Other columns may have any names."""
     shared = df.sparkSession.sparkContext.broadcast(raw)
-    kept = [c for c in df.columns if c != target]
+    kept = [c for c in df.columns if c not in targets]
+    sent = kept if source in kept else [*kept, source]
+    at = sent.index(source)
 
     def run(batches):
         model = _compiled(shared.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                b = whole.slice(at, 128)
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], make(model, b.column(len(kept)))], names=[*kept, target])
+            for start in range(0, whole.num_rows, 128):
+                b = whole.slice(start, 128)
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *make(model, b.column(at))], names=[*kept, *targets])
 
-    schema = T.StructType([*df.select(*kept).schema, T.StructField(target, kind)])
-    return df.select(*kept, F.col(source).alias("_source")).mapInArrow(run, schema)
+    schema = T.StructType([*df.select(*kept).schema, *(T.StructField(c, t) for c, t in targets.items())])
+    return df.select(*sent).mapInArrow(run, schema)
+
+
+_IDS = T.ArrayType(T.IntegerType())
 
 
 def _encoded(model: Transducer, texts: pa.Array) -> pa.Array:
@@ -303,14 +326,25 @@ def _encoded(model: Transducer, texts: pa.Array) -> pa.Array:
 
 
 def _decoded(model: Transducer, ids: pa.Array) -> pa.Array:
-    return pa.array([None if v is None else model.decode(v) for v in ids.to_pylist()], pa.string())
+    sizes = pc.list_value_length(ids).to_pylist()
+    texts = iter(model.decode_all(ids.flatten().to_numpy(zero_copy_only=False), [n for n in sizes if n is not None]))
+    return pa.array([None if n is None else next(texts) for n in sizes], pa.string())
 
 
 def encode(df: DataFrame, raw: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the piece numbers of ``text`` in ``ids`` (replaced if there): null for null, empty for empty."""
-    return _mapped(df, raw, text, ids, T.ArrayType(T.IntegerType()), _encoded)
+    return _mapped(df, raw, text, {ids: _IDS}, lambda model, texts: [_encoded(model, texts)])
 
 
 def decode(df: DataFrame, raw: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of the piece numbers in ``ids``; bytes that are no UTF-8 become replacement characters."""
-    return _mapped(df, raw, ids, text, T.StringType(), _decoded)
+    return _mapped(df, raw, ids, {text: T.StringType()}, lambda model, v: [_decoded(model, v)])
+
+
+def round_trip(df: DataFrame, raw: bytes, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its result in one pass: the piece numbers never leave the task between the two."""
+    def make(model: Transducer, texts: pa.Array) -> list[pa.Array]:
+        coded = _encoded(model, texts)
+        return [coded, _decoded(model, coded)]
+
+    return _mapped(df, raw, text, {ids: _IDS, decoded: T.StringType()}, make)

@@ -69,10 +69,8 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = pieces.read_model(MODEL_PATH)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = pieces.decode(pieces.encode(docs, raw), raw)
-    return back.select(
+    return pieces.round_trip(docs, pieces.read_model(MODEL_PATH)).select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"), "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )

@@ -465,3 +465,14 @@ def test_all_unlabelled_documents_can_teach(spark):
 def test_one_row_per_document(spark, name):
     got = [r["doc_id"] for r in QUERIES[name](spark, SF).select("doc_id").collect()]
     assert sorted(got) == sorted(i - 100000 for i, _ in texts())
+
+
+def test_pieces_round_trip_in_one_pass(spark):
+    raw = pieces.read_model(MODEL_PATH)
+    docs = frame(spark, awkward() + texts()).withColumn("_source", F.lit(1)).withColumn("decoded", F.lit(2))
+    two = pieces.decode(pieces.encode(docs, raw), raw)
+    one = pieces.round_trip(docs, raw)
+    assert sorted(one.columns) == sorted(two.columns)
+    rows = lambda df: sorted(map(repr, df.select("doc_id", "text", "ids", "decoded", "_source").collect()))
+    assert rows(one) == rows(two)
+    assert pieces.round_trip(empty(spark), raw).count() == 0
