@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gatelake import schemas
 from gatelake.functions import text as X
@@ -149,10 +152,20 @@ def remove_dataset(designs: DataFrame, dataset: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ stored catalogue
+BUCKETS = 64
+
+
+def _bucket() -> Column:
+    """Part of a source that a design belongs to."""
+    return F.pmod(F.xxhash64("design_name"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
 class Catalogue:
-    """``designs`` and ``files`` stored as Parquet, partitioned by ``dataset_name``.
+    """``designs`` and ``files`` stored as Parquet, partitioned by ``dataset_name`` and by a hash of the design's name.
 
-    Changes rewrite only the partitions of the sources they touch.
+    Changes read and rewrite only the parts of sources that hold a design they
+    touch. The new rows of both tables are written aside first; then both are
+    switched, one after the other.
     """
 
     TABLES = {"designs": schemas.DESIGNS, "files": schemas.FILES}
@@ -163,8 +176,9 @@ class Catalogue:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _table(self, name: str) -> DataFrame:
-        schema = self.TABLES[name]
+    def _stored(self, name: str) -> DataFrame:
+        """A table with its ``bucket``, which filters on it prune folders by."""
+        schema = T.StructType([*self.TABLES[name].fields, T.StructField("bucket", T.IntegerType())])
         try:
             return self.spark.read.schema(schema).parquet(self._path(name))
         except Exception as e:  # a catalogue that was never written is empty
@@ -172,6 +186,9 @@ class Catalogue:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _table(self, name: str) -> DataFrame:
+        return self._stored(name).select(*self.TABLES[name].fieldNames())
+
     @property
     def designs(self) -> DataFrame:
         return self._table("designs")
@@ -194,62 +211,59 @@ class Catalogue:
         """Replace designs by name; a design that moved to another source leaves its old one."""
         designs = materialize(designs, "incoming_designs")
         files = materialize(files, "incoming_files")
-        names = designs.select("design_name")
-        for name, incoming in (("designs", designs), ("files", files)):
-            current = self._table(name)
-            touched = (
-                current.join(names, "design_name", "left_semi").select("dataset_name")
-                .unionByName(incoming.select("dataset_name")).distinct()
-            )
-            # one row per source: the partition list of this table
-            sources = [r[0] for r in touched.collect()]
-            kept = current.filter(F.col("dataset_name").isin(sources)).join(names, "design_name", "left_anti")
-            self._replace_partitions(kept.unionByName(incoming), name, sources)
+        self._change(designs.select("design_name"), {"designs": designs, "files": files})
 
     def delete(self, names: list[str]) -> None:
         delete(self.designs, names)  # raises on unknown names
-        self._drop(F.col("design_name").isin(names))
+        self.delete_by_table(self.spark.createDataFrame([(n,) for n in names], "design_name string"))
 
     def delete_by_table(self, names: DataFrame) -> None:
         """Same for a table of names of any size; unknown names are no error (``unknown_names`` lists them)."""
-        names = materialize(names.select("design_name").distinct(), "names")
-        for name in self.TABLES:
-            current = self._table(name)
-            touched = current.join(names, "design_name", "left_semi").select("dataset_name").distinct()
-            sources = [r[0] for r in touched.collect()]  # one row per source
-            kept = current.filter(F.col("dataset_name").isin(sources)).join(names, "design_name", "left_anti")
-            self._replace_partitions(kept, name, sources)
+        self._change(names.select("design_name"), {})
 
     def delete_all(self) -> None:
         for name, schema in self.TABLES.items():
             self._write(self.spark.createDataFrame([], schema), name, "overwrite")
 
     def remove_dataset(self, dataset: str) -> None:
-        self._drop(F.col("dataset_name") == dataset)
-
-    def _drop(self, condition) -> None:
+        """Drops the folders of a source; nothing is rewritten."""
+        for name in self.TABLES:
+            self._remove(f"{self._path(name)}/dataset_name={dataset}")
+
+    def _change(self, names: DataFrame, incoming: dict[str, DataFrame]) -> None:
+        """Takes the named designs out of both tables and puts ``incoming`` rows in."""
+        names = materialize(names.distinct(), "names")
+        every = reduce(DataFrame.unionByName, [df.select("design_name") for df in (names, *incoming.values())])
+        buckets = [r[0] for r in every.select(_bucket()).distinct().collect()]  # at most BUCKETS numbers
+        changes = {}
         for name in self.TABLES:
-            current = self._table(name)
-            sources = [r[0] for r in current.filter(condition).select("dataset_name").distinct().collect()]
-            kept = current.filter(F.col("dataset_name").isin(sources) & ~condition)
-            self._replace_partitions(kept, name, sources)
-
-    def _replace_partitions(self, rows: DataFrame, name: str, sources: list[str]) -> None:
-        staged = materialize(rows, f"staged_{name}")
-        left = {r[0] for r in staged.select("dataset_name").distinct().collect()}
-        self._write(staged, name, "overwrite", dynamic=True)
-        for s in set(sources) - left:
-            self._remove_partition(name, s)
-
-    def _remove_partition(self, name: str, source: str) -> None:
-        """Drop the folder of a source that has no rows left."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self._path(name)}/dataset_name={source}")
+            current = self._stored(name).where(F.col("bucket").isin(buckets))
+            parts = current.join(names, "design_name", "left_semi").select("dataset_name", "bucket")
+            new = incoming.get(name)
+            if new is not None:
+                parts = parts.unionByName(new.select("dataset_name", _bucket()))
+            touched = {tuple(r) for r in parts.distinct().collect()}  # at most sources times BUCKETS
+            if touched:
+                of = {s: [b for t, b in touched if t == s] for s in {t for t, _ in touched}}
+                here = reduce(Column.__or__, [(F.col("dataset_name") == s) & F.col("bucket").isin(bs) for s, bs in of.items()])
+                rows = current.where(here).join(names, "design_name", "left_anti").select(*self.TABLES[name].fieldNames())
+                if new is not None:
+                    rows = rows.unionByName(new.select(*rows.columns))
+                changes[name] = (materialize(rows, f"staged_{name}"), touched)
+        for name, (rows, touched) in changes.items():
+            left = {tuple(r) for r in rows.select("dataset_name", _bucket()).distinct().collect()}
+            self._write(rows, name, "overwrite", dynamic=True)
+            for source, bucket in touched - left:
+                self._remove(f"{self._path(name)}/dataset_name={source}/bucket={bucket}")
+
+    def _remove(self, folder: str) -> None:
+        """Drop the folder of a part that has no rows left."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def _write(self, df: DataFrame, name: str, mode: str, *, dynamic: bool = False) -> None:
-        # rows spread over several tasks per source: one hot source is not one writer
-        writer = df.write.mode(mode).partitionBy("dataset_name")
+        # rows of a part meet in one task; parts larger than the advisory partition size are split over several
+        writer = df.withColumn("bucket", _bucket()).hint("rebalance", "dataset_name", "bucket").write.mode(mode).partitionBy("dataset_name", "bucket")
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self._path(name))

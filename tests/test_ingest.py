@@ -70,6 +70,26 @@ def test_catalogue_life_cycle(spark, tmp_path):
     assert state() == {}
 
 
+def test_upsert_rewrites_only_touched_parts(spark, tmp_path):
+    cat = catalog.Catalogue(spark, f"file://{tmp_path}/cat")
+    n = 2000
+    designs = spark.range(n).select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("design_name"), F.lit("one").alias("dataset_name"), F.array(F.lit("t")).alias("dataset_tags"))
+    files = designs.select("dataset_name", "design_name", F.lit("f.v").alias("file_name"), F.lit("verilog").alias("role"), F.lit("old").alias("text"))
+    cat.create(designs, files)
+    stored = lambda t: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "cat" / t).rglob("*.parquet")}
+    before = {t: stored(t) for t in ("designs", "files")}
+    assert len(before["files"]) >= catalog.BUCKETS
+    cat.upsert(designs.where("design_name = 'd7'"), files.where("design_name = 'd7'").withColumn("text", F.lit("new")))
+    for t in before:
+        after = stored(t)
+        assert len(before[t].keys() - after.keys()) == 1 == len(after.keys() - before[t].keys())
+        assert all(after[p] == v for p, v in before[t].items() if p in after)
+    assert {r.text: r["count"] for r in cat.files.groupBy("text").count().collect()} == {"old": n - 1, "new": 1}
+    # files of a design that is not listed are added to its part
+    cat.upsert(designs.where("false"), files.where("design_name = 'd9'").withColumn("file_name", F.lit("g.v")))
+    assert cat.files.count() == n + 1 and cat.designs.count() == n
+
+
 def zip_bytes(members):
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
