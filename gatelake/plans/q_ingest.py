@@ -282,7 +282,7 @@ def scan_design_tree(src):
     ("hdl_files",))
 def stored_catalogue(src):
     """Upsert all designs, upsert some again with one file each, delete by a table, remove one source."""
-    store = catalog.Catalogue(src.spark, f"{shared_dir(src.spark)}/gatelake/store-{uuid.uuid4().hex}")
+    store = catalog.Catalogue(src.spark, f"{shared_dir(src.spark)}/gatelake/store-{uuid.uuid4().hex}", buckets=8)
     files = src("hdl_files")
     designs = src("hdl_designs").withColumn("dataset_tags", F.array(F.lit("x")))
     store.upsert(designs, files)

@@ -155,27 +155,27 @@ def remove_dataset(designs: DataFrame, dataset: str) -> DataFrame:
 BUCKETS = 64
 
 
-def _bucket() -> Column:
-    """Part of a source that a design belongs to."""
-    return F.pmod(F.xxhash64("design_name"), F.lit(BUCKETS)).cast("int").alias("bucket")
-
-
 class Catalogue:
     """``designs`` and ``files`` stored as Parquet, partitioned by ``dataset_name`` and by a hash of the design's name.
 
     Changes read and rewrite only the parts of sources that hold a design they
     touch. The new rows of both tables are written aside first; then both are
-    switched, one after the other.
+    switched, one after the other. ``buckets`` parts a source has; the number is
+    the same whenever a catalogue is opened.
     """
 
     TABLES = {"designs": schemas.DESIGNS, "files": schemas.FILES}
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, *, buckets: int = BUCKETS) -> None:
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _bucket(self) -> Column:
+        """Part of a source that a design belongs to."""
+        return F.pmod(F.xxhash64("design_name"), F.lit(self.buckets)).cast("int").alias("bucket")
+
     def _stored(self, name: str) -> DataFrame:
         """A table with its ``bucket``, which filters on it prune folders by."""
         schema = T.StructType([*self.TABLES[name].fields, T.StructField("bucket", T.IntegerType())])
@@ -234,15 +234,15 @@ class Catalogue:
         """Takes the named designs out of both tables and puts ``incoming`` rows in."""
         names = materialize(names.distinct(), "names")
         every = reduce(DataFrame.unionByName, [df.select("design_name") for df in (names, *incoming.values())])
-        buckets = [r[0] for r in every.select(_bucket()).distinct().collect()]  # at most BUCKETS numbers
+        buckets = [r[0] for r in every.select(self._bucket()).distinct().collect()]  # as many numbers as buckets
         changes = {}
         for name in self.TABLES:
             current = self._stored(name).where(F.col("bucket").isin(buckets))
             parts = current.join(names, "design_name", "left_semi").select("dataset_name", "bucket")
             new = incoming.get(name)
             if new is not None:
-                parts = parts.unionByName(new.select("dataset_name", _bucket()))
-            touched = {tuple(r) for r in parts.distinct().collect()}  # at most sources times BUCKETS
+                parts = parts.unionByName(new.select("dataset_name", self._bucket()))
+            touched = {tuple(r) for r in parts.distinct().collect()}  # at most sources times buckets
             if touched:
                 of = {s: [b for t, b in touched if t == s] for s in {t for t, _ in touched}}
                 here = reduce(Column.__or__, [(F.col("dataset_name") == s) & F.col("bucket").isin(bs) for s, bs in of.items()])
@@ -251,7 +251,7 @@ class Catalogue:
                     rows = rows.unionByName(new.select(*rows.columns))
                 changes[name] = (materialize(rows, f"staged_{name}"), touched)
         for name, (rows, touched) in changes.items():
-            left = {tuple(r) for r in rows.select("dataset_name", _bucket()).distinct().collect()}
+            left = {tuple(r) for r in rows.select("dataset_name", self._bucket()).distinct().collect()}
             self._write(rows, name, "overwrite", dynamic=True)
             for source, bucket in touched - left:
                 self._remove(f"{self._path(name)}/dataset_name={source}/bucket={bucket}")
@@ -263,7 +263,7 @@ class Catalogue:
 
     def _write(self, df: DataFrame, name: str, mode: str, *, dynamic: bool = False) -> None:
         # rows of a part meet in one task; parts larger than the advisory partition size are split over several
-        writer = df.withColumn("bucket", _bucket()).hint("rebalance", "dataset_name", "bucket").write.mode(mode).partitionBy("dataset_name", "bucket")
+        writer = df.withColumn("bucket", self._bucket()).hint("rebalance", "dataset_name", "bucket").write.mode(mode).partitionBy("dataset_name", "bucket")
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self._path(name))
