@@ -37,9 +37,12 @@ r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 3
   (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM g) x WHERE c > 1) y GROUP BY rid),
 f AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars, {n("[#*$%&|<>]")} AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
-  {n("[A-Z]")} AS n_upper, {n("[.!?]")} AS n_ends, CAST(len(list_filter(w, lambda x: x IN ({stop}))) AS BIGINT) AS n_stop FROM d LEFT JOIN r USING (rid)),
+  {n("[A-Z]")} AS n_upper, {n("[!-/:-@\\[-`{-~]")} AS n_punct,
+  CAST(len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS BIGINT) AS n_marked,
+  CAST(len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS BIGINT) AS n_lettered,
+  {n("[.!?]")} AS n_ends, CAST(len(list_filter(w, lambda x: x IN ({stop}))) AS BIGINT) AS n_stop FROM d LEFT JOIN r USING (rid)),
 v AS MATERIALIZED (SELECT *, {", ".join(f"{rules.vote(x)} AS v_{x}" for x in rules.RULES)} FROM f),
-pat AS MATERIALIZED (SELECT {", ".join(f"v_{x}" for x in rules.RULES)}, CAST(count(*) AS DOUBLE) AS c FROM v GROUP BY ALL),
+pat AS MATERIALIZED (SELECT {", ".join(f"v_{x}" for x in rules.RULES)}, CAST(count(*) AS DOUBLE) AS c FROM v WHERE NOT ({rules.BASE}) GROUP BY ALL),
 p0 AS (SELECT {", ".join(f"CAST({rules.START} AS DOUBLE) AS {k}" for k in rules.updates())})"""
     good, bad = {x: f"g_{x}" for x in rules.RULES}, {x: f"b_{x}" for x in rules.RULES}
     q = rules.posterior("prior", good, bad)
@@ -48,7 +51,7 @@ p0 AS (SELECT {", ".join(f"CAST({rules.START} AS DOUBLE) AS {k}" for k in rules.
         sql += f",\np{i + 1} AS MATERIALIZED (SELECT {new} FROM (SELECT *, {q} AS q FROM pat, p{i}) x)"
     return sql + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND q >= {rules.KEEP} AS kept, round(q, 4) AS posterior
-FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {q} AS q FROM v, p{rules.STEPS}) x
+FROM (SELECT *, {rules.BASE} AS base_failed, {q} AS q FROM v, p{rules.STEPS}) x
 """
 
 

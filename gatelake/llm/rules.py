@@ -5,6 +5,8 @@ with the same votes are interchangeable, so expectation-maximisation runs on the
 table of vote patterns and their counts: at most 3 to the power of the number of
 rules, however many documents there are. Its parameters are the share of good
 documents and, per rule, how often a vote is right on good and on bad documents.
+Only documents that pass the base rules teach it: else short and repeated texts,
+which the base drops anyway, would be all it learns of bad ones.
 """
 
 from __future__ import annotations
@@ -38,15 +40,18 @@ STOP_WORDS = (
 
 # name -> (condition of a good vote, condition of a bad vote), over the counts below
 RULES = {
-    "length": ("n_words >= 50 AND n_words <= 100000", "n_words < 50"),
     "word_length": ("word_chars >= 3 * n_words AND word_chars <= 10 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
     "symbols": ("100 * n_symbols <= 2 * n_words", "100 * n_symbols > 10 * n_words"),
+    "marked_words": ("100 * n_marked <= 5 * n_words", "100 * n_marked > 20 * n_words"),
+    "letter_words": ("100 * n_lettered >= 90 * n_words", "100 * n_lettered < 80 * n_words"),
+    "punctuation": ("100 * n_punct <= 6 * word_chars", "100 * n_punct > 12 * word_chars"),
     "lines": ("n_dup_lines = 0", "100 * n_dup_lines > 30 * n_lines"),
     "repeats": ("100 * n_repeat_words <= 10 * n_words", "100 * n_repeat_words > 30 * n_words"),
     "case": ("100 * n_upper <= 15 * word_chars", "100 * n_upper > 40 * word_chars"),
     "stop_words": ("100 * n_stop >= 5 * n_words", "100 * n_stop < n_words"),
     "sentences": ("50 * n_ends >= n_words AND 2 * n_ends <= n_words", "200 * n_ends < n_words OR 10 * n_ends > 9 * n_words"),
 }
+BASE = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -66,6 +71,10 @@ def counts(docs: DataFrame) -> DataFrame:
         "n_upper": gone("[A-Z]"),
         "n_ends": gone("[.!?]"),
         "n_stop": F.size(stop).cast("bigint"),
+        # words with a symbol, words with a letter (any non-ASCII character is taken for one), ASCII punctuation
+        "n_marked": F.size(F.filter("_w", lambda w: w.rlike(r"[#*$%&|<>]"))).cast("bigint"),
+        "n_lettered": F.size(F.filter("_w", lambda w: w.rlike(r"[A-Za-z]|[^\x00-\x7F]"))).cast("bigint"),
+        "n_punct": gone(r"[!-/:-@\[-`{-~]"),
     }).drop("_w", "_lines")
 
 
@@ -162,12 +171,12 @@ def _with(now: dict[str, float]) -> str:
 def judge(docs: DataFrame, keep: float = KEEP) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, the counts, ``base_failed``, ``posterior`` and ``kept``.
 
-    Null and empty texts have no words and fail the base rules. Repeated rows are
-    judged one by one and count as often as they occur. Other columns are ignored;
+    The model is fitted on the rows that pass the base rules and gives all rows their
+    posterior. Null and empty texts have no words and fail the base rules. Repeated rows
+    are judged one by one and count as often as they occur. Other columns are ignored;
     an empty table gives no rows.
     """
     base = counts(docs.select("doc_id", "text")).drop("text")
-    failed = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
-    rows = materialize(base.withColumns({f"v_{r}": F.expr(vote(r)) for r in RULES} | {"base_failed": F.expr(failed)}), "votes")
-    good = F.expr(_with(fit(rows)))
+    rows = materialize(base.withColumns({f"v_{r}": F.expr(vote(r)) for r in RULES} | {"base_failed": F.expr(BASE)}), "votes")
+    good = F.expr(_with(fit(rows.where("NOT base_failed"))))
     return rows.withColumns({"posterior": good, "kept": ~F.col("base_failed") & (good >= keep)})

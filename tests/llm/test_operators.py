@@ -69,6 +69,21 @@ def test_rules_do_not_depend_on_the_size_of_the_table(spark, size, shares):
     assert got[0] > 0.99 and got[1] < 0.1
 
 
+def test_rules_drop_labelled_junk_that_passes_the_base(spark):
+    sf = SF.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    judged = rules.judge(spark.read.parquet(f"{sf}/documents.parquet")).where("NOT base_failed").join(labels, "doc_id")
+    share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] >= 0.98 and share[0] <= 0.4
+
+
+def test_rules_learn_only_from_rows_that_pass_the_base(spark):
+    rows = [(i, "The " + prose(120, i) + ".\nof the " + prose(80, i + 500) + ".") for i in range(40)] + [(100 + i, f"{w}%%% | {w}") for i, w in enumerate(prose(40, 9).split())]
+    judged = rules.judge(frame(spark, rows))
+    assert rules.fit(judged.select(*[F.expr(rules.vote(r)).alias(f"v_{r}") for r in rules.RULES], "base_failed").where("NOT base_failed"))["prior"] > 0.98
+    assert judged.where("kept").count() == 40 and judged.where("base_failed").count() == 40
+
+
 # --- language model ---------------------------------------------------------------------
 
 
