@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatelake.llm.common import free_names
 from gatelake.session import materialize
 
 LABELLED_ROWS = 12_000
@@ -252,7 +253,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``p_text``, ``p_meta``, ``score`` (probability of good) and ``keep``.
 
     A null text is scored as an empty one, null metadata as values of their own;
-    an empty table gives no rows. Columns of ``docs`` with those names are replaced.
+    an empty table gives no rows. Repeated rows score alike and texts are read whole.
+    Columns of ``docs`` with those names are replaced, others may have any names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ("p_text", "p_meta", "score", "keep")
@@ -275,7 +277,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *scores], names=[*kept, *names])
 
     schema = T.StructType([*docs.select(*kept).schema, *(T.StructField(n, T.DoubleType()) for n in names[:3]), T.StructField("keep", T.BooleanType())])
+    text, source, lang, n = free_names(docs, "_text", "_source", "_lang", "_n")
     return docs.select(
-        *kept, F.col("text").alias("_text"), F.col("source").alias("_source"), F.col("lang").alias("_lang"),
-        F.col("n_chars").cast("double").alias("_n"),
+        *kept, F.col("text").alias(text), F.col("source").alias(source), F.col("lang").alias(lang),
+        F.col("n_chars").cast("double").alias(n),
     ).mapInArrow(apply, schema)

@@ -39,4 +39,14 @@ def bind(value: Column, body) -> Column:
 
 def content_key(*cols: Column) -> list[Column]:
     """128 bits over the given columns: equal rows share a key, nulls included."""
-    return [F.xxhash64(*cols).alias("_k1"), F.xxhash64(F.lit(1), *reversed(cols)).alias("_k2")]
+    return [F.xxhash64(*cols), F.xxhash64(F.lit(1), *reversed(cols))]
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` for helper columns, lengthened where ``df`` has a column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

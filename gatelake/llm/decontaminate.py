@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelake.llm.common import alnum_words, bind, content_key
+from gatelake.llm.common import alnum_words, bind, content_key, free_names
 from gatelake.session import materialize
 
 WINDOW = 13
@@ -43,11 +43,9 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     )
 
 
-def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+def _scan(numbered: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
     """One row per document (``pos`` 0) and one per verified window occurrence."""
-    base = docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), F.col("text")
-    ).select("rid", "doc_id", alnum_words(F.col("text")).alias("w"))
+    base = numbered.select("rid", "doc_id", alnum_words(F.col("text")).alias("w"))
     marks = F.array(F.lit(None).cast("bigint"))
     hashed = base.select(
         "rid", "doc_id", "w", F.size("w").alias("n_words"),
@@ -80,10 +78,13 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_window
     lengths = sorted(r["k"] for r in size) or [n]
     blocks = max(1, -(-sum(r["count"] for r in size) // max_windows))
     keyed = distinct.select("h", F.col("k").alias("window_k"), "window", F.sha2("window", 256).alias("wid"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    if blocks > 1:  # every block's scan must see the same numbers
+        numbered = materialize(numbered, "numbered")
     scans = []
     for b in range(blocks):
         part = keyed.where(F.pmod(F.xxhash64("wid"), F.lit(blocks)) == b) if blocks > 1 else keyed
-        scan = _scan(docs, part, lengths)
+        scan = _scan(numbered, part, lengths)
         scans.append(scan if b == 0 else scan.where("pos > 0"))
     hits = scans[0]
     for s in scans[1:]:
@@ -127,19 +128,23 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: in
     """``docs`` without what the benchmark contaminates; columns as given.
 
     ``documents`` drops contaminated documents; ``spans`` keeps every document and
-    cuts the hit words, with the separator before each, out of its text.
+    cuts the hit words, with the separator before each, out of its text. Null and
+    empty texts stay; repeated rows and rows with a null ``doc_id`` are judged one by
+    one by their texts; other columns may have any names.
     """
-    keyed = docs.withColumns({"_k1": content_key(F.col("doc_id"), F.col("text"))[0], "_k2": content_key(F.col("doc_id"), F.col("text"))[1]})
-    hits = find_hits(keyed.select(F.struct("_k1", "_k2").alias("doc_id"), "text"), benchmark, n)
+    k1, k2, spans = free_names(docs, "_k1", "_k2", "_spans")
+    keyed = docs.withColumns(dict(zip((k1, k2), content_key(F.col("doc_id"), F.col("text")))))
+    hits = find_hits(keyed.select(F.struct(F.col(k1).alias("a"), F.col(k2).alias("b")).alias("doc_id"), "text"), benchmark, n)
+    key = [F.col("doc_id.a").alias(k1), F.col("doc_id.b").alias(k2)]
     if mode == "documents":
-        bad = hits.where("contaminated").select("doc_id._k1", "doc_id._k2").distinct()
-        return keyed.join(bad, ["_k1", "_k2"], "left_anti").select(*docs.columns)
+        bad = hits.where("contaminated").select(*key).distinct()
+        return keyed.join(bad, [k1, k2], "left_anti").select(*docs.columns)
     if mode != "spans":
         raise ValueError(f"mode {mode!r}")
-    cut = hits.where("n_hit > 0").select("doc_id._k1", "doc_id._k2", F.col("spans").alias("_spans")).distinct()
+    cut = hits.where("n_hit > 0").select(*key, F.col("spans").alias(spans)).distinct()
     word = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all(F.col("text"), F.lit(word), F.lit(0))
-    kept = F.filter(pieces, lambda p, i: ~F.exists(F.col("_spans"), lambda r: (i >= r["s"]) & (i < r["e"])))
+    kept = F.filter(pieces, lambda p, i: ~F.exists(F.col(spans), lambda r: (i >= r["s"]) & (i < r["e"])))
     tail = F.regexp_extract("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*\z", 0)
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return keyed.join(cut, ["_k1", "_k2"], "left").withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), tail))
+    return keyed.join(cut, [k1, k2], "left").withColumn("text", text).select(*docs.columns)

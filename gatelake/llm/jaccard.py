@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatelake.llm.common import content_key, free_names
 from gatelake.llm.graph import components
 from gatelake.session import materialize
 
@@ -75,28 +76,36 @@ def _rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple]:
             yield part.column(0).to_pylist(), [shingles(x, n) for x in part.column(1).to_pylist()]
 
 
+def _with_keys(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple]:
+    for b in batches:
+        for at in range(0, b.num_rows, 256):
+            part = b.slice(at, 256)
+            yield next(_rows(iter([part]), n)), (part.column(2), part.column(3))
+
+
 def _first_pass(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """A row per document with its node, and per partition the counters it filled."""
-    names = ["doc_id", "n", "node", "same", "bins", "block", "counts"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary()]
+    """A row per document with its node and content key, and per partition the counters it filled."""
+    names = ["doc_id", "k1", "k2", "n", "node", "same", "bins", "block", "counts"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary()]
 
     def run(batches):
         counts, any_row = np.zeros(COUNTERS, np.uint32), False
-        for ids, sets in _rows(batches, n):
+        for (ids, sets), (k1, k2) in _with_keys(batches, n):
             any_row = True
             flat = np.concatenate(sets) & np.uint64(COUNTERS - 1)
             np.add.at(counts, flat.astype(np.int64), 1)
-            cols = [ids, [len(s) for s in sets], [_node(s, seed) for s in sets], [_check(s) for s in sets], [_bins(s) for s in sets]]
+            cols = [ids, k1, k2, [len(s) for s in sets], [_node(s, seed) for s in sets], [_check(s) for s in sets], [_bins(s) for s in sets]]
             none = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*cols, none, none], types)], names=names)
         for i in range(COUNTERS // BLOCK if any_row else 0):
             piece = counts[i * BLOCK : (i + 1) * BLOCK]
             if piece.any():
-                row = [None] * 5 + [i, zlib.compress(piece.tobytes(), 1)]
+                row = [None] * 7 + [i, zlib.compress(piece.tobytes(), 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n int, node bigint, same bigint, bins array<int>, block int, counts binary"
+    k1, k2 = content_key(F.col("doc_id"), F.col("text"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", k1.alias("k1"), k2.alias("k2")).mapInArrow(
+        run, "doc_id bigint, k1 bigint, k2 bigint, n int, node bigint, same bigint, bins array<int>, block int, counts binary"
     )
 
 
@@ -205,16 +214,8 @@ def _nodes(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
-def join_components(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id, node_id, n_links``.
-
-    ``component_id`` is the smallest ``doc_id`` reachable over links, ``node_id`` the
-    smallest with the same set, ``n_links`` the verified links that hold the node's
-    component together at it (a spanning set, not all pairs). Null or empty texts have
-    no shingles and link with nothing. A row with a null ``doc_id`` gets a null
-    component and links nothing; rows that repeat an id each get a row. Other columns
-    are ignored; an empty table gives no rows.
-    """
+def _members(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """The first pass and, per node, its component: ``node, node_id, root, component_id, n_links``."""
     first, nodes, seed = _nodes(docs, n)
     named = docs.where("doc_id is not null")
     prefix = materialize(_prefixes(named, _frequencies(first), n, threshold, seed), "prefix")
@@ -239,7 +240,21 @@ def join_components(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     of_node = nodes.select("node", "min_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of_node.groupBy("root").agg(F.min("min_id").alias("component_id"))
-    of_node = materialize(of_node.join(least, "root").join(degree, "node", "left").select("node", F.col("min_id").alias("node_id"), "component_id", "n_links"), "members")
+    of_node = of_node.join(least, "root").join(degree, "node", "left")
+    return first, materialize(of_node.select("node", F.col("min_id").alias("node_id"), "root", "component_id", "n_links"), "members")
+
+
+def join_components(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id, node_id, n_links``.
+
+    ``component_id`` is the smallest ``doc_id`` reachable over links, ``node_id`` the
+    smallest with the same set, ``n_links`` the verified links that hold the node's
+    component together at it (a spanning set, not all pairs). Null or empty texts have
+    no shingles and link with nothing. A row with a null ``doc_id`` gets a null
+    component and links nothing; rows that repeat an id each get a row. Other columns
+    are ignored; an empty table gives no rows.
+    """
+    first, of_node = _members(docs, n, threshold)
     rows = first.where("block is null").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     out = rows.join(of_node, "node", "left")
     return out.select(
@@ -249,8 +264,18 @@ def join_components(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
 
 
 def keep_one(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest id; null ids all stay."""
-    found = join_components(docs, n, threshold)
-    chosen = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component, of the smallest id; columns as given, whatever their names.
+
+    Rows are told apart by id and text: rows that share an id but no similar text each
+    stand for themselves. Of rows equal in both one stays. Rows without words stay, as
+    do all rows with a null id. An empty table gives no rows.
+    """
+    first, of_node = _members(docs, n, threshold)
+    k1, k2 = free_names(docs, "_k1", "_k2")
+    rows = first.where("block is null and doc_id is not null")
+    alone = rows.where("n = 0").select("k1", "k2")
+    least = rows.where("n > 0").join(of_node.select("node", "root"), "node").groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("m"))
+    chosen = least.select("m.k1", "m.k2").unionByName(alone).select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct()
+    keyed = docs.where("doc_id is not null").withColumns(dict(zip((k1, k2), content_key(F.col("doc_id"), F.col("text")))))
+    named = keyed.join(chosen, [k1, k2], "left_semi").dropDuplicates([k1, k2])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))

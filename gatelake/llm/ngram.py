@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatelake.llm.common import free_names
 from gatelake.session import shared_dir
 
 ORDER = 2
@@ -349,7 +350,9 @@ _OPEN: dict[str, Arrays] = {}
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``n_tokens, n_known, base_score, score`` and ``perplexity``; columns of those names are replaced.
 
-    A null text is an empty one, of one token. Scores are log10 probabilities.
+    A null text is an empty one, of one token. Scores are log10 probabilities. Repeated
+    rows score alike, texts are scored whole whatever their length, an empty table gives
+    no rows, and other columns may have any names.
     """
     names = ("n_tokens", "n_known", "base_score", "score", "perplexity")
     kept = [c for c in docs.columns if c not in names]
@@ -377,7 +380,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     kinds = (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType())
     schema = T.StructType([*docs.select(*kept).schema, *(T.StructField(n, k) for n, k in zip(names, kinds))])
-    return docs.select(*kept, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col("text").alias(*free_names(docs, "_text"))).mapInArrow(run, schema)
 
 
 def judge(docs: DataFrame, order: int = ORDER, held: int = HELD) -> DataFrame:

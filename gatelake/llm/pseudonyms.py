@@ -6,12 +6,16 @@ network works on lists of small numbers with a modulus each (digits, letters,
 octets, parts of a day number): halves are added to in turn, by hash values of
 the other half, element by element modulo its base.
 
-* ``card``: 13 to 19 digits; all but the last are permuted, the last keeps its
-  distance from the Luhn digit, so valid numbers stay valid;
+A value is replaced only if it is valid for its kind, and by a valid one:
+
+* ``card``: 13 to 19 digits that end in their Luhn digit; all but the last are
+  permuted, the last is the new Luhn digit;
 * ``date``: valid dates (``2001-02-03``, ``03.02.2001``, ``02/03/2001``) of the
   400 years from 1800, 146,097 days = 189 x 773, map to valid dates;
-* ``ip``: four octets up to 255;  ``phone`` and ``id`` (``123-45-6789``): digits,
-  the country code stays;  ``email``: letters and digits of the local part.
+* ``ip``: four octets up to 255;  ``id`` (``123-45-6789``): area 001 to 899 but 666,
+  group and serial not zero;  ``phone``: ten digits with a country code or brackets, else
+  only if area and exchange start with 2 to 9, which they then keep to; the country
+  code stays;  ``email``: letters and digits of the local part.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelake.llm.common import bind
+from gatelake.llm.common import bind, free_names
 
 ROUNDS = 8
 KINDS = {
@@ -69,13 +73,20 @@ def permute_text(s: Column, key: str, tweak: str) -> Column:
     def zero_of(c: Column) -> Column:
         return F.when(c.rlike("^[0-9]$"), 48).when(c.rlike("^[a-z]$"), 97).when(c.rlike("^[A-Z]$"), 65).otherwise(0)
 
+    def one(chars: Column) -> Column:
+        """A single character is two digits of its number, so that the network has two halves."""
+        c = F.get(chars, 0)
+        n, part = (F.ascii(c) - zero_of(c)).cast("int"), F.floor(base_of(c) / 2).cast("int")
+        pair = permute(F.array(F.floor(n / part).cast("int"), n % part), F.array(F.lit(2), part), key, tweak)
+        return F.when(zero_of(c) > 0, bind(pair, lambda m: F.chr((F.get(m, 0) * part + F.get(m, 1) + zero_of(c)).cast("bigint")))).otherwise(c)
+
     def run(chars: Column) -> Column:
         values = F.transform(chars, lambda c: F.when(zero_of(c) > 0, F.ascii(c) - zero_of(c)).otherwise(0).cast("int"))
         bases = F.transform(chars, lambda c: base_of(c).cast("int"))
         back = lambda c, v: F.when(zero_of(c) > 0, F.chr((v + zero_of(c)).cast("bigint"))).otherwise(c)
         return F.array_join(F.zip_with(chars, permute(values, bases, key, tweak), back), "")
 
-    return bind(_chars(s), run)
+    return bind(_chars(s), lambda chars: F.when(F.size(chars) == 1, one(chars)).otherwise(run(chars)))
 
 
 def _digits(s: Column) -> Column:
@@ -101,27 +112,59 @@ def luhn_digit(digits: Column) -> Column:
     return F.pmod(-F.aggregate(doubled, F.lit(0), lambda a, d: a + d), F.lit(10))
 
 
+def _luhn_valid(d: Column) -> Column:
+    return F.element_at(d, -1) == luhn_digit(F.slice(d, 1, F.size(d) - 1))
+
+
 def _card(s: Column, key: str) -> Column:
     def run(d: Column) -> Column:
         body = F.slice(d, 1, F.size(d) - 1)
-        off = bind(body, lambda b: F.pmod(F.element_at(d, -1) - luhn_digit(b), F.lit(10)))
         moved = permute(body, F.transform(body, lambda _: F.lit(10)), key, "card")
-        last = lambda m: F.array(F.pmod(luhn_digit(m) + off, F.lit(10)).cast("int"))
+        last = lambda m: F.array(luhn_digit(m).cast("int"))
         return _filled(s, bind(moved, lambda m: F.concat(m, last(m))))
 
     return bind(_digits(s), run)
 
 
+def _leads(i: Column) -> Column:
+    """Places of ten digits where area and exchange start."""
+    return (i == 0) | (i == 3)
+
+
+def _phone_valid(s: Column) -> Column:
+    return s.rlike(r"^(\+1|\()") | s.rlike(r"^[2-9]\d\d.[2-9]")
+
+
 def _phone(s: Column, key: str) -> Column:
-    """The last ten digits are permuted."""
+    """The last ten digits are permuted; the first of area and exchange stays in 2 to 9, or in 0 and 1."""
+
+    def moved(tail: Column) -> Column:
+        least = lambda i: F.when(_leads(i) & (F.get(tail, i) >= 2), 2).otherwise(0)
+        bases = F.transform(tail, lambda x, i: F.when(~_leads(i), 10).when(x >= 2, 8).otherwise(2))
+        values = F.transform(tail, lambda x, i: x - least(i))
+        return bind(permute(values, bases, key, "phone"), lambda m: F.transform(m, lambda x, i: x + least(i)))
 
     def run(d: Column) -> Column:
-        tail = F.slice(d, F.size(d) - 9, 10)
-        return _filled(s, F.concat(F.slice(d, 1, F.size(d) - 10), permute(tail, F.transform(tail, lambda _: F.lit(10)), key, "phone")))
+        return _filled(s, F.concat(F.slice(d, 1, F.size(d) - 10), bind(F.slice(d, F.size(d) - 9, 10), moved)))
 
     return bind(_digits(s), run)
 
 
+def _id_parts(s: Column) -> Column:
+    """Area, group and serial of ``123-45-6789`` numbered from 0 among the valid ones; null if one is not valid."""
+    area, group, serial = (x.try_cast("int") for x in (F.substring(s, 1, 3), F.substring(s, 5, 2), F.substring(s, 8, 4)))
+    valid = (area >= 1) & (area <= 899) & (area != 666) & (group >= 1) & (serial >= 1)
+    return F.when(valid, F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1))
+
+
+def _id(s: Column, key: str) -> Column:
+    def written(m: Column) -> Column:
+        area = F.get(m, 0) + F.when(F.get(m, 0) >= 665, 2).otherwise(1)
+        return F.format_string("%03d-%02d-%04d", area, F.get(m, 1) + 1, F.get(m, 2) + 1)
+
+    return bind(permute(_id_parts(s), F.array(F.lit(898), F.lit(99), F.lit(9999)), key, "id"), written)
+
+
 def _octets(s: Column) -> Column:
     return F.transform(F.split(s, "\\."), lambda o: o.cast("int"))
 
@@ -178,35 +221,37 @@ def kind_of(s: Column) -> Column:
     """Kind of a matched value; null for one that fails its validation (it stays as it is)."""
     is_date = s.rlike(f"^(?:{KINDS['date']})$")
     is_ip = s.rlike(f"^(?:{KINDS['ip']})$")
-    kind = F.when(F.contains(s, F.lit("@")), "email").when(s.rlike(f"^(?:{KINDS['phone']})$"), "phone")
+    kind = F.when(F.contains(s, F.lit("@")), "email").when(s.rlike(f"^(?:{KINDS['phone']})$"), F.when(_phone_valid(s), "phone"))
     kind = kind.when(is_date, F.when(_date_parts(s).isNotNull(), "date"))
-    return kind.when(is_ip, F.when(F.forall(_octets(s), lambda v: v <= 255), "ip")).when(s.rlike(f"^(?:{KINDS['id']})$"), "id").otherwise("card")
+    kind = kind.when(is_ip, F.when(F.forall(_octets(s), lambda v: v <= 255), "ip"))
+    kind = kind.when(s.rlike(f"^(?:{KINDS['id']})$"), F.when(_id_parts(s).isNotNull(), "id"))
+    return kind.otherwise(bind(_digits(s), lambda d: F.when(_luhn_valid(d), "card")))
 
 
 def pseudonym(s: Column, kind: Column, key: str) -> Column:
     """The replacement of a value of a known kind; the value itself where the kind is null."""
-    digits = _digits(s)
-    number = _filled(s, permute(digits, F.transform(digits, lambda _: F.lit(10)), key, "id"))
     out = F.when(kind == "email", _email(s, key)).when(kind == "phone", _phone(s, key)).when(kind == "date", _date(s, key))
-    return F.coalesce(out.when(kind == "ip", _ip(s, key)).when(kind == "id", number).when(kind == "card", _card(s, key)), s)
+    return F.coalesce(out.when(kind == "ip", _ip(s, key)).when(kind == "id", _id(s, key)).when(kind == "card", _card(s, key)), s)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the personal values of ``text`` replaced, and ``n_replaced`` and ``kinds`` (kind of each, in order).
 
     Null texts stay null with no values; everything outside the values is unchanged;
-    repeated rows change alike. Columns named ``n_replaced`` or ``kinds`` are replaced.
+    repeated rows change alike. Columns named ``n_replaced`` or ``kinds`` are replaced,
+    others may have any names. An empty table gives no rows.
     """
+    held = free_names(docs, "_found")[0]
     t = F.col(text)
     found = F.when(t.rlike(ANY), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
-    base = docs.withColumn("_found", found)
+    base = docs.withColumn(held, found)
     gaps = F.split(t, ANY, -1)
-    new = F.transform("_found", lambda s: bind(kind_of(s), lambda k: pseudonym(s, k, key)))
+    new = F.transform(held, lambda s: bind(kind_of(s), lambda k: pseudonym(s, k, key)))
     # gap, value, gap, value, ..., gap
     joined = F.array_join(F.zip_with(gaps, new, lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
-    kinds = F.filter(F.transform("_found", kind_of), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(held, kind_of), lambda k: k.isNotNull())
     out = base.withColumns({
-        "kinds": F.coalesce(F.when(F.col("_found").isNotNull(), kinds), F.array().cast("array<string>")),
-        text: F.when(F.col("_found").isNull(), t).otherwise(joined),
+        "kinds": F.coalesce(F.when(F.col(held).isNotNull(), kinds), F.array().cast("array<string>")),
+        text: F.when(F.col(held).isNull(), t).otherwise(joined),
     })
-    return out.withColumn("n_replaced", F.size("kinds").cast("bigint")).drop("_found")
+    return out.withColumn("n_replaced", F.size("kinds").cast("bigint")).drop(held)
