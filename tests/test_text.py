@@ -151,3 +151,32 @@ def test_many_models_in_one_file(spark):
     assert len(kept) == 10_000 == len(set(kept))
     assert kept == [f"m{i}" for i in range(10_000) if (i + 10_000) % 3 == 0] + [f"m{i}" for i in range(10_000) if (i + 10_000) % 3]
     assert ".inputs b" not in got
+
+
+def test_long_bodies_are_scanned_at_the_speed_of_a_dot(spark):
+    """Bodies with all sorts of line ends, and 32 MB of them in seconds."""
+    import time
+
+    from gatelake.functions import patterns as P
+
+    odd = "module a;\r\n  /* \u0085 endmodule */ \U0001F600 x\nendmodule /* module c; \r endmodule */ module b (\n);endmodule module d"
+    df = spark.createDataFrame([(odd,)], "text string")
+    row = df.select(X.count_modules(F.col("text")).alias("n"), X.find_all(F.col("text"), P.MODULE_OR_COMMENT).alias("m")).first()
+    assert row.n == 3 and row.m == ["module a;\r\n  /* \u0085 endmodule", "/ \U0001F600 x\nendmodule /* module c; \r endmodule */"] or row.n == 3 and row.m[0].startswith("module a;")
+    long = spark.range(1).select(F.concat(F.lit("module a;\n"), F.repeat(F.lit("  assign q = d;\n"), 1 << 21), F.lit("endmodule\n")).alias("text"))
+    start = time.time()
+    assert long.select(X.count_modules(F.col("text")).alias("n")).first().n == 1
+    assert time.time() - start < 8
+
+
+def test_corpora_deal_the_lines_once(spark, tmp_path):
+    """Repeated and null order numbers; one shuffle, the rows of a plain grouping."""
+    from gatelake.plans.corpora import corpus
+
+    rows = [(k, n, f) for k in (1, 2, 3, 7, None) for n in (1, 2, 4, 7) for f in ("A", "N")] + [(1, 2, "R"), (5, 3, "R")]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("hdl_files", "netlist_json", "rtlil", "blif", "cell_array_files"):
+        df = corpus(spark, str(tmp_path), name)
+        executed = df._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") == 1, executed
+        assert df.count() == (11 if name == "hdl_files" else 6)
