@@ -1,5 +1,6 @@
 """Projections and counts against dense brute force."""
 
+import json
 from collections import Counter
 
 import numpy as np
@@ -89,3 +90,27 @@ def test_ast_shapes(spark):
     edges = ast.ast_edges(nodes)
     assert {r.t_edge_type for r in edges.select("t_edge_type").distinct().collect()} == {"nco", "nco_reverse"}
     assert ast.ast_edges(nodes, multi=True).count() == 1200
+
+
+def test_ast_nodes_of_odd_documents(spark):
+    """Trees longer than an output batch, no trees, attributes of all types; fields as get_json_object gives them."""
+    from gatelake.operators.ast import BATCH_ROWS
+
+    wide = {"tag": "top", "children": [{"tag": f"c{i}", "start": i} for i in range(2 * BATCH_ROWS + 5)]}
+    odd = {"tag": "t", "text": 1.5, "start": True, "children": [None, {"text": {"a": [1, "é"]}, "start": "7"}, {"tag": "x", "text": None}, {"text": "é\"", "start": 12}]}
+    doc = lambda t: json.dumps({"f": {"tree": t}})
+    rows = [("d", "none", "{}"), ("d", "wide", doc(wide)), ("d", "odd", doc(odd)), (None, "odd", doc(odd)), ("d", "null", None), ("d", "odd", doc(odd))]
+    trees = spark.createDataFrame(rows, "design_name string, file_name string, json string").coalesce(1)
+    nodes = ast.ast_nodes(trees, fields={"name": "text", "start_at": "start"}).cache()
+    assert nodes.filter("status = 'no_tree' AND idx IS NULL AND depth IS NULL").count() == 2
+    big = nodes.filter("file_name = 'wide'")
+    assert [r.idx for r in big.orderBy("idx").collect()] == list(range(2 * BATCH_ROWS + 6))
+    assert big.filter("idx > 0 AND NOT (parent_idx = 0 AND depth = 1 AND tag = 'c' || (idx - 1) AND start_at = CAST(idx - 1 AS STRING))").isEmpty()
+    differ = ~(F.col("name").eqNullSafe(F.get_json_object("attrs", "$.text")) & F.col("start_at").eqNullSafe(F.get_json_object("attrs", "$.start")))
+    assert nodes.filter(differ).isEmpty()
+    slim = ast.ast_nodes(trees, attrs=False, fields={"name": "text", "start_at": "start"})
+    assert "attrs" not in slim.columns and slim.exceptAll(nodes.drop("attrs")).isEmpty()
+    counts = {(r.design_name, r.file_name): (r.n_nodes, r.n_edges) for r in ast.graph_counts(ast.ast_edges(nodes, nested=True)).collect()}
+    one = 6 + 2 * 3 - 2  # three nodes below the first, one of them next to its parent
+    assert counts == {("d", "wide"): (2 * BATCH_ROWS + 6, 4 * (2 * BATCH_ROWS + 5) - 2), ("d", "odd"): (8, 2 * one), (None, "odd"): (4, 0)}
+    assert ast.ast_edges(nodes).filter("file_name = 'odd' AND design_name = 'd'").count() == 2 * one
