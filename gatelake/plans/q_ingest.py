@@ -67,8 +67,9 @@ def _tars(batches):
     import tarfile
     import zipfile
 
+    cols = ["dataset_name", "archive", "content"]
     for pdf in batches:
-        rows = []
+        rows, size = [], 0
         for dataset, name, content in zip(pdf["dataset_name"], pdf["archive"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as z:
                 members = [(i.filename, z.read(i)) for i in z.infolist()]
@@ -80,7 +81,12 @@ def _tars(batches):
                         info.size = len(data)
                         t.addfile(info, io.BytesIO(data))
                 rows.append((dataset, f"{kind}.{name}", buf.getvalue()))
-        yield pd.DataFrame(rows, columns=["dataset_name", "archive", "content"])
+                size += len(rows[-1][2])
+            if size >= archives.SLICE_BYTES:  # bounded output batches
+                yield pd.DataFrame(rows, columns=cols)
+                rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
 
 
 def _wrap(batches):
@@ -234,13 +240,16 @@ def _tree(src) -> str:
     root, local = _mounted(src, "tree")
 
     def write(batches):
+        begun = set()  # a task writes what belongs to a design once
         for pdf in batches:
             for design, dataset, name, text in zip(pdf["design_name"], pdf["dataset_name"], pdf["file_name"], pdf["text"]):
-                folder = f"{local}/designs/{design}"
-                os.makedirs(f"{folder}/sources", exist_ok=True)
-                os.makedirs(f"{folder}/aux_files", exist_ok=True)
-                meta = {"design_name": design, "dataset_name": dataset, "dataset_tags": ["benchmark"]}
-                files = [("design.json", json.dumps(meta)), (f"sources/{name}", text), ("aux_files/note.txt", dataset), ("top.txt", "top")]
+                folder, files = f"{local}/designs/{design}", [(f"sources/{name}", text)]
+                if (design, dataset) not in begun:
+                    begun.add((design, dataset))
+                    os.makedirs(f"{folder}/sources", exist_ok=True)
+                    os.makedirs(f"{folder}/aux_files", exist_ok=True)
+                    meta = {"design_name": design, "dataset_name": dataset, "dataset_tags": ["benchmark"]}
+                    files += [("design.json", json.dumps(meta)), ("aux_files/note.txt", dataset), ("top.txt", "top")]
                 for path, body in files:
                     part = f"{folder}/.{uuid.uuid4().hex}"
                     with open(part, "w", newline="") as f:
@@ -320,11 +329,12 @@ def core_manifests(src):
     ("hdl_files",))
 def write_sinks(src):
     """Write the files table in each format, partitioned by source, and read it back."""
-    files, spark = src("hdl_files"), src.spark
+    spark, schema = src.spark, src("hdl_files").schema
+    pq = spark.read.parquet(sinks.write_parquet(src("hdl_files"), "files_parquet"))
+    files = pq.select(*schema.names)  # the text formats are written from the table, not from the lines once more
     csv = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(
-        sinks.write_csv(files, "files_csv", partition_by="dataset_name"))
-    js = spark.read.schema(files.schema).json(sinks.write_json(files, "files_json", partition_by="dataset_name"))
-    pq = spark.read.parquet(sinks.write_parquet(files, "files_parquet"))
+        sinks.write_csv(files, "files_csv", partition_by="dataset_name", compression="gzip"))
+    js = spark.read.schema(schema).json(sinks.write_json(files, "files_json", partition_by="dataset_name", compression="gzip"))
     parts = [df.select(F.lit(f).alias("fmt"), "text") for f, df in (("csv", csv), ("json", js), ("parquet", pq))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("fmt").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))

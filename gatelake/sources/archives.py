@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from gatelake import schemas
 
 BATCH_BYTES = 32 << 20
+SLICE_BYTES = 4 << 20  # archives packed by one task that stand in memory at once
 UNREADABLE = (zipfile.BadZipFile, tarfile.TarError, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError, NotImplementedError)
 NESTED = r"(?i)\.(zip|tar|tgz|tar\.gz|tar\.bz2|tar\.xz)$"
 
@@ -61,7 +62,7 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 for path, data in _members(content):
                     rows.append((dataset, archive, path, data, seq))
-                    seq, size = seq + 1, size + len(data or b"")
+                    seq, size = seq + 1, size + len(data or b"") + 200
                     if size >= BATCH_BYTES:  # bounded output batches
                         yield pd.DataFrame(rows, columns=cols)
                         rows, size = [], 0
@@ -291,14 +292,19 @@ def expand_listed(listed: DataFrame, *, group_bytes: int = GROUP_BYTES, spread:
 
 def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        packed = []
-        for entries in pdf["entries"]:
+        rows, size = [], 0
+        for dataset, archive, entries in zip(pdf["dataset_name"], pdf["archive"], pdf["entries"]):
             buf = io.BytesIO()
             with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
                 for e in entries:
                     z.writestr(e["path"], e["text"])
-            packed.append(buf.getvalue())
-        yield pd.DataFrame({"dataset_name": pdf["dataset_name"], "archive": pdf["archive"], "content": packed})
+            rows.append((dataset, archive, buf.getvalue()))
+            size += len(rows[-1][2])
+            if size >= SLICE_BYTES:
+                yield pd.DataFrame(rows, columns=["dataset_name", "archive", "content"])
+                rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["dataset_name", "archive", "content"])
 
 
 def pack_archives(entries: DataFrame) -> DataFrame:

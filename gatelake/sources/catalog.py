@@ -30,11 +30,13 @@ def scan_files(spark: SparkSession, root: str, *, sources_only: bool = True) ->
     """Source files of every design in a directory tree, joined to its metadata.
 
     Design, directory and file name come from the path, so nothing is listed
-    design by design. ``sources_only=False`` adds the side directories and
-    ``top.txt`` with their roles.
+    design by design. Folders are given to the scan, not their files: tasks list them.
+    ``sources_only=False`` adds the side directories and ``top.txt`` with their roles.
     """
-    glob = f"{root}/designs/*/sources/*" if sources_only else f"{root}/designs/*/{{sources*,aux_files}}/*"
-    raw = spark.read.format("binaryFile").load(glob)
+    folder = "sources" if sources_only else "{sources*,aux_files}"
+    name = "sources" if sources_only else "(sources[^/]*|aux_files)"
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/designs/*/{folder}").filter(
+        F.col("path").rlike(f"/designs/[^/]+/{name}/[^/]+$"))
     if not sources_only:
         tops = spark.read.format("binaryFile").load(f"{root}/designs/*/top.txt*")
         raw = raw.unionByName(tops)

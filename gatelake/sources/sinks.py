@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelake.session import shared_dir
+from gatelake.session import settings, shared_dir
 
 
 def _target(df: DataFrame, name: str) -> str:
@@ -17,25 +17,33 @@ def _target(df: DataFrame, name: str) -> str:
     return f"{shared_dir(df.sparkSession)}/gatelake/{name}-{uuid.uuid4().hex}"
 
 
-def _writer(df: DataFrame, partition_by: str | None):
-    return df.write.partitionBy(partition_by) if partition_by else df.write
+def _writer(df: DataFrame, partition_by: str | None, compression: str | None = None):
+    writer = df.write.option("compression", compression) if compression else df.write
+    return writer.partitionBy(partition_by) if partition_by else writer
 
 
-def write_csv(df: DataFrame, name: str, *, partition_by: str | None = None, header: bool = True) -> str:
+def _unsorted(df: DataFrame):
+    """Rows of few partition values go straight to open files, without a sort of the text."""
+    return settings(df.sparkSession, spark_sql_maxConcurrentOutputFileWriters="16")
+
+
+def write_csv(df: DataFrame, name: str, *, partition_by: str | None = None, header: bool = True, compression: str | None = None) -> str:
     """CSV with quotes doubled inside fields and blanks kept, as common readers expect."""
     path = _target(df, name)
-    (
-        _writer(df, partition_by)
-        .options(header=header, escape='"', quoteAll=True)
-        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(path)
-    )
+    with _unsorted(df):
+        (
+            _writer(df, partition_by, compression)
+            .options(header=header, escape='"', quoteAll=True)
+            .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .csv(path)
+        )
     return path
 
 
-def write_json(df: DataFrame, name: str, *, partition_by: str | None = None) -> str:
+def write_json(df: DataFrame, name: str, *, partition_by: str | None = None, compression: str | None = None) -> str:
     path = _target(df, name)
-    _writer(df, partition_by).json(path)
+    with _unsorted(df):
+        _writer(df, partition_by, compression).json(path)
     return path
 
 
@@ -47,7 +55,8 @@ def write_text(df: DataFrame, name: str, column: str = "text") -> str:
 
 def write_parquet(df: DataFrame, name: str, *, partition_by: str | None = "dataset_name") -> str:
     path = _target(df, name)
-    _writer(df, partition_by).parquet(path)
+    with _unsorted(df):
+        _writer(df, partition_by).parquet(path)
     return path
 
 

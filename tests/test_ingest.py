@@ -4,6 +4,7 @@ import io
 import json
 import tarfile
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,3 +280,49 @@ def test_damaged_zip_member_by_path(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(whole)
     got = archives.expand_listed(listed(spark, tmp_path / "a.zip"))
     assert [(n, p) for _, n, p, _ in plain(got.collect())] == [(0, "x/1"), (1, None), (2, "x/3")]
+
+
+def test_scan_lists_folders_not_files(spark, tmp_path):
+    """One path for a design however many files it has; files and folders beside and below the sources stay out."""
+    tree(tmp_path, {"a": ("x", {**{f"sources/f{i}.v": str(i) for i in range(40)}, "sources.txt": "no", "sources_vhdl/z.vhd": "z", "top.txt": "t"})})
+    for odd in ("sub", "k=1", "sources"):
+        (tmp_path / "designs" / "a" / "sources" / odd).mkdir()
+        (tmp_path / "designs" / "a" / "sources" / odd / "low.v").write_text("no")
+    files = catalog.scan_files(spark, f"file://{tmp_path}")
+    assert "InMemoryFileIndex(1 paths)" in files.select("text")._jdf.queryExecution().executedPlan().toString()
+    assert {(r.file_name, r.text) for r in files.collect()} == {(f"f{i}.v", str(i)) for i in range(40)}
+    every = {(r.file_name, r.role) for r in catalog.scan_files(spark, f"file://{tmp_path}", sources_only=False).collect()}
+    assert every == {(f"f{i}.v", "verilog") for i in range(40)} | {("z.vhd", "vhdl"), ("top.txt", "top")}
+
+
+def test_packed_archives_leave_tasks_in_slices():
+    """A batch of many archives is handed on in slices, with the same rows."""
+    import os
+
+    import pandas as pd
+
+    from gatelake.plans.q_ingest import _tars
+
+    n = 40
+    entries = pd.DataFrame({"dataset_name": ["x"] * n, "archive": [f"{i}.zip" for i in range(n)], "entries": [[{"path": "a.v", "text": os.urandom(300_000).hex()}] for _ in range(n)]})
+    packed = list(archives._pack(iter([entries])))
+    size = lambda pdf: sum(map(len, pdf["content"]))
+    assert len(packed) > 1 and max(map(size, packed)) < 2 * archives.SLICE_BYTES and sum(map(len, packed)) == n
+    tars = list(_tars(iter([pd.concat(packed[:1])])))
+    assert len(tars) > 1 and max(map(size, tars)) < 2 * archives.SLICE_BYTES and sum(map(len, tars)) == 3 * len(packed[0])
+    members = pd.concat(archives._expand(iter(tars)))
+    assert sorted(members["content"]) == sorted(e[0]["text"].encode() for e in entries["entries"][:len(packed[0])] for _ in range(3))
+
+
+def test_written_formats_are_small_and_whole(spark, tmp_path):
+    """Compressed text formats read back as they were written, with rows of each partition value."""
+    from gatelake.sources import sinks
+
+    rows = [("x", f"d{i}", 'say "no"\r\n, ' + "  assign q = d;\n" * 500) for i in range(200)] + [("y", "e", " "), (None, "f", "g")]
+    df = spark.createDataFrame(rows, "dataset_name string, design_name string, text string").repartition(2)
+    csv = sinks.write_csv(df, f"{tmp_path}/csv", partition_by="dataset_name", compression="gzip")
+    js = sinks.write_json(df, f"{tmp_path}/json", partition_by="dataset_name", compression="gzip")
+    size = sum(f.stat().st_size for p in ("csv", "json") for f in (tmp_path / p).rglob("*.gz"))
+    assert 0 < size < 200_000
+    for back in (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(csv), spark.read.schema(df.schema).json(js)):
+        assert Counter(map(tuple, back.select(*df.columns).collect())) == Counter(rows)
