@@ -71,7 +71,8 @@ def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None)
     its edges.
     """
     spark, keys = edges.sparkSession, [D, NODE]
-    start = (roots if roots is not None else nodes).select(D, F.col("module_name").alias(NODE)).distinct()
+    # read by the first round and again for the result: written once, where the edges lie
+    start = bucketed((roots if roots is not None else nodes).select(D, F.col("module_name").alias(NODE)).repartition(n_buckets(spark), *keys).distinct(), keys, "starts", dealt=True)
     links, n = _written(edges.select(D, F.col("parent").alias(NODE), "child").repartition(n_buckets(spark), *keys).distinct(), keys, "edges", n=F.count(F.lit(1)))
     salts = _salts(links, start) if n["n"] > HUB else None  # a node with fewer edges above it is in fewer pairs
     if salts is not None:
