@@ -1,8 +1,9 @@
 """Graph operators over all designs at once.
 
 Nodes are ``(design_name, module_name)``, edges ``(design_name, parent, child)``.
-Work is keyed by (design, node), so one very large design is spread over all
-tasks. Loops keep their tables in buckets of those keys: edges, known pairs and
+Designs of up to ``SMALL`` rows are dealt by design and take all their rounds within a
+task, a batch of designs at a time. The work of larger ones is keyed by (design, node),
+so that a very large design is spread over all tasks. Loops keep their tables in buckets of those keys: edges, known pairs and
 counters are written once and lie where they are in every round; what a round
 shuffles are the rows it finds. Each round is a written table, so a lost executor
 costs tasks and never a round.
@@ -16,12 +17,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gatelake.operators import small_graphs
 from gatelake.operators.summary import top_one
 from gatelake.session import bucketed, checkpoint, materialize, n_buckets, settings
 
 D, ROOT, NODE = "design_name", "root", "node"
 HUB = 1 << 20  # edges of a node, or start nodes of a design, that one bucket takes
 TIER = 8
+SMALL = 1 << 10  # nodes and edges of a design that one task takes at once
 
 
 def _written(df: DataFrame, keys: list[str], label: str, **counts: Column) -> tuple[DataFrame, dict]:
@@ -57,12 +60,49 @@ class _Tiers:
         return [t for tables in self._tiers for t in reversed(tables)]
 
 
+def _by_size(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+    """Rows of small designs for ``small_graphs``, sorted by design, and nodes and edges of the others, where there are any.
+
+    All rows are written once; what decides is the count of a design's rows. Fewer small
+    designs than tasks would leave tasks idle: then all go by (design, node).
+    """
+    name = lambda c: F.col(c).cast("string")
+    rows = materialize(nodes.select(name(D).alias(D), name("module_name").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("edge")).unionByName(
+        edges.select(name(D).alias(D), name("parent").alias("a"), name("child").alias("b"), F.lit(True).alias("edge"))), "graphs")
+    seen, sizes = Observation(), rows.groupBy(F.col(D).alias("large")).agg(F.count(F.lit(1)).alias("n"))
+    large = materialize(sizes.observe(seen, F.count_if(F.col("n") <= SMALL).alias("small")).where(F.col("n") > SMALL), "large_designs")
+    if seen.get["small"] < n_buckets(rows.sparkSession):
+        small, rest = None, rows
+    elif large.isEmpty():
+        small, rest = rows, None
+    else:
+        same = rows[D].eqNullSafe(large["large"])
+        small, rest = rows.join(large, same, "left_anti"), rows.join(large, same, "left_semi")
+    small = None if small is None else small.repartition(D).sortWithinPartitions(D)
+    if rest is None:
+        return small, None, None
+    return small, rest.where("NOT edge").select(D, F.col("a").alias("module_name")), rest.where("edge").select(
+        D, F.col("a").alias("parent"), F.col("b").alias("child"))
+
+
 def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """``(design_name, root, node, level)``: everything below each root, the root itself at level 0.
 
     Semi-naive: each round extends only pairs found in the round before and
     drops pairs already known, so cycles end. ``level`` is the shortest
     distance. ``roots`` limits the start nodes (all nodes by default).
+    Small designs are closed over by ``small_graphs``, others by ``_closure``.
+    """
+    known = edges.where(F.col(D).isNotNull() & F.col("parent").isNotNull() & F.col("child").isNotNull())
+    small, start, links = _by_size(roots if roots is not None else nodes, known)
+    if small is None:
+        return _closure(start, links)
+    out = materialize(small.mapInArrow(small_graphs.close, f"{D} string, {ROOT} string, {NODE} string, level int"), "closure")
+    return out if start is None else out.unionByName(_closure(start, links))
+
+
+def _closure(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``closure`` of designs of any size, round by round.
 
     Edges and known pairs lie in the same buckets of (design, node): a round joins
     its frontier with both in place and shuffles only the pairs it reaches. Out-edges
@@ -72,7 +112,7 @@ def closure(nodes: DataFrame, edges: DataFrame, roots: DataFrame | None = None)
     """
     spark, keys = edges.sparkSession, [D, NODE]
     # read by the first round and again for the result: written once, where the edges lie
-    start = bucketed((roots if roots is not None else nodes).select(D, F.col("module_name").alias(NODE)).repartition(n_buckets(spark), *keys).distinct(), keys, "starts", dealt=True)
+    start = bucketed(roots.select(D, F.col("module_name").alias(NODE)).repartition(n_buckets(spark), *keys).distinct(), keys, "starts", dealt=True)
     links, n = _written(edges.select(D, F.col("parent").alias(NODE), "child").repartition(n_buckets(spark), *keys).distinct(), keys, "edges", n=F.count(F.lit(1)))
     salts = _salts(links, start) if n["n"] > HUB else None  # a node with fewer edges above it is in fewer pairs
     if salts is not None:
@@ -247,7 +287,11 @@ def peel(nodes: DataFrame, edges: DataFrame, *, from_leaves: bool = False) -> Da
     (its depth). Nodes on or behind a cycle never become free: their level is
     NULL. Ends of edges are nodes, whether ``nodes`` lists them or not.
     """
-    return _waves(nodes, edges, from_leaves=from_leaves).withColumnRenamed(NODE, "module_name")
+    small, some, links = _by_size(nodes, edges)
+    out = [] if small is None else [small.mapInArrow(small_graphs.peel(from_leaves), f"{D} string, module_name string, level int")]
+    if some is not None:
+        out.append(_waves(some, links, from_leaves=from_leaves).withColumnRenamed(NODE, "module_name"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def is_dag(nodes: DataFrame, edges: DataFrame) -> DataFrame:

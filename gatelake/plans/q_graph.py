@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gatelake.operators import graph, summary
 from gatelake.plans.registry import query
+from gatelake.session import materialize
 
 _MI = ("modules", "inst")
 _WALK = """RECURSIVE walk AS (SELECT design_name, module_name AS root, module_name AS node, 0 AS level FROM modules
@@ -172,8 +173,8 @@ def sub_design_dedup(src):
     _MI,
 )
 def modules_outside_closure(src):
-    nodes, edges = _ni(src)
-    tops = graph.top_modules(nodes, edges)
+    nodes, edges = (materialize(t, "hierarchy") for t in _ni(src))  # each is read several times
+    tops = materialize(graph.top_modules(nodes, edges), "tops")
     return graph.modules_outside(graph.closure(nodes, edges, tops), nodes, tops)
 
 
