@@ -16,7 +16,7 @@ BOTH_WAYS = ["inout", "pio"]
 KNOWN = INTO_CELL + OUT_OF_CELL + BOTH_WAYS
 
 
-def scan_connectivity(spark: SparkSession, path: str, design: str = r"([^/=]+)/[^/]*$") -> DataFrame:
+def scan_connectivity(spark: SparkSession, path: str, design: str = r"^(?:.*[/=])?([^/=]+)/[^/]*$") -> DataFrame:
     """Headerless six-column TSV files as rows of their designs, ready for the graph.
 
     ``design`` is a pattern whose first group takes the design from the file's
@@ -42,25 +42,25 @@ def parse_rows(lines: DataFrame) -> DataFrame:
 def connectivity_nodes(rows: DataFrame) -> DataFrame:
     """One node per name. A name that is both cell and signal is a signal that keeps its cell attributes.
 
-    The last row (``row_idx``) decides the cell attributes. Max-by and
-    bool-or combine on the map side, so a signal with very many pins is
-    reduced before the shuffle.
+    The last row (``row_idx``) decides the cell attributes. Rows are read once. Equal
+    ones become one by a hash with map-side combine (numbers only besides the keys), so a
+    signal with very many pins is reduced before the shuffle and nothing is sorted but what is left.
     """
-    cells = rows.select(
-        D, F.col("cell_name").alias("node"), F.lit(False).alias("is_signal"),
-        F.struct("cell_type", "module_name").alias("attrs"), "row_idx")
-    signals = rows.select(
-        D, F.col("signal").alias("node"), F.lit(True).alias("is_signal"),
-        F.lit(None).cast("struct<cell_type:string,module_name:string>").alias("attrs"), F.lit(None).cast("long").alias("row_idx"))
-    merged = cells.unionByName(signals).groupBy(D, "node").agg(
-        F.bool_or("is_signal").alias("is_signal"), F.max_by("attrs", "row_idx").alias("attrs"))
+    attrs = F.struct("cell_type", "module_name")
+    item = lambda node, signal, attrs, at: F.struct(
+        F.col(node).alias("node"), F.lit(signal).alias("is_signal"), attrs.alias("attrs"), at.alias("at"))
+    none = F.lit(None).cast("struct<cell_type:string,module_name:string>")
+    items = rows.select(D, F.inline(F.array(
+        item("cell_name", False, attrs, F.col("row_idx")), item("signal", True, none, F.lit(None).cast("long")))))
+    merged = items.groupBy(D, "node", "is_signal", "attrs").agg(F.max("at").alias("at")).groupBy(D, "node").agg(
+        F.bool_or("is_signal").alias("is_signal"), F.max_by("attrs", "at").alias("attrs"))
     return merged.select(
         D, "node", F.when(F.col("is_signal"), "signal").otherwise("cell").alias("node_type"),
         F.col("attrs.cell_type").alias("cell_type"), F.col("attrs.module_name").alias("module_name"))
 
 
 def connectivity_edges(rows: DataFrame) -> DataFrame:
-    """Directed edges with their port and direction; the last row wins per (source, target)."""
+    """Directed edges with their port and direction; the last row wins per (source, target). Equal ones are combined first."""
     def edge(src, dst):
         return F.struct(F.col(src).alias("source"), F.col(dst).alias("target"))
 
@@ -70,8 +70,8 @@ def connectivity_edges(rows: DataFrame) -> DataFrame:
         d.isin(BOTH_WAYS), F.array(into, out))
     return (
         rows.select(D, "row_idx", "cell_port", "direction", F.explode(ends).alias("e"))
-        .groupBy(D, "e.source", "e.target")
-        .agg(F.max_by(F.struct("cell_port", "direction"), "row_idx").alias("a"))
+        .groupBy(D, "e.source", "e.target", "cell_port", "direction").agg(F.max("row_idx").alias("row_idx"))
+        .groupBy(D, "source", "target").agg(F.max_by(F.struct("cell_port", "direction"), "row_idx").alias("a"))
         .select(D, "source", "target", "a.cell_port", "a.direction")
     )
 
