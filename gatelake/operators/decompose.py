@@ -13,19 +13,22 @@ from gatelake.session import materialize
 D = "design_name"
 
 
-def segmented(files: DataFrame) -> DataFrame:
+def segmented(files: DataFrame, *, heads: bool = False) -> DataFrame:
     """Files as alternating gaps and tokens. Narrow.
 
     Tokens are modules or comments as written, each with the name of the
-    module it defines (empty for comments).
+    module it defines (empty for comments); ``heads`` adds a module's ``modules.instance_heads``.
     """
     t = F.col("text")
+
+    def token(k: Column) -> Column:
+        also = [F.when(F.startswith(k, F.lit("m")), modules.instance_heads(k)).alias("heads")] if heads else []
+        return F.struct(k.alias("text"), X.module_name(k).alias("name"), *also)
+
     return files.select(
         D, "file_name",
         F.split(t, P.MODULE_OR_COMMENT).alias("gaps"),
-        F.transform(
-            X.find_all(t, P.MODULE_OR_COMMENT), lambda k: F.struct(k.alias("text"), X.module_name(k).alias("name"))
-        ).alias("toks"),
+        F.transform(X.find_all(t, P.MODULE_OR_COMMENT), token).alias("toks"),
     )
 
 
@@ -37,9 +40,13 @@ def kept_text(gaps: Column, toks: Column, kept: Column) -> Column:
     before = lambda s, j: F.when(j > 0, F.get(s, j - 1)).otherwise(F.lit(-1))
     marks = X.let(kept, lambda s: F.split(F.array_join(F.transform(
         s, lambda k, j: F.concat(F.repeat(F.lit("0"), k - before(s, j) - 1), F.lit("1"))), ""), ""))
-    marked = F.zip_with(toks, marks, lambda t, m: F.struct(t["name"].alias("name"), t["text"].alias("text"), (m == "1").alias("kept")))
-    marked = F.filter(marked, lambda t: t["name"].isNotNull())  # marks may be longer by an empty string
-    body = X.interleave(gaps, marked, lambda t: F.when((t["name"] == "") | F.coalesce(t["kept"], F.lit(False)), t["text"]).otherwise(F.lit("\n")))
+
+    def piece(g: Column, i: Column, m: Column) -> Column:
+        t = F.get(toks, i)  # the last gap has none, and marks end with the last kept one
+        cut = F.when((t["name"] == "") | (F.get(m, i) == "1"), t["text"]).otherwise(F.lit("\n"))
+        return F.concat(g, F.when(t.isNull(), F.lit("")).otherwise(cut))
+
+    body = X.let(marks, lambda m: F.array_join(F.transform(gaps, lambda g, i: piece(g, i, m)), ""))
     return F.concat(F.trim(body, F.lit("\n")), F.lit("\n"))
 
 
@@ -51,7 +58,11 @@ def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None
     most the modules of that one file), and the wide rows meet them in a single
     join keyed by (design, file), so a large design is spread over its files.
     """
-    parts = materialize(segmented(files), "segments")
+    return _cut(materialize(segmented(files), "segments"), closed, roots)
+
+
+def _cut(parts: DataFrame, closed: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """``subdesign_text`` from the written table of tokens."""
     defined = parts.select(D, "file_name", F.posexplode("toks.name").alias("tok", "node")).filter("node <> ''")
     sub = closed if roots is None else closed.join(
         roots.select(D, F.col("module_name").alias("root")), [D, "root"], "left_semi")
@@ -66,11 +77,16 @@ def subdesign_text(files: DataFrame, closed: DataFrame, roots: DataFrame | None
 
 
 def decompose_text(files: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """Decomposition from text alone: modules, instances, closure, then the cut files."""
-    mods = materialize(modules.module_heads(files, comments="keep"), "modules")
+    """Decomposition from text alone: modules, instances, closure, then the cut files.
+
+    Modules and their heads are taken from the tokens the files are cut by: the text is split once.
+    """
+    parts = materialize(segmented(files, heads=True), "segments")
+    found = F.filter(F.transform("toks", lambda t: F.struct(t["name"].alias("module_name"), t["heads"].alias("heads"))), lambda t: t["module_name"] != "")
+    mods = parts.select(D, F.inline(found))
     nodes = mods.select(D, "module_name").distinct()
     edges = modules.instances_from_text(mods)
-    return subdesign_text(files, graph.closure(nodes, edges, roots))
+    return _cut(parts, graph.closure(nodes, edges, roots))
 
 
 def decompose_structured(closed: DataFrame) -> DataFrame:
