@@ -370,7 +370,7 @@ def run_flow(src):
     ("hdl_designs", "modules", "inst"))
 def validate_source(src):
     """Some designs without files are added; designs with m4 get a second, self-instantiating m4."""
-    files, designs = src("hdl_files"), src("hdl_designs")
+    files, designs = materialize(src("hdl_files"), "files"), materialize(src("hdl_designs"), "designs")  # each is read twice
     extra = files.filter(F.col("text").rlike("module m4[ ;]")).select(
         "dataset_name", "design_name", F.lit("dup.v").alias("file_name"), "role",
         F.lit("module m4 (input a);\n  m4 again (.a(a));\nendmodule\n").alias("text"))
