@@ -201,36 +201,13 @@ _PLACES = """WITH f AS (SELECT doc_id % 3 AS k, doc_id, text FROM documents), o
 
 @query("expand_listed_archives", _PLACES)
 def expand_listed(src):
-    """A zip, a tar and a gzip tar of a third of the documents each, read by path in groups of members."""
-    import io
-    import tarfile
-    import zipfile
-
+    """A zip, a tar and a gzip tar of a third of the documents each, written and read by path in groups of members."""
     root, local = _mounted(src, "archives")
-
-    def write(batches):
-        os.makedirs(local, exist_ok=True)
-        kinds, n = {}, 0
-        for pdf in batches:
-            for k, doc_id, text in zip(pdf["k"], pdf["doc_id"], pdf["text"]):
-                if k not in kinds:  # rows come sorted: one archive after the other
-                    part = f"{local}/.{uuid.uuid4().hex}"
-                    kinds[k] = (part, zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) if k == 0 else tarfile.open(part, "w" if k == 1 else "w:gz"))
-                out, body = kinds[k][1], text.encode()
-                if k == 0:
-                    out.writestr(f"{doc_id}.v", body)
-                else:
-                    info = tarfile.TarInfo(f"{doc_id}.v")
-                    info.size = len(body)
-                    out.addfile(info, io.BytesIO(body))
-                n += 1
-        for k, (part, out) in kinds.items():
-            out.close()
-            os.replace(part, f"{local}/all.{('zip', 'tar', 'tgz')[k]}")
-        yield pd.DataFrame({"n": [n]})
-
-    docs = src("documents").select((F.col("doc_id") % 3).cast("int").alias("k"), "doc_id", "text")
-    docs.repartition(3, "k").sortWithinPartitions("k", "doc_id").mapInPandas(write, "n long").agg(F.sum("n")).first()
+    k = F.col("doc_id") % 3
+    archives.pack_listed(src("documents").select(
+        F.when(k == 0, "all.zip").when(k == 1, "all.tar").otherwise("all.tgz").alias("archive"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".v")).alias("path"), F.col("text").cast("binary").alias("content"),
+        F.col("doc_id").alias("load_seq")), local)
     listed = archives.list_archives(src.spark, f"{root}/all.*", "opencores")
     return archives.expand_listed(listed, group_bytes=1 << 20).select("archive", "path", F.md5("content").alias("h"), "load_seq")
 

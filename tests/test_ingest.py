@@ -1,7 +1,12 @@
 """Directory trees, archives and source rules on disk."""
 
+import bz2
+import gzip
+import hashlib
 import io
 import json
+import lzma
+import random
 import tarfile
 import zipfile
 from collections import Counter
@@ -274,6 +279,63 @@ def test_archives_over_two_gib(spark, tmp_path):
     assert got == [("far.tar", 0, "a.v", b"abc"), ("far.tar", 1, None, None), ("far.tar", 2, "b.v", b"abc"), ("far.zip", 0, "a.v", b"one"), ("far.zip", 1, "b.v", b"two")]
 
 
+def test_archives_are_packed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Each archive is put together from the pieces of many tasks, and any reader takes it."""
+    monkeypatch.setattr(archives.shutil, "rmtree", lambda *a, **k: None)
+    rows = [(a, 3 * i, f"d/{'long' * 40}/{i}.v" if i % 50 == 1 else f"d/\u00e4{i}.v" if i % 50 == 2 else f"d/{i}.v", random.Random(i).randbytes(i * 7 % 3000))
+            for a in ("a.zip", "b.tar", "c.tar.gz") for i in range(600)] + [("one.tgz", 5, "x", b"")]
+    df = spark.createDataFrame(rows, "archive string, load_seq bigint, path string, content binary").orderBy("content")
+    assert archives.pack_listed(df, str(tmp_path), piece_bytes=50_000) == len(rows)
+    pieces = [f.stat().st_size for f in tmp_path.glob(".parts*/*")]
+    assert len(pieces) > 40 and max(pieces) < 250_000 < min((tmp_path / a).stat().st_size for a in ("a.zip", "b.tar", "c.tar.gz"))
+    want = [(a, i % 600, path, content) for i, (a, _, path, content) in enumerate(rows)]
+    assert plain(archives.expand_listed(listed(spark, f"{tmp_path}/[a-z]*"), group_bytes=20_000).collect()) == sorted(want)
+    assert plain(archives.expand_archives(archives.scan_archives(spark, f"file://{tmp_path}/[a-z]*", "s")).collect()) == sorted(want)
+    with zipfile.ZipFile(tmp_path / "a.zip") as z:
+        assert [("a.zip", i, m.filename, z.read(m)) for i, m in enumerate(z.infolist())] == want[:600]
+    for name, lo in (("b.tar", 600), ("c.tar.gz", 1200)):
+        with tarfile.open(tmp_path / name) as t:
+            assert [(name, i, m.name, t.extractfile(m).read()) for i, m in enumerate(t)] == want[lo:lo + 600]
+
+
+def test_gzip_tar_of_many_members_over_many_tasks(spark, tmp_path):
+    """What is cut at entries is shared out, what is cut elsewhere or damaged is streamed; no member is lost."""
+    tar = tar_bytes({f"{i}.v": random.Random(i).randbytes(900) for i in range(300)}, "w")
+    pieces = [tar[i:i + 15 * 1536] for i in range(0, len(tar), 15 * 1536)]  # an entry has 1536 bytes
+    (tmp_path / "cut.tgz").write_bytes(b"".join(map(archives._gzip_member, pieces)))
+    (tmp_path / "elsewhere.tgz").write_bytes(b"".join(archives._gzip_member(tar[i:i + 10_000]) for i in range(0, len(tar), 10_000)))
+    (tmp_path / "plain.tgz").write_bytes(b"".join(map(gzip.compress, pieces)))
+    (tmp_path / "two.tbz").write_bytes(b"".join(map(bz2.compress, pieces)))
+    (tmp_path / "two.txz").write_bytes(b"".join(map(lzma.compress, pieces)))
+    bad = bytearray(b"".join(map(archives._gzip_member, pieces)))
+    bad[len(bad) // 2] ^= 1
+    (tmp_path / "bad.tgz").write_bytes(bad)
+    got = archives.expand_listed(listed(spark, f"{tmp_path}/*"), group_bytes=30_000, spread=8)
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    whole = ["cut.tgz", "elsewhere.tgz", "plain.tgz", "two.tbz", "two.txz"]
+    want = [(a, i, f"{i}.v", random.Random(i).randbytes(900)) for a in whole for i in range(300)]
+    assert plain(r for r in rows if r.archive in whole) == sorted(want)
+    tasks = {a: len({r.task for r in rows if r.archive == a}) for a in whole}
+    assert tasks["cut.tgz"] >= 4 and {tasks[a] for a in whole[1:]} == {1}
+    by_content = archives.expand_archives(archives.scan_archives(spark, f"file://{tmp_path}/*", "s"))
+    assert plain(rows) == plain(by_content.collect())
+    broken = plain(r for r in rows if r.archive == "bad.tgz")
+    assert 100 < len(broken) < 300 and broken[-1][2:] == (None, None)
+
+
+def test_listed_archives_query_packs_in_pieces(spark, tmp_path, monkeypatch):
+    from gatelake.plans import q_ingest
+    from gatelake.plans.queries import QUERIES
+
+    monkeypatch.setattr(q_ingest, "_mounted", lambda src, label: (f"file://{tmp_path}/{label}", f"{tmp_path}/{label}"))
+    texts = {i: "".join(random.Random(i).choices("abc \n\u00e4", k=3000)) for i in range(400)}
+    spark.createDataFrame([(i, t, "en", "s") for i, t in texts.items()], "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["expand_listed_archives"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted((("all.zip", "all.tar", "all.tgz")[i % 3], f"{i}.v", hashlib.md5(t.encode()).hexdigest(), i // 3) for i, t in texts.items())
+    with open(tmp_path / "archives" / "all.tgz", "rb") as f:
+        assert len(archives._gzip_members(f)) > 2  # of several tasks, and the tar's end
+
+
 def test_damaged_zip_member_by_path(spark, tmp_path):
     whole = bytearray(zip_bytes({"x/1": "one", "x/2": "two", "x/3": "three"}))
     whole[whole.index(b"two")] ^= 1
