@@ -11,6 +11,7 @@ import tarfile
 import zipfile
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +299,19 @@ def test_archives_are_packed_by_many_tasks(spark, tmp_path, monkeypatch):
             assert [(name, i, m.name, t.extractfile(m).read()) for i, m in enumerate(t)] == want[lo:lo + 600]
 
 
+def test_pieces_beyond_four_gib(spark, tmp_path):
+    """A piece at its place behind 5 GiB of nothing (a sparse file)."""
+    piece = archives._Piece("far.zip", 0, f"{tmp_path}/part")
+    piece.add("a.v", b"one")
+    piece.add("b.v", b"two")
+    row = dict(zip(("archive", "first", "part", "n", "size", "directory"), piece.end()))
+    row |= {"at": 5 << 30, "directory_at": 0, "all_n": 2, "all_size": (5 << 30) + row["size"], "all_directory": row["directory"], "last": True}
+    assert list(next(archives._place_pieces(str(tmp_path))(iter([pd.DataFrame([row])])))["n"]) == [2]
+    with zipfile.ZipFile(tmp_path / "far.zip") as z:
+        assert z.testzip() is None and z.infolist()[0].header_offset == 5 << 30
+    assert plain(archives.expand_listed(listed(spark, tmp_path / "far.zip")).collect()) == [("far.zip", 0, "a.v", b"one"), ("far.zip", 1, "b.v", b"two")]
+
+
 def test_gzip_tar_of_many_members_over_many_tasks(spark, tmp_path):
     """What is cut at entries is shared out, what is cut elsewhere or damaged is streamed; no member is lost."""
     tar = tar_bytes({f"{i}.v": random.Random(i).randbytes(900) for i in range(300)}, "w")
