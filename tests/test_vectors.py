@@ -114,3 +114,18 @@ def test_ast_nodes_of_odd_documents(spark):
     one = 6 + 2 * 3 - 2  # three nodes below the first, one of them next to its parent
     assert counts == {("d", "wide"): (2 * BATCH_ROWS + 6, 4 * (2 * BATCH_ROWS + 5) - 2), ("d", "odd"): (8, 2 * one), (None, "odd"): (4, 0)}
     assert ast.ast_edges(nodes).filter("file_name = 'odd' AND design_name = 'd'").count() == 2 * one
+
+
+def test_graph_counts_counts_edges(spark):
+    """Edges are rows that are counted, not lengths of lists: what is no edge does not count, and the plan makes the rows."""
+    kind = "design_name string, file_name string, status string, edges array<struct<src: int, dst: int, t_edge_type: string>>"
+    rows = [("d", "f", "ok", None), ("d", "f", "ok", [(0, 1, "nco"), None, (1, 0, "nco_reverse")]), ("d", "f", "ok", []), ("d", "one", "ok", None), ("d", "bad", "no_tree", None)]
+    counts = ast.graph_counts(spark.createDataFrame(rows, kind))
+    assert {tuple(r) for r in counts.collect()} == {("d", "f", 3, 2), ("d", "one", 1, 0)}
+    assert "posexplode(edges" in counts._jdf.queryExecution().optimizedPlan().toString()
+    trees = spark.createDataFrame([("d", f"f{i}", json.dumps({"f": {"tree": {"tag": "t", "children": [{"tag": "c", "children": [None, {"tag": "e"}]}] * i}}})) for i in range(4)], "design_name string, file_name string, json string")
+    nodes = ast.ast_nodes(trees, attrs=False)
+    n = {r.file_name: r.n for r in nodes.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    e = {r.file_name: r.n for r in ast.ast_edges(nodes).groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = ast.graph_counts(ast.ast_edges(nodes, nested=True)).collect()
+    assert {r.file_name: (r.n_nodes, r.n_edges) for r in found} == {f: (n[f], e.get(f, 0)) for f in n}
