@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
 from functools import reduce
+from glob import iglob
+from itertools import chain, islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatelake import schemas
 from gatelake.functions import text as X
-from gatelake.session import materialize
+from gatelake.session import materialize, n_buckets
 
 # --- fixed values: side directories and the role their files get ---
 SIDE_ROLES = {"aux_files": "aux", "sources_blif": "blif", "sources_vhdl": "vhdl"}
 
+SLICE_ROWS = 10_000  # names of files, and bytes of their content, that a task hands on at once
+SLICE_BYTES = 4 << 20
+
 
 # ------------------------------------------------------------------ scans
 def scan_designs(spark: SparkSession, root: str) -> DataFrame:
@@ -30,9 +38,21 @@ def scan_files(spark: SparkSession, root: str, *, sources_only: bool = True) ->
     """Source files of every design in a directory tree, joined to its metadata.
 
     Design, directory and file name come from the path, so nothing is listed
-    design by design. Folders are given to the scan, not their files: tasks list them.
+    design by design. A mounted tree (``file:``) is listed and read by tasks, and the driver
+    holds nothing of its files. In another store, which only Spark reads, folders are given to
+    the scan, not their files; the driver then holds a status of each file.
     ``sources_only=False`` adds the side directories and ``top.txt`` with their roles.
     """
+    local, meta = _mounted(spark, root, sources_only), scan_designs(spark, root).select("design_name", "dataset_name")
+    if local is None:
+        files = _decode(_scanned(spark, root, sources_only)).join(meta, "design_name")
+    else:
+        files = _decode(_walked(spark, local, meta, sources_only), "dataset_name")
+    return files.select(*[f.name for f in schemas.FILES])
+
+
+def _scanned(spark: SparkSession, root: str, sources_only: bool) -> DataFrame:
+    """``(path, content)`` of the files by Spark's scan of the folders."""
     folder = "sources" if sources_only else "{sources*,aux_files}"
     name = "sources" if sources_only else "(sources[^/]*|aux_files)"
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/designs/*/{folder}").filter(
@@ -40,12 +60,98 @@ def scan_files(spark: SparkSession, root: str, *, sources_only: bool = True) ->
     if not sources_only:
         tops = spark.read.format("binaryFile").load(f"{root}/designs/*/top.txt*")
         raw = raw.unionByName(tops)
-    return _decode(raw).join(
-        scan_designs(spark, root).select("design_name", "dataset_name"), "design_name"
-    ).select(*[f.name for f in schemas.FILES])
-
-
-def _decode(raw: DataFrame) -> DataFrame:
+    return raw.select("path", "content")
+
+
+def _mounted(spark: SparkSession, root: str, sources_only: bool) -> str | None:
+    """A tree's folder as tasks name it; None for other stores, for patterns, and where Spark's scan finds no folder and says so."""
+    if root.startswith("file:"):
+        local = "/" + root.removeprefix("file:").lstrip("/")
+    elif root.startswith("/") and spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:").startswith("file:"):
+        local = root
+    else:
+        return None
+    if any(c in local for c in "*?[]{}\\"):
+        return None
+    for names in [["sources"]] if sources_only else [["sources*", "aux_files"], ["top.txt*"]]:
+        found = (iglob(f"{local}/designs/*/{n}", include_hidden=True) for n in names)
+        if next(chain.from_iterable(found), None) is None:
+            return None
+    return local
+
+
+def _walked(spark: SparkSession, local: str, meta: DataFrame, sources_only: bool) -> DataFrame:
+    """``(path, dataset_name, content)`` of the files of the designs in ``meta`` by tasks: one lists the designs, many their folders, then the files are dealt over all.
+
+    Only names are shuffled; as bytes, as the file system has them. Designs meet their
+    metadata before they are listed, so no join has a row for a file.
+    """
+    tasks = n_buckets(spark)
+    root = spark.range(0, 1, 1, 1).select(F.lit(local).cast("binary").alias("path"))
+    designs = root.mapInArrow(_list_designs, "design_name string, path binary")
+    known = designs.join(meta.hint("merge"), "design_name").select("path", "dataset_name")  # what tasks list has no size to plan by
+    files = known.repartition(tasks, "path").mapInArrow(_list_files(sources_only), "path binary, dataset_name string").repartition(tasks)
+    return files.mapInArrow(_read_files, "path string, dataset_name string, content binary")
+
+
+def _list_designs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for root in batch.column(0).to_pylist():
+            with os.scandir(root + b"/designs") as found:
+                designs = ((e.name, e.path) for e in found if e.is_dir())
+                while some := list(islice(designs, SLICE_ROWS)):
+                    names, paths = zip(*some)
+                    yield pa.RecordBatch.from_arrays([pa.array([n.decode(errors="replace") for n in names], pa.string()), pa.array(paths, pa.binary())], names=["design_name", "path"])
+
+
+def _is_data(name: bytes) -> bool:
+    """Names that Spark's scans read: no hidden files, and none that are being copied."""
+    hidden = name.startswith(b".") or name.startswith(b"_") and b"=" not in name or name.endswith(b"._COPYING_")
+    return not hidden or name.startswith((b"_metadata", b"_common_metadata"))
+
+
+def _list_files(sources_only: bool):
+    def of_folder(folder: bytes) -> Iterator[bytes]:
+        with os.scandir(folder) as found:
+            yield from (e.path for e in found if _is_data(e.name) and e.is_file())
+
+    def of_design(design: bytes) -> Iterator[bytes]:
+        with os.scandir(design) as found:
+            for e in found:
+                top = not sources_only and e.name.startswith(b"top.txt")
+                if e.is_dir():
+                    if top or (e.name == b"sources" if sources_only else e.name.startswith(b"sources") or e.name == b"aux_files"):
+                        yield from of_folder(e.path)
+                elif top and e.name == b"top.txt" and e.is_file():
+                    yield e.path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for design, dataset in zip(batch.column(0).to_pylist(), batch.column(1)):
+                files = of_design(design)
+                while some := list(islice(files, SLICE_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.repeat(dataset, len(some))], names=["path", "dataset_name"])
+
+    return run
+
+
+def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files with their content, in batches of bounded size; empty files have no row, as in Spark's scans."""
+    for batch in batches:
+        rows, size, last = [], 0, batch.num_rows - 1
+        for i, (path, dataset) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+            with open(path, "rb") as f:
+                content = f.read()
+            if content:
+                rows.append((f"file:{path.decode(errors='replace')}", dataset, content))
+                size += len(content)
+            if rows and (size >= SLICE_BYTES or i == last):
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "dataset_name", "content"])
+                rows, size = [], 0
+
+
+def _decode(raw: DataFrame, *keep: str) -> DataFrame:
     parts = F.split("path", "/")
     folder = F.element_at(parts, -2)
     is_top = F.element_at(parts, -1) == "top.txt"
@@ -54,6 +160,7 @@ def _decode(raw: DataFrame) -> DataFrame:
     for name, r in SIDE_ROLES.items():
         role = role.when(folder == name, r)
     return raw.select(
+        *keep,
         F.when(at_root, folder).otherwise(F.element_at(parts, -3)).alias("design_name"),
         F.element_at(parts, -1).alias("file_name"),
         role.otherwise(X.file_role(F.col("path"))).alias("role"),

@@ -402,3 +402,30 @@ def test_written_formats_are_small_and_whole(spark, tmp_path):
     assert 0 < size < 200_000
     for back in (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(csv), spark.read.schema(df.schema).json(js)):
         assert Counter(map(tuple, back.select(*df.columns).collect())) == Counter(rows)
+
+
+def test_tree_is_listed_by_tasks(spark, tmp_path):
+    """The driver lists no file of a mounted tree; rows are those of Spark's own scan, odd names and empty files included."""
+    tree(tmp_path, {
+        "a": ("x", {**{f"sources/f{i}.v": str(i) for i in range(40)}, "sources/_no.v": "n", "sources/.no.v": "n", "sources/_k=1.v": "y", "sources/x._COPYING_": "n",
+                    "sources/e.v": "", "sources/a b%20#?.v": "\r\n", "sources.txt": "no", "sources_blif/z.blif": ".end", "top.txt": "t", "top.txt.bak": "o"}),
+        "_b": ("y", {"sources/L.MIF": "0", "aux_files/n.txt": "n", "top.txt": ""}),
+        "none": ("z", {"aux_files/.h": "n"})})
+    (tmp_path / "designs" / "a" / "sources" / "latin.v").write_bytes(b"\xe9")
+    (tmp_path / "designs" / "a" / "sources" / "sub").mkdir()
+    (tmp_path / "designs" / "a" / "sources" / "sub" / "low.v").write_text("no")
+    (tmp_path / "designs" / "readme").write_text("no design")
+    (tmp_path / "designs" / "a" / "sources" / "link.v").symlink_to(tmp_path / "designs" / "a" / "top.txt")
+    for root in (f"file://{tmp_path}", f"file:{tmp_path}", str(tmp_path)):
+        for only in (True, False):
+            raw = catalog._decode(catalog._scanned(spark, root, only)).drop("role").join(catalog.scan_designs(spark, root).select("design_name", "dataset_name"), "design_name")
+            found = catalog.scan_files(spark, root, sources_only=only)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "binaryFile" not in plan and plan.count("InMemoryFileIndex(") == 1  # design.json
+            cols = ["design_name", "dataset_name", "file_name", "text"]
+            assert Counter(map(tuple, found.select(*cols).collect())) == Counter(map(tuple, raw.select(*cols).collect()))
+            roles = {(r.design_name, r.file_name): r.role for r in found.collect()}
+            assert len(roles) == (45 if only else 48) and roles["_b", "L.MIF"] == "data"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        catalog.scan_files(spark, f"file://{tmp_path}/designs")
+    assert catalog.scan_files(spark, f"file://{tmp_path.parent}/{tmp_path.name[:-1]}?").count() == 45
