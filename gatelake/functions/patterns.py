@@ -33,7 +33,8 @@ STRICT_HEADER = rf"^module\s+{IDENTIFIER}\s*[(#]"
 # comments outside modules are consumed first, so a commented "module" never starts a match
 MODULE_OR_COMMENT = rf"//[^\n]*|/\*(?s:.*?)\*/|{MODULE}"
 INSTANCE_HEAD = (
-    rf"\b({IDENTIFIER})(?:\s*#\s*\(|\s+{IDENTIFIER}\s*(?:\[[^\]]*\]\s*)?\()"
+    # nothing is given back: what may follow a name or blanks is in neither
+    rf"\b({IDENTIFIER}+)(?:\s*+#\s*+\(|\s++{IDENTIFIER}+\s*+(?:\[[^\]]*+\]\s*+)?\()"
 )
 MODULE_COUNT = r"module\s+\S+(?s:.*?)endmodule"
 MODULE_DEFINITION_COUNT = r"module(?s:.*?)endmodule"

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gatelake.functions import patterns as P
 from gatelake.functions import text as X
-from gatelake.operators import graph, modules
-from gatelake.session import materialize
+from gatelake.operators import graph, modules, small_texts
+from gatelake.session import materialize, n_buckets
 
 D = "design_name"
+SMALL_TOKENS, SMALL_BYTES = 1 << 8, 1 << 15  # tokens and text of a design that one task takes at once
 
 
 def segmented(files: DataFrame, *, heads: bool = False) -> DataFrame:
     """Files as alternating gaps and tokens. Narrow.
 
     Tokens are modules or comments as written, each with the name of the
-    module it defines (empty for comments); ``heads`` adds a module's ``modules.instance_heads``.
+    module it defines (empty for comments); ``heads`` adds a module's ``modules.instance_heads``,
+    and the file's ``bytes``.
     """
     t = F.col("text")
 
@@ -29,6 +31,7 @@ def segmented(files: DataFrame, *, heads: bool = False) -> DataFrame:
         D, "file_name",
         F.split(t, P.MODULE_OR_COMMENT).alias("gaps"),
         F.transform(X.find_all(t, P.MODULE_OR_COMMENT), token).alias("toks"),
+        *([X.byte_size(t).alias("bytes")] if heads else []),
     )
 
 
@@ -76,12 +79,41 @@ def _cut(parts: DataFrame, closed: DataFrame, roots: DataFrame | None = None) ->
     return out.filter(F.col("text").rlike(P.NON_WHITESPACE))
 
 
+def _by_size(parts: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """The written tokens of small designs and of the others, where there are any.
+
+    Fewer small designs than tasks would leave tasks idle: then all go by (design, file).
+    """
+    is_large = (F.coalesce("n", F.lit(0)) > SMALL_TOKENS) | (F.coalesce("bytes", F.lit(0)) > SMALL_BYTES)
+    seen, sizes = Observation(), parts.groupBy(F.col(D).alias("large")).agg(F.sum(F.size("toks.name")).alias("n"), F.sum("bytes").alias("bytes"))
+    large = materialize(sizes.observe(seen, F.count_if(~is_large).alias("small")).where(is_large).select("large"), "large_designs")
+    if seen.get["small"] < n_buckets(parts.sparkSession):
+        return None, parts
+    if large.isEmpty():
+        return parts, None
+    same = parts[D].eqNullSafe(large["large"])
+    return parts.join(large, same, "left_anti"), parts.join(large, same, "left_semi")
+
+
 def decompose_text(files: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """Decomposition from text alone: modules, instances, closure, then the cut files.
 
     Modules and their heads are taken from the tokens the files are cut by: the text is split once.
+    Small designs are dealt by design and take all further steps within a task, a batch of
+    designs at a time (``small_texts``); others, and all where ``roots`` are given, go by (design, file).
     """
     parts = materialize(segmented(files, heads=True), "segments")
+    small, rest = _by_size(parts) if roots is None else (None, parts)
+    if small is None:
+        return _decomposed(rest, roots)
+    rows = small.repartition(D).sortWithinPartitions(D).select(
+        F.col(D).cast("string"), F.col("file_name").cast("string"), "gaps", F.col("toks.text").alias("texts"), F.col("toks.name").alias("names"), F.col("toks.heads").alias("heads"))
+    out = rows.mapInArrow(small_texts.cut, f"{D} string, root string, file_name string, text string").filter(F.col("text").rlike(P.NON_WHITESPACE))
+    return out if rest is None else out.unionByName(_decomposed(rest))
+
+
+def _decomposed(parts: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """``decompose_text`` of designs of any size from the written table of tokens."""
     found = F.filter(F.transform("toks", lambda t: F.struct(t["name"].alias("module_name"), t["heads"].alias("heads"))), lambda t: t["module_name"] != "")
     mods = parts.select(D, F.inline(found))
     nodes = mods.select(D, "module_name").distinct()
